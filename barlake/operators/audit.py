@@ -186,15 +186,14 @@ def _probe(path: str, required: set[str]) -> tuple[str, int | None, str]:
         return "unreadable", None, ""
 
 
-def audit_parquet_files(spark: SparkSession, root: str, required: Sequence[str] = tuple(BARS.names),
-                        parallelism: int | None = None) -> DataFrame:
-    """One row per file. Only unreadable files are deletable; nothing is deleted here.
+def audit_parquet_files(spark: SparkSession, root: str, required: Sequence[str] = tuple(BARS.names)) -> DataFrame:
+    """One row per parquet file below a root. Only unreadable files are deletable; nothing is deleted here."""
+    return probe_files(list_files(spark, root), required)
 
-    Footers are probed by the executors, a few files per task.
-    """
+
+def probe_files(files: DataFrame, required: Sequence[str] = tuple(BARS.names)) -> DataFrame:
+    """Probe the footers of listed files (path, length) on the executors, spread by path."""
     wanted = set(required)
-    files = list_files(spark, root)
-    files = files.repartition(parallelism or spark.sparkContext.defaultParallelism, "path")
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -208,7 +207,7 @@ def audit_parquet_files(spark: SparkSession, root: str, required: Sequence[str]
                 "deletable": [f[0] == "unreadable" for f in found],
             })
 
-    return files.mapInPandas(probe, AUDIT)
+    return files.select("path", "length").repartition("path").mapInPandas(probe, AUDIT)
 
 
 def storage_footprint(files: DataFrame, free_bytes: int, margin: float = 0.05) -> DataFrame:

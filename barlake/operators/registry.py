@@ -11,7 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.functions.calendar import try_date
+from barlake.functions.calendar import (
+    business_days_between,
+    clamp_fetch_window,
+    full_history_period,
+    try_date,
+)
 from barlake.schemas import INTERVALS, TICKERS
 
 COOLDOWN_DAYS, RECENT_DAYS = 30, 90
@@ -67,11 +72,9 @@ def fetch_plan(work: DataFrame, as_of_ts: str, start: str | None = None) -> Data
 
     ``should_fetch`` is false when no business day has passed since.
     """
-    from barlake.functions.calendar import business_days_between, clamp_fetch_window, full_history_period
-
     end = F.lit(as_of_ts).cast("timestamp_ntz")
     last = try_date("last_data_date").cast("timestamp_ntz")
-    begin = F.lit(start).cast("timestamp_ntz") if start else F.least(last, end)
+    begin = F.lit(start).cast("timestamp_ntz") if start else F.when(last.isNotNull(), F.least(last, end))
     planned = work.withColumn("full_history", begin.isNull()).withColumn("_start", F.coalesce(begin, end))
     window = clamp_fetch_window(F.col("_start"), end, F.col("interval"), end)
     return planned.withColumn("window", window).select(

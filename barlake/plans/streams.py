@@ -1 +1,173 @@
-"""Queries (to come)."""
+"""Queries of the streaming jobs: each drains the given tables and returns what it stored."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from barlake.operators.lake import TRADE_PARTITIONS, read_staged
+from barlake.plans import views
+from barlake.plans.bars import PRICES
+from barlake.plans.catalog import CATALOG, query, rounded
+from barlake.plans.views import table
+
+from barlake.session import scratch_dir
+from barlake.sources.bars import scan_bars_partitioned
+from barlake.streaming import trades as streams
+from barlake.streaming import updates
+
+HOURLY = CATALOG["ohlcv_1h"].oracle
+WEEKS = "5 weeks"
+
+
+def _event_stream(spark, sf, name="events"):
+    """A table of the data folder as a file stream."""
+    schema = table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def _trade_stream(spark, sf):
+    return _event_stream(spark, sf).select(
+        F.format_string("XX%010d", "user_id").alias("isin"), F.col("ts").alias("trade_time"),
+        F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        F.col("event_id").alias("tick_id"), F.col("event_id").cast("string").alias("trans_id"),
+        F.col("event_type").alias("feed_venue"),
+    )
+
+
+@query("stream_ohlcv", HOURLY)
+def stream_ohlcv(spark, sf):
+    root = scratch_dir(spark, "stream-bars")
+    bars = streams.stream_ohlcv(_trade_stream(spark, sf), "1h", lateness=WEEKS)
+    streams.run_available(bars, scratch_dir(spark, "checkpoint"), streams.bar_versions(spark, root), "update")
+    return rounded(streams.latest_bars(spark, root), 6, *PRICES)
+
+
+@query("stream_dedupe", f"WITH {views.TRADES} SELECT isin, trade_time, price, volume, trans_id FROM trades")
+def stream_dedupe(spark, sf):
+    stream = _trade_stream(spark, sf)
+    # every trade is delivered twice
+    twice = stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    root = scratch_dir(spark, "stream-dedupe")
+    once = streams.stream_dedupe(twice, WEEKS).select("isin", "trade_time", "price", "volume", "trans_id")
+    streams.run_available(once, scratch_dir(spark, "checkpoint"), streams.bar_versions(spark, root))
+    return spark.read.parquet(root).drop("batch_id")
+
+
+def _landing(spark, sf):
+    """Vendor lines landed as one file per venue and day, named like a feed file."""
+    landing = scratch_dir(spark, "landing")
+    lines = views.trade_lines(spark, sf).withColumn("date", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})T", 1))
+    lines.select("value").write.text(landing)
+    return landing
+
+
+@query("stream_trades", """SELECT event_id AS tick_id, printf('XX%010d', user_id) AS isin, ts AS trade_time, value AS price FROM events""")
+def stream_trades(spark, sf):
+    root = scratch_dir(spark, "stream-trades")
+    parsed = streams.stream_trades(spark, _landing(spark, sf), files_per_batch=3)
+    checkpoint = scratch_dir(spark, "checkpoint")
+    columns = ["tick_id", "isin", "trade_time", "price"]
+    streams.run_available(parsed.select(*columns), checkpoint, streams.bar_versions(spark, root))
+    # a second run finds every file already processed
+    streams.run_available(parsed.select(*columns), checkpoint, streams.bar_versions(spark, root))
+    return spark.read.parquet(root).select(*columns)
+
+
+@query("stream_store_and_log", f"""WITH {views.TRADES} SELECT feed_venue, strftime(trade_time, '%d') AS day, count(*) AS trades FROM trades GROUP BY ALL""")
+def stream_store_and_log(spark, sf):
+    from barlake.functions.names import trade_filename
+
+    root, log = scratch_dir(spark, "stream-lake"), scratch_dir(spark, "stream-log")
+    stream = _trade_stream(spark, sf).withColumn("file_name", trade_filename("feed_venue", "trade_time"))
+    sink = streams.store_and_log(spark, root, log, lambda: views.manifest(spark, sf), "2024-02-01 00:00:00")
+    streams.run_available(stream, scratch_dir(spark, "checkpoint"), sink)
+    logged = streams.read_log(spark, log).agg(F.sum("trade_count")).first()[0]
+    stored = read_staged(spark, root, TRADE_PARTITIONS)
+    if logged != stored.count():
+        raise ValueError("the log does not add up to the stored trades")
+    return stored.groupBy("feed_venue", "day").agg(F.count(F.lit(1)).alias("trades"))
+
+
+@query("stream_log", f"""WITH {views.TRADES}, {views.MANIFEST} SELECT venue, date, minute AS timestamp, count(t.tick_id) > 0 AS has_data, count(t.tick_id) AS trade_count
+  FROM manifest m LEFT JOIN (SELECT * FROM trades WHERE volume > 5) t ON m.venue = t.feed_venue AND m.minute = strftime(t.trade_time, '%Y-%m-%dT%H_%M') GROUP BY ALL""")
+def stream_log(spark, sf):
+    from barlake.functions.names import trade_filename
+    from barlake.operators.ingest import log_rows
+
+    log = scratch_dir(spark, "stream-log")
+    # files whose trades are all small count as empty ones
+    stream = _trade_stream(spark, sf).filter("volume > 5").withColumn("file_name", trade_filename("feed_venue", "trade_time"))
+
+    def each(batch, batch_id):
+        counts = batch.groupBy("file_name").agg(F.count(F.lit(1)).alias("trade_count"))
+        streams.merge_log(spark, log, log_rows(views.manifest(spark, sf), counts, "2024-02-01 00:00:00"))
+
+    streams.run_available(stream, scratch_dir(spark, "checkpoint"), each)
+    return streams.read_log(spark, log).drop("downloaded_at")
+
+
+@query("late_data", HOURLY)
+def late_data(spark, sf):
+    trades = views.trades(spark, sf)
+    # trades of small volume arrive after the watermark; their bars are recomputed
+    prompt, late = trades.filter("volume >= 10"), trades.filter("volume < 10")
+    root = scratch_dir(spark, "late-bars")
+    streams.correct_late_bars(spark, prompt, prompt, root, "1h")
+    streams.correct_late_bars(spark, trades, late, root, "1h")
+    bars = read_staged(spark, root, streams.BAR_PARTITIONS).drop(*streams.BAR_PARTITIONS)
+    return rounded(bars, 6, *PRICES)
+
+
+@query("split_late", f"""WITH {views.TRADES} SELECT trade_time < TIMESTAMP '2024-01-15 12:00:00' AS late, count(*) AS trades FROM trades GROUP BY 1""")
+def split_late(spark, sf):
+    prompt, late = streams.split_late(views.trades(spark, sf), "2024-01-15 12:00:00")
+    parts = prompt.select(F.lit(False).alias("late")).unionByName(late.select(F.lit(True).alias("late")))
+    return parts.groupBy("late").agg(F.count(F.lit(1)).alias("trades"))
+
+
+@query("foreach_batch_upsert", f"""WITH {views.BARS_RAW} SELECT stock, date, max(price) AS close FROM bars_raw GROUP BY ALL""")
+def foreach_batch_upsert(spark, sf):
+    root = scratch_dir(spark, "stream-upsert")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    bars = _event_stream(spark, sf, "lineitem").select(
+        F.format_string("P%06d", "l_partkey").alias("stock"), F.col("l_shipdate").alias("date"),
+        *[price.alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(0).cast("bigint").alias("volume"), F.lit(1).cast("bigint").alias("sequence"),
+    )
+    streams.run_available(bars, scratch_dir(spark, "checkpoint"), streams.foreach_batch_upsert(spark, root))
+    return scan_bars_partitioned(spark, root).select("stock", "date", "close")
+
+
+REGISTRY_SQL = f"WITH {views.REGISTRY}"
+
+
+@query("incremental_update", f"""{REGISTRY_SQL}, bars AS (SELECT CAST(o_custkey AS VARCHAR) AS stock, o_orderpriority AS interval, o_orderdate AS date FROM orders GROUP BY ALL),
+  p AS (SELECT t.ticker, '1-URGENT' AS interval, try_cast(i.last_data_date AS TIMESTAMP) AS s FROM tickers t
+    LEFT JOIN intervals i ON i.ticker = t.ticker AND i.interval = '1-URGENT'
+    WHERE t.status = 'active' AND (i.status IS NULL OR i.status <> 'not_found' OR coalesce(date_diff('day', try_cast(last_not_found_date AS DATE), DATE '2001-08-15') >= 30, true)))
+  SELECT b.stock, b.date FROM bars b JOIN p ON b.stock = p.ticker AND b.interval = p.interval AND (p.s IS NULL OR b.date >= p.s)""")
+def incremental_update(spark, sf):
+    tickers, intervals = views.registry(spark, sf)
+    orders = table(spark, sf, "orders")
+    landed = orders.groupBy(
+        F.col("o_custkey").cast("string").alias("stock"), F.col("o_orderpriority").alias("interval"), F.col("o_orderdate").alias("date")
+    ).agg(F.max("o_totalprice").alias("close"))
+    root = scratch_dir(spark, "updates")
+    updates.incremental_update(spark, {"1-URGENT": root}, tickers, intervals, landed, "2001-08-15 17:00:00")
+    return scan_bars_partitioned(spark, root).select("stock", "date")
+
+
+@query("live_registry_state", """WITH l AS (SELECT CAST(o_custkey AS VARCHAR) AS ticker, o_orderpriority,
+    max(struct_pack(d := o_orderdate, f := o_orderstatus = 'O')).f AS found FROM orders GROUP BY 1, 2)
+  SELECT ticker, CASE WHEN bool_or(found) THEN 'active' ELSE 'not_found' END AS status, count(*) AS intervals,
+    count(*) FILTER (WHERE NOT found) AS not_found_intervals FROM l GROUP BY 1""")
+def live_registry_state(spark, sf):
+    outcomes = _event_stream(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("ticker"), F.col("o_orderpriority").alias("interval"),
+        (F.col("o_orderstatus") == "O").alias("found"), F.col("o_orderdate").alias("at"),
+    )
+    root = scratch_dir(spark, "live")
+    streams.run_available(
+        updates.live_registry_state(outcomes), scratch_dir(spark, "checkpoint"), streams.bar_versions(spark, root), "update"
+    )
+    return spark.read.parquet(root).drop("batch_id")

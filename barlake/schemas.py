@@ -6,8 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "STRING": T.StringType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Flat schema from ``name TYPE, …``; needs no session, unlike DDL parsing."""
+    pairs = (field.split() for field in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 BARS = _struct(
@@ -89,14 +101,16 @@ DOWNLOAD_LOG = _struct(
     "trade_count BIGINT, downloaded_at TIMESTAMP_NTZ"
 )
 TICKERS = _struct("ticker STRING, added_date STRING, status STRING, last_checked STRING")
-STORAGE = (
-    "STRUCT<mode: STRING, market: STRING, source: STRING, dataset: STRING, "
-    "root: STRING, venue: STRING, verified_at: STRING>"
+STORAGE = _struct(
+    "mode STRING, market STRING, source STRING, dataset STRING, root STRING, venue STRING, "
+    "verified_at STRING"
 )
-INTERVALS = _struct(
-    "ticker STRING, interval STRING, status STRING, last_found_date STRING, "
-    "last_data_date STRING, last_not_found_date STRING, last_checked STRING, "
-    f"storage {STORAGE}"
+INTERVALS = T.StructType(
+    _struct(
+        "ticker STRING, interval STRING, status STRING, last_found_date STRING, "
+        "last_data_date STRING, last_not_found_date STRING, last_checked STRING"
+    ).fields
+    + [T.StructField("storage", STORAGE)]
 )
 MAPPING = _struct(
     "isin STRING, ticker STRING, name STRING, currency STRING, wkn STRING, "

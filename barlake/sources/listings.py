@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 
 from barlake.schemas import MAPPING, TICKERS
 
-LISTING = T.StructType.fromDDL("SourcePrefix STRING, CurrentFiles ARRAY<STRING>")
+LISTING = T.StructType([
+    T.StructField("SourcePrefix", T.StringType()),
+    T.StructField("CurrentFiles", T.ArrayType(T.StringType())),
+])
 
 
 def read_symbol_csv(spark: SparkSession, path: str) -> DataFrame:
