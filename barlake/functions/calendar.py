@@ -50,8 +50,8 @@ def day_start(ts: Column | str) -> Column:
 
 
 def hhmm(ts: Column | str) -> Column:
-    t = col(ts)
-    return F.format_string("%02d:%02d", F.hour(t), F.minute(t))
+    """Hour and minute as text; needs a zoneless timestamp, whose text is session-independent."""
+    return F.substring(col(ts).cast("string"), 12, 5)
 
 
 def minute_of_day(ts: Column | str) -> Column:

@@ -34,25 +34,29 @@ def trade_filename(venue: Column | str, ts: Column | str) -> Column:
     return F.concat(col(venue), F.lit("-posttrade-"), minute_key(ts), F.lit(".json.gz"))
 
 
+def _text(ts: Column | str) -> Column:
+    """``YYYY-MM-DD HH:MM:SS…``; the text of a zoneless timestamp does not depend on the session."""
+    return col(ts).cast("string")
+
+
 def minute_key(ts: Column | str) -> Column:
     """The minute as the feed writes it: YYYY-MM-DDTHH_MM."""
-    t = col(ts)
-    return F.format_string(
-        "%04d-%02d-%02dT%02d_%02d",
-        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+    t = _text(ts)
+    return F.concat(
+        F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 2), F.lit("_"), F.substring(t, 15, 2)
     )
 
 
 def partition_year(ts: Column | str) -> Column:
-    return F.format_string("%04d", F.year(col(ts)))
+    return F.substring(_text(ts), 1, 4)
 
 
 def partition_month(ts: Column | str) -> Column:
-    return F.format_string("%02d", F.month(col(ts)))
+    return F.substring(_text(ts), 6, 2)
 
 
 def partition_day(ts: Column | str) -> Column:
-    return F.format_string("%02d", F.dayofmonth(col(ts)))
+    return F.substring(_text(ts), 9, 2)
 
 
 def partition_part(text: Column | str) -> Column:

@@ -6,7 +6,7 @@ columns. How one very long key is spread over tasks is told in ``series``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from math import exp, isqrt
 
 from pyspark.sql import Column, DataFrame
@@ -81,53 +81,65 @@ def halflife_to_span(halflife: float) -> float:
     return 2 * halflife - 1
 
 
-def ewma(df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str] = KEYS,
-         order: str = ORDER) -> DataFrame:
-    """Exponentially weighted means, weights normalised from the first value on.
+def _span_decay(span: float) -> float:
+    return 1.0 - 2.0 / (span + 1.0)
 
-    Numerator and denominator are two linear recurrences with the same decay.
-    Null values keep decaying the weights and repeat the last mean.
-    """
+
+def span_memory(spans: Iterable[float]) -> int:
+    return max(series.memory_rows(_span_decay(s)) for s in spans)
+
+
+def add_ewma(b: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str],
+             stretch: int | None = None) -> DataFrame:
     x = F.col(value).cast("double")
-    has = F.when(x.isNotNull(), 1.0).otherwise(0.0)
-    recurrences = {}
+    terms = {}
     for name, span in spans.items():
-        decay = F.lit(1.0 - 2.0 / (span + 1.0))
-        recurrences[f"_num_{name}"] = (decay, F.coalesce(x, F.lit(0.0)))
-        recurrences[f"_den_{name}"] = (decay, has)
-    solved = series.linear_scan(df, keys, order, recurrences)
+        terms[f"_num_{name}"] = (_span_decay(span), F.coalesce(x, F.lit(0.0)))
+        terms[f"_den_{name}"] = (_span_decay(span), F.when(x.isNotNull(), 1.0).otherwise(0.0))
+    solved = series.decayed_sums(b, keys, terms, stretch=stretch)
     return solved.select(
-        *df.columns,
-        *[F.try_divide(F.col(f"_num_{n}"), F.col(f"_den_{n}")).alias(n) for n in spans],
+        *b.columns, *[F.try_divide(F.col(f"_num_{n}"), F.col(f"_den_{n}")).alias(n) for n in spans]
+    )
+
+
+def ewma(df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str] = KEYS,
+         order: str = ORDER, block_rows: int = BLOCK_ROWS, stretch: int | None = None) -> DataFrame:
+    """Exponentially weighted means, weights normalised from the first value on.
+
+    Numerator and denominator are two sums with the same decay. Null values keep
+    decaying the weights and repeat the last mean.
+    """
+    return _framed(
+        df, keys, order, span_memory(spans.values()), block_rows, lambda b: add_ewma(b, value, spans, keys, stretch)
     )
 
 
+def add_tema(b: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str],
+             stretch: int | None = None) -> DataFrame:
+    has = F.col(value).isNotNull()
+    out = b.withColumn("_seen", F.count(value).over(series.block_window(keys)))
+    first = has & (F.col("_seen") == 1)
+    for level in (1, 2, 3):
+        terms = {}
+        for name, span in spans.items():
+            x = F.col(value if level == 1 else f"_e{level - 1}_{name}").cast("double")
+            gain = F.when(first, x).when(has, x * (1.0 - _span_decay(span))).otherwise(0.0)
+            terms[f"_e{level}_{name}"] = (_span_decay(span), gain)
+        out = series.decayed_sums(out, keys, terms, F.when(has, 1).otherwise(0), stretch)
+    mean = {n: 3 * F.col(f"_e1_{n}") - 3 * F.col(f"_e2_{n}") + F.col(f"_e3_{n}") for n in spans}
+    return out.select(*b.columns, *[F.when(F.col("_seen") > 0, m).alias(n) for n, m in mean.items()])
+
+
 def tema(df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str] = KEYS,
-         order: str = ORDER) -> DataFrame:
+         order: str = ORDER, block_rows: int = BLOCK_ROWS, stretch: int | None = None) -> DataFrame:
     """3·e1 - 3·e2 + e3, each e the recursive mean of the one before, started at its first value.
 
-    A null value leaves the mean as it is.
+    A null value leaves the means as they are; before the first value there is
+    none. The start of a block fades like any old value, so the halo is the same
+    as for one mean, doubled for the two that follow it.
     """
-    out = series.number_rows(df, keys, order).drop("chunk")
-
-    def smooth(frame: DataFrame, columns: dict[str, tuple[str, float]]) -> DataFrame:
-        recurrences = {}
-        for name, (source, span) in columns.items():
-            x, alpha = F.col(source).cast("double"), 2.0 / (span + 1.0)
-            first = F.col("rn") == 0
-            gain = F.when(first, 1.0).when(x.isNull(), 0.0).otherwise(alpha)
-            recurrences[name] = (1.0 - gain, gain * F.coalesce(x, F.lit(0.0)))
-        return series.linear_scan(frame, keys, order, recurrences)
-
-    for level, source in ((1, lambda n: value), (2, lambda n: f"_e1_{n}"), (3, lambda n: f"_e2_{n}")):
-        out = smooth(out, {f"_e{level}_{n}": (source(n), s) for n, s in spans.items()})
-    return out.select(
-        *df.columns,
-        *[
-            (3 * F.col(f"_e1_{n}") - 3 * F.col(f"_e2_{n}") + F.col(f"_e3_{n}")).alias(n)
-            for n in spans
-        ],
-    )
+    halo = 2 * span_memory(spans.values())
+    return _framed(df, keys, order, halo, block_rows, lambda b: add_tema(b, value, spans, keys, stretch))
 
 
 def _wma(value: Column, n: int, keys: Sequence[str]) -> Column:
@@ -152,40 +164,65 @@ def wma(df: DataFrame, value: str, periods: dict[str, int], keys: Sequence[str]
     )
 
 
-def hma(df: DataFrame, value: str, periods: dict[str, int], keys: Sequence[str] = KEYS,
-        order: str = ORDER, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """WMA over ⌊√n⌋ of 2·WMA(⌊n/2⌋) - WMA(n); all passes share one shuffle."""
+def hma_memory(periods: Iterable[int]) -> int:
+    return max(p + isqrt(p) for p in periods) - 2
+
+
+def add_hma(b: DataFrame, value: str, periods: dict[str, int], keys: Sequence[str]) -> DataFrame:
     x = F.col(value).cast("double")
-    halo = max(p + isqrt(p) for p in periods.values()) - 2
+    raw = {f"_raw_{n}": 2 * _wma(x, p // 2, keys) - _wma(x, p, keys) for n, p in periods.items()}
+    b = b.withColumns(raw)
+    b = b.withColumns({n: _wma(F.col(f"_raw_{n}"), isqrt(p), keys) for n, p in periods.items()})
+    return b.drop(*raw)
 
-    def add(b: DataFrame) -> DataFrame:
-        raw = {
-            f"_raw_{n}": 2 * _wma(x, p // 2, keys) - _wma(x, p, keys) for n, p in periods.items()
-        }
-        b = b.withColumns(raw)
-        b = b.withColumns({n: _wma(F.col(f"_raw_{n}"), isqrt(p), keys) for n, p in periods.items()})
-        return b.drop(*raw)
 
-    return _framed(df, keys, order, halo, block_rows, add)
+def hma(df: DataFrame, value: str, periods: dict[str, int], keys: Sequence[str] = KEYS,
+        order: str = ORDER, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """WMA over ⌊√n⌋ of 2·WMA(⌊n/2⌋) - WMA(n); all passes share one shuffle."""
+    return _framed(
+        df, keys, order, hma_memory(periods.values()), block_rows, lambda b: add_hma(b, value, periods, keys)
+    )
 
 
-def alma(df: DataFrame, value: str, name: str, window: int = 30, offset: float = 0.85,
-         sigma: float = 6.0, keys: Sequence[str] = KEYS, order: str = ORDER,
-         block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Gaussian weights centred at ``offset`` of the window; null until it is full."""
+def add_alma(b: DataFrame, value: str, name: str, keys: Sequence[str], window: int = 30,
+             offset: float = 0.85, sigma: float = 6.0) -> DataFrame:
     centre, width = offset * (window - 1), window / sigma
     weights = [exp(-((i - centre) ** 2) / (2 * width * width)) for i in range(window)]
     total = sum(weights)
     x = F.col(value).cast("double")
+    frame = series.last_rows(keys, window)
+    fixed = F.array(*[F.lit(w / total) for w in weights])
+    terms = F.zip_with(F.collect_list(x).over(frame), fixed, lambda v, w: v * w)
+    mean = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+    return b.withColumn(name, F.when(F.count(x).over(frame) == window, mean))
 
-    def add(b: DataFrame) -> DataFrame:
-        frame = series.last_rows(keys, window)
-        fixed = F.array(*[F.lit(w / total) for w in weights])
-        terms = F.zip_with(F.collect_list(x).over(frame), fixed, lambda v, w: v * w)
-        mean = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
-        return b.withColumn(name, F.when(F.count(x).over(frame) == window, mean))
 
-    return _framed(df, keys, order, window - 1, block_rows, add)
+def alma(df: DataFrame, value: str, name: str, window: int = 30, keys: Sequence[str] = KEYS,
+         order: str = ORDER, block_rows: int = BLOCK_ROWS, **shape) -> DataFrame:
+    """Gaussian weights centred at ``offset`` of the window; null until it is full."""
+    return _framed(
+        df, keys, order, window - 1, block_rows, lambda b: add_alma(b, value, name, keys, window, **shape)
+    )
+
+
+def kama_memory(period: int = 10, slow: int = 30) -> int:
+    return period + series.memory_rows(1.0 - (2.0 / (slow + 1)) ** 2)
+
+
+def add_kama(b: DataFrame, value: str, name: str, keys: Sequence[str], period: int = 10,
+             fast: int = 2, slow: int = 30) -> DataFrame:
+    x = F.col(value).cast("double")
+    quick, calm = 2.0 / (fast + 1), 2.0 / (slow + 1)
+    window = series.block_window(keys)
+    out = b.withColumn("_move", F.abs(x - F.lag(x).over(window)))
+    moves = F.sum("_move").over(series.last_rows(keys, period))
+    ratio = F.coalesce(F.try_divide(F.abs(x - F.lag(x, period).over(window)), moves), F.lit(0.0))
+    out = out.withColumn("_gain", F.pow(ratio * (quick - calm) + calm, 2))
+    seed, before = F.col("rn") == period - 1, F.col("rn") < period - 1
+    a = F.when(seed | before, 0.0).otherwise(1.0 - F.col("_gain"))
+    add = F.when(before, 0.0).when(seed, x).otherwise(F.col("_gain") * x)
+    solved = series.linear_scan(out, keys, a, add, "_k")
+    return solved.select(*b.columns, F.when(~before, F.col("_k")).alias(name))
 
 
 def kama(df: DataFrame, value: str, name: str, period: int = 10, fast: int = 2, slow: int = 30,
@@ -194,78 +231,94 @@ def kama(df: DataFrame, value: str, name: str, period: int = 10, fast: int = 2,
 
     Starts from the value at position ``period - 1``; null before. The gain
     depends on values only, so the mean is a linear recurrence with varying
-    coefficients.
+    coefficients. Values must not be null.
     """
-    x = F.col(value).cast("double")
-    quick, calm = 2.0 / (fast + 1), 2.0 / (slow + 1)
+    return _framed(
+        df, keys, order, kama_memory(period, slow), block_rows,
+        lambda b: add_kama(b, value, name, keys, period, fast, slow),
+    )
 
-    def gain(b: DataFrame) -> DataFrame:
-        window = series.block_window(keys)
-        step = b.withColumn("_move", F.abs(x - F.lag(x).over(window)))
-        moves = F.sum("_move").over(series.last_rows(keys, period))
-        ratio = F.coalesce(F.try_divide(F.abs(x - F.lag(x, period).over(window)), moves), F.lit(0.0))
-        return step.withColumn("_gain", F.pow(ratio * (quick - calm) + calm, 2)).withColumn("_rn", F.col("rn"))
 
-    gained = _framed(df, keys, order, period, block_rows, gain)
-    seed, before = F.col("_rn") == period - 1, F.col("_rn") < period - 1
-    a = F.when(seed | before, 0.0).otherwise(1.0 - F.col("_gain"))
-    b = F.when(before, 0.0).when(seed, x).otherwise(F.col("_gain") * x)
-    solved = series.linear_scan(gained, keys, order, {"_k": (a, b)})
-    return solved.select(*df.columns, F.when(~before, F.col("_k")).alias(name))
+BASELINES = ("volume_ewma_fast", "volume_ewma_slow")
 
 
-def volume_baseline(df: DataFrame, kind: str = "ewma", fast_halflife: int = FAST_HALFLIFE,
-                    slow_halflife: int = SLOW_HALFLIFE, fast_weight: float = FAST_WEIGHT,
-                    keys: Sequence[str] = KEYS, order: str = ORDER, **options) -> DataFrame:
-    """Add volume_ewma_fast, volume_ewma_slow (two-speed kinds) and volume_baseline."""
-    names = ("volume_ewma_fast", "volume_ewma_slow")
+def baseline_memory(kind: str, fast_halflife: int = FAST_HALFLIFE, slow_halflife: int = SLOW_HALFLIFE,
+                    **options) -> int:
+    """Rows before a bar that its baseline can depend on."""
+    halves = (fast_halflife, slow_halflife)
+    if kind in ("ewma", "tema"):
+        rows = span_memory([halflife_to_span(h) for h in halves])
+        return rows if kind == "ewma" else 2 * rows
+    if kind == "hma":
+        return hma_memory(halves)
+    if kind == "alma":
+        return options.get("window", 30) - 1
+    if kind == "kama":
+        return kama_memory(options.get("period", 10), options.get("slow", 30))
+    raise ValueError(f"unknown moving average: {kind}")
+
+
+def add_volume_baseline(b: DataFrame, kind: str, keys: Sequence[str], fast_halflife: int = FAST_HALFLIFE,
+                        slow_halflife: int = SLOW_HALFLIFE, fast_weight: float = FAST_WEIGHT,
+                        **options) -> DataFrame:
     halves = (fast_halflife, slow_halflife)
     if kind in ("ewma", "tema"):
-        mean = ewma if kind == "ewma" else tema
-        spans = {n: halflife_to_span(h) for n, h in zip(names, halves)}
-        out = mean(df, "volume", spans, keys, order, **options)
+        mean = add_ewma if kind == "ewma" else add_tema
+        out = mean(b, "volume", {n: halflife_to_span(h) for n, h in zip(BASELINES, halves)}, keys, **options)
     elif kind == "hma":
-        out = hma(df, "volume", dict(zip(names, halves)), keys, order, **options)
+        out = add_hma(b, "volume", dict(zip(BASELINES, halves)), keys)
     elif kind == "alma":
-        return alma(df, "volume", "volume_baseline", keys=keys, order=order, **options)
-    elif kind == "kama":
-        return kama(df, "volume", "volume_baseline", keys=keys, order=order, **options)
+        return add_alma(b, "volume", "volume_baseline", keys, **options)
     else:
-        raise ValueError(f"unknown moving average: {kind}")
-    mixed = fast_weight * F.col(names[0]) + (1 - fast_weight) * F.col(names[1])
-    return out.withColumn("volume_baseline", mixed)
+        return add_kama(b, "volume", "volume_baseline", keys, **options)
+    fast, slow = (F.col(n) for n in BASELINES)
+    return out.withColumn("volume_baseline", fast_weight * fast + (1 - fast_weight) * slow)
+
+
+def volume_baseline(df: DataFrame, kind: str = "ewma", keys: Sequence[str] = KEYS, order: str = ORDER,
+                    block_rows: int = BLOCK_ROWS, **options) -> DataFrame:
+    """Add volume_ewma_fast, volume_ewma_slow (two-speed kinds) and volume_baseline."""
+    halo = baseline_memory(kind, **options)
+    return _framed(
+        df, keys, order, halo, block_rows, lambda b: add_volume_baseline(b, kind, keys, **options)
+    )
 
 
 def relative_volume(df: DataFrame) -> DataFrame:
     return df.withColumn("relative_volume", F.try_divide(F.col("volume").cast("double"), F.col("volume_baseline")))
 
 
+def add_zscore(b: DataFrame, value: str, name: str, keys: Sequence[str], window: int = 20) -> DataFrame:
+    x = F.col(value).cast("double")
+    frame = series.last_rows(keys, window)
+    enough = F.count(x).over(frame) >= window // 2
+    score = F.try_divide(x - F.avg(x).over(frame), F.stddev_samp(x).over(frame))
+    return b.withColumn(name, F.when(enough, score))
+
+
 def zscore(df: DataFrame, value: str, name: str = "volume_zscore", window: int = 20,
            keys: Sequence[str] = KEYS, order: str = ORDER, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Distance from the rolling mean in sample deviations; needs half a window of values."""
-    x = F.col(value).cast("double")
+    return _framed(
+        df, keys, order, window - 1, block_rows, lambda b: add_zscore(b, value, name, keys, window)
+    )
 
-    def add(b: DataFrame) -> DataFrame:
-        frame = series.last_rows(keys, window)
-        enough = F.count(x).over(frame) >= window // 2
-        score = F.try_divide(x - F.avg(x).over(frame), F.stddev_samp(x).over(frame))
-        return b.withColumn(name, F.when(enough, score))
 
-    return _framed(df, keys, order, window - 1, block_rows, add)
+def add_percentile(b: DataFrame, value: str, name: str, keys: Sequence[str], window: int = 20) -> DataFrame:
+    x = F.col(value).cast("double")
+    recent = b.withColumn("_recent", F.collect_list(x).over(series.last_rows(keys, window)))
+    below = F.size(F.filter("_recent", lambda v: v <= x))
+    share = F.try_divide(below * F.lit(100.0), F.size("_recent"))
+    return recent.withColumn(name, F.when(x.isNotNull(), share)).drop("_recent")
 
 
 def volume_percentile(df: DataFrame, value: str = "volume", name: str = "volume_percentile",
                       window: int = 20, keys: Sequence[str] = KEYS, order: str = ORDER,
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Share (0-100) of the last ``window`` values that are not above the current one."""
-    x = F.col(value).cast("double")
-
-    def add(b: DataFrame) -> DataFrame:
-        recent = b.withColumn("_recent", F.collect_list(x).over(series.last_rows(keys, window)))
-        below = F.size(F.filter("_recent", lambda v: v <= x))
-        return recent.withColumn(name, below * F.lit(100.0) / F.size("_recent")).drop("_recent")
-
-    return _framed(df, keys, order, window - 1, block_rows, add)
+    return _framed(
+        df, keys, order, window - 1, block_rows, lambda b: add_percentile(b, value, name, keys, window)
+    )
 
 
 def _band(value: Column, bands: Sequence[tuple[float, str]]) -> Column:
@@ -377,13 +430,27 @@ def adjust_for_seasonality(df: DataFrame) -> DataFrame:
 
 
 def normalize_analytics(bars: DataFrame, market: DataFrame, ticker: DataFrame | None = None,
-                        kind: str = "ewma", keys: Sequence[str] = KEYS, order: str = ORDER) -> DataFrame:
-    """All normalised columns of a bar table in one go."""
-    out = cumulative_return(log_returns(bars, keys, order), keys, order)
-    out = relative_volume(volume_baseline(out, kind, keys=keys, order=order))
-    out = adjust_for_seasonality(seasonality_lookup(out, market, ticker, keys, order))
-    out = zscore(out, "relative_volume_adjusted", keys=keys, order=order)
-    return volume_percentile(out, "relative_volume_adjusted", keys=keys, order=order)
+                        kind: str = "ewma", window: int = 20, keys: Sequence[str] = KEYS, order: str = ORDER,
+                        block_rows: int = BLOCK_ROWS, **options) -> DataFrame:
+    """All normalised columns of a bar table.
+
+    One set of blocks serves returns, baseline, scores and percentile; its halo
+    is the memory of the baseline plus that of the score. Seasonality is joined
+    before the blocks are formed, so no join stands between the windows.
+    """
+    halo = baseline_memory(kind, **options) + window
+    seasoned = seasonality_lookup(bars, market, ticker, keys, order)
+
+    def add(b: DataFrame) -> DataFrame:
+        previous = F.lag("close").over(series.block_window(keys))
+        out = b.withColumn("log_return", _gross_log(F.col("close"), previous))
+        out = out.withColumn("return_pct", (F.exp("log_return") - 1) * 100)
+        out = relative_volume(add_volume_baseline(out, kind, keys, **options))
+        out = adjust_for_seasonality(out)
+        out = add_zscore(out, "relative_volume_adjusted", "volume_zscore", keys, window)
+        return add_percentile(out, "relative_volume_adjusted", "volume_percentile", keys, window)
+
+    return cumulative_return(_framed(seasoned, keys, order, halo, block_rows, add), keys, order)
 
 
 def movers(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -3,13 +3,17 @@
 A window over ``partitionBy(key).orderBy(time)`` puts a whole key in one task,
 and one key may hold a third of the table. Here the work is cut two ways:
 
-* by month chunk (``chunk``): a month of one-minute bars is at most 44,640 rows.
-  Running values are computed inside a chunk and completed with one carried
-  value per chunk, scanned over the small chunk table (``with_carry``,
-  ``linear_scan``);
+* by month chunk (``with_chunk``): a month of one-minute bars is at most 44,640
+  rows. Running values are computed inside a chunk and completed with one
+  carried value per chunk, scanned over the small chunk table (``with_carry``);
 * by row block (``in_blocks``): rows get their position in the key from chunk
-  row counts, positions cut the key into blocks of fixed length, and the n-1
-  rows before a block are sent to it as well, so a frame of n rows is complete.
+  row counts, positions cut the key into blocks of fixed length, and the rows
+  before a block, its halo, are sent to it as well. Frames of n rows and means
+  with fading memory are then complete inside the block, any number of them
+  after one shuffle.
+
+Each carry or numbering reads its input twice, the second time few columns. Give
+it a stored table; a long derivation is better written out first.
 
 Keys and the order column must be non-null and unique together, as bars are
 once de-duplicated and checked against the write contract.
@@ -17,12 +21,12 @@ once de-duplicated and checked against the write contract.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BLOCK_ROWS = 50_000
 
@@ -118,75 +122,76 @@ def without_blocks(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("is_halo")).drop("rn", "block", "is_halo")
 
 
-def _running_maps(
-    group: list[list], a: list[float], b: list[float], state: tuple
-) -> tuple[list[float], list[float], tuple]:
-    """Running (A, B), with y_t = A_t * y_entering + B_t, restarted at each new group."""
-    big_a, big_b = [], []
-    previous, scale, value = state
-    for key, a_t, b_t in zip(zip(*group), a, b):
-        if key != previous:
-            previous, scale, value = key, 1.0, 0.0
-        scale = a_t * scale
-        value = a_t * value + b_t
-        big_a.append(scale)
-        big_b.append(value)
-    return big_a, big_b, (previous, scale, value)
+def memory_rows(decay: float) -> int:
+    """Rows after which a value's weight is below e^-50 of the newest, far beyond double precision."""
+    return math.ceil(-50 / math.log(decay))
 
 
-def linear_scan(
-    df: DataFrame,
+def decayed_sums(
+    b: DataFrame,
     keys: Sequence[str],
-    order: str,
-    recurrences: dict[str, tuple[Column, Column]],
+    terms: dict[str, tuple[float, Column]],
+    step: Column | None = None,
+    stretch: int | None = None,
 ) -> DataFrame:
-    """Solve y_t = a_t * y_(t-1) + b_t (0 before the first row) for each named pair.
+    """Add y_t = a * y_(t-1) + x_t for each named (a, x), 0 < a < 1, to rows in blocks.
 
-    ``a`` and ``b`` must not be null. A chunk reduces to one affine map in its
-    own task. Maps compose, so the value entering a chunk follows from the maps
-    of the chunks before it, one row each.
+    The halo has to cover ``memory_rows(a)``. In a stretch of rows, y is a^i
+    times the running sum of x_j / a^j, an ordinary window sum. A stretch ends
+    before 1 / a^i leaves the range of a double and continues from the value the
+    one before it ends with. A row whose ``step`` is 0 neither decays nor adds.
+    ``x`` must not be null.
     """
-    keys, names = list(keys), list(recurrences)
-    group = keys + ["chunk"]
-    chunked = with_chunk(df, order)
-    for n in names:
-        a, b = recurrences[n]
-        chunked = chunked.withColumn(f"_a_{n}", a.cast("double")).withColumn(f"_b_{n}", b.cast("double"))
-    arranged = chunked.repartition(*group).sortWithinPartitions(*group, order)
-    schema = arranged.schema
+    keys = list(keys)
+    columns = b.columns
+    so_far = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    out = b.withColumn("_p", F.sum(F.lit(1) if step is None else step).over(so_far))
+    by_decay: dict[float, list[str]] = {}
+    for name, (a, _) in terms.items():
+        by_decay.setdefault(a, []).append(name)
+    for n, (a, names) in enumerate(by_decay.items()):
+        length = stretch or int(250 / -math.log10(a))
+        part, i, decay = f"_part{n}", F.col(f"_i{n}"), F.lit(a)
+        out = out.withColumn(part, F.greatest(F.floor((F.col("_p") - 1) / length), F.lit(0)))
+        out = out.withColumn(f"_i{n}", F.col("_p") - F.col(part) * length)
+        inside = Window.partitionBy(*keys, "block", part).orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+        before = Window.partitionBy(*keys, "block").orderBy(part).rangeBetween(-1, -1)
+        out = out.withColumns({
+            f"_s_{name}": F.pow(decay, i) * F.sum(F.pow(decay, -i) * terms[name][1]).over(inside) for name in names
+        })
+        out = out.withColumns({
+            name: F.col(f"_s_{name}")
+            + F.pow(decay, i) * F.coalesce(F.max_by(f"_s_{name}", "rn").over(before), F.lit(0.0))
+            for name in names
+        })
+    return out.select(*columns, *terms)
+
+
+def linear_scan(b: DataFrame, keys: Sequence[str], a: Column, x: Column, name: str) -> DataFrame:
+    """Add y_t = a_t * y_(t-1) + x_t where the decay varies by row, to rows in blocks.
+
+    Starts from 0 in each block, so the halo has to cover the memory of the
+    slowest decay. One pass over sorted batches; ``a`` and ``x`` must not be null.
+    """
+    group = [*keys, "block"]
+    # The running count pins each block to one task of this stage, in order.
+    placed = b.withColumn("_n", F.count(F.lit(1)).over(block_window(keys)))
+    staged = placed.withColumns({"_a": a.cast("double"), name: x.cast("double")}).sortWithinPartitions(*group, "rn")
+    columns = staged.columns
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = {n: (None, 1.0, 0.0) for n in names}
+        y = 0.0
         for batch in batches:
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            marks = [columns[k].to_pylist() for k in group]
-            for n in names:
-                big_a, big_b, state[n] = _running_maps(
-                    marks, columns[f"_a_{n}"].to_pylist(), columns[f"_b_{n}"].to_pylist(), state[n]
-                )
-                columns[f"_a_{n}"] = pa.array(big_a, pa.float64())
-                columns[f"_b_{n}"] = pa.array(big_b, pa.float64())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-    local = arranged.mapInArrow(solve, schema)
-
-    def entering(n: str) -> Column:
-        step = F.struct(F.col(f"_a_{n}").alias("a"), F.col(f"_b_{n}").alias("b"))
-        steps = F.collect_list(step).over(earlier_chunks(keys))
-        return F.aggregate(steps, F.lit(0.0), lambda y, m: m["a"] * y + m["b"])
-
-    # The map of a whole chunk is the running map of its last row.
-    summary = {
-        f"_{p}_{n}": F.max_by(f"_{p}_{n}", order) for n in names for p in "ab"
-    }
-    solved = with_carry(local, keys, summary, {f"_in_{n}": entering(n) for n in names})
-    return solved.select(
-        *df.columns,
-        *[
-            (F.col(f"_a_{n}") * F.coalesce(F.col(f"_in_{n}"), F.lit(0.0)) + F.col(f"_b_{n}")).alias(n)
-            for n in names
-        ],
-    )
+            count, decay, add = (batch.column(columns.index(c)).to_pylist() for c in ("_n", "_a", name))
+            values = []
+            for n_t, a_t, x_t in zip(count, decay, add):
+                y = x_t if n_t == 1 else a_t * y + x_t
+                values.append(y)
+            arrays = [batch.column(i) for i in range(len(columns))]
+            arrays[columns.index(name)] = pa.array(values, pa.float64())
+            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+
+    return staged.mapInArrow(solve, staged.schema).drop("_n", "_a")
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -27,8 +27,8 @@ def _event_stream(spark, sf, name="events"):
 
 def _trade_stream(spark, sf):
     return _event_stream(spark, sf).select(
-        F.format_string("XX%010d", "user_id").alias("isin"), F.col("ts").alias("trade_time"),
-        F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        views.padded("XX", "user_id", 10).alias("isin"), F.col("ts").alias("trade_time"),
+        F.col("value").alias("price"), views.volume_of("props").alias("volume"),
         F.col("event_id").alias("tick_id"), F.col("event_id").cast("string").alias("trans_id"),
         F.col("event_type").alias("feed_venue"),
     )
@@ -54,10 +54,9 @@ def stream_dedupe(spark, sf):
 
 
 def _landing(spark, sf):
-    """Vendor lines landed as one file per venue and day, named like a feed file."""
+    """Vendor lines landed in a folder, a few files of them."""
     landing = scratch_dir(spark, "landing")
-    lines = views.trade_lines(spark, sf).withColumn("date", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})T", 1))
-    lines.select("value").write.text(landing)
+    views.trade_lines(spark, sf).select("value").repartition(8).write.option("compression", "gzip").text(landing)
     return landing
 
 
@@ -130,7 +129,7 @@ def foreach_batch_upsert(spark, sf):
     root = scratch_dir(spark, "stream-upsert")
     price = F.col("l_extendedprice") / F.col("l_quantity")
     bars = _event_stream(spark, sf, "lineitem").select(
-        F.format_string("P%06d", "l_partkey").alias("stock"), F.col("l_shipdate").alias("date"),
+        views.padded("P", "l_partkey", 6).alias("stock"), F.col("l_shipdate").alias("date"),
         *[price.alias(c) for c in ("open", "high", "low", "close")],
         F.lit(0).cast("bigint").alias("volume"), F.lit(1).cast("bigint").alias("sequence"),
     )

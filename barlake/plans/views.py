@@ -6,7 +6,7 @@ table expression for their oracles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.names import trade_filename
@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def padded(prefix: str, number: str, width: int) -> Column:
+    return F.concat(F.lit(prefix), F.lpad(F.col(number).cast("string"), width, "0"))
+
+
+def volume_of(props: str) -> Column:
+    return F.regexp_extract(props, '"k": *([0-9]+)', 1).cast("double")
+
+
 # --- trades ------------------------------------------------------------------
 
 TRADES = """trades AS (
@@ -29,10 +37,10 @@ TRADES = """trades AS (
 
 def trades(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
-        F.format_string("XX%010d", "user_id").alias("isin"),
+        padded("XX", "user_id", 10).alias("isin"),
         F.col("ts").alias("trade_time"),
         F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        volume_of("props").alias("volume"),
         F.col("event_id").alias("tick_id"),
         F.col("event_id").cast("string").alias("trans_id"),
         F.col("event_type").alias("feed_venue"),
@@ -109,9 +117,9 @@ BARS_RAW = """bars_raw AS (
   FROM lineitem)"""
 BARS_DAILY = BARS_RAW + """, bars AS (
   SELECT stock, date,
-         first(price ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) AS open,
+         first(price ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS open,
          max(price) AS high, min(price) AS low,
-         last(price ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) AS close,
+         last(price ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS close,
          CAST(sum(volume) AS BIGINT) AS volume, CAST(NULL AS BIGINT) AS sequence
   FROM bars_raw GROUP BY stock, date)"""
 # Several versions of one bar per month, some without a sequence.
@@ -125,7 +133,7 @@ def bars_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Every line item as a bar, duplicates of (stock, date) included."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
     return table(spark, sf, "lineitem").select(
-        F.format_string("P%06d", "l_partkey").alias("stock"),
+        padded("P", "l_partkey", 6).alias("stock"),
         F.col("l_shipdate").alias("date"),
         price.alias("open"), price.alias("high"), price.alias("low"), price.alias("close"),
         F.col("l_quantity").cast("bigint").alias("volume"),
@@ -135,12 +143,17 @@ def bars_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bars_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """One bar per (stock, date); the remaining columns make first and last well defined."""
+    """One bar per (stock, date), opened and closed by order, line, quantity and amount.
+
+    The four are packed in one number, which keeps the aggregate hash-based.
+    """
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    order = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
+    line = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    amount = F.col("l_quantity").cast("bigint") * 10**12 + F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    order = (line.cast("decimal(19,0)") * F.lit(10**15).cast("decimal(16,0)") + amount).cast("decimal(38,0)")
     return (
         table(spark, sf, "lineitem")
-        .groupBy(F.format_string("P%06d", "l_partkey").alias("stock"), F.col("l_shipdate").alias("date"))
+        .groupBy(padded("P", "l_partkey", 6).alias("stock"), F.col("l_shipdate").alias("date"))
         .agg(
             F.min_by(price, order).alias("open"), F.max(price).alias("high"),
             F.min(price).alias("low"), F.max_by(price, order).alias("close"),
@@ -236,7 +249,7 @@ MAPPINGS = """mapping_old AS (
 
 def mapping_old(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").filter(F.col("c_mktsegment") != "BUILDING").select(
-        F.format_string("XX%010d", "c_custkey").alias("isin"),
+        padded("XX", "c_custkey", 10).alias("isin"),
         F.lower("c_name").alias("ticker"), F.col("c_name").alias("name"), F.lit("EUR").alias("currency"),
         F.col("c_custkey").cast("string").alias("wkn"), F.lit("active").alias("status"),
         F.lit("2023-06-01").cast("date").alias("first_seen"),
@@ -248,7 +261,7 @@ def mapping_old(spark: SparkSession, sf: str) -> DataFrame:
 def mapping_new(spark: SparkSession, sf: str) -> DataFrame:
     renamed = F.when(F.col("c_acctbal") > 9000, F.concat(F.lit("n"), F.lower("c_name"))).otherwise(F.lower("c_name"))
     return table(spark, sf, "customer").filter(F.col("c_mktsegment") != "FURNITURE").select(
-        F.format_string("XX%010d", "c_custkey").alias("isin"), renamed.alias("ticker"),
+        padded("XX", "c_custkey", 10).alias("isin"), renamed.alias("ticker"),
         F.col("c_name").alias("name"), F.lit("EUR").alias("currency"),
         F.col("c_custkey").cast("string").alias("wkn"), F.lit("active").alias("status"),
         F.lit("2024-02-01").cast("date").alias("last_seen"), F.lit("list").alias("source"),
@@ -258,7 +271,7 @@ def mapping_new(spark: SparkSession, sf: str) -> DataFrame:
 def splits(spark: SparkSession, sf: str) -> DataFrame:
     """One or two splits for the smaller parts."""
     part = table(spark, sf, "part").filter(F.col("p_size") <= 10)
-    stock = F.format_string("P%06d", "p_partkey").alias("stock")
+    stock = padded("P", "p_partkey", 6).alias("stock")
     first = part.select(stock, F.lit("1998-01-01 00:00:00").cast("timestamp_ntz").alias("date"), F.lit(2.0).alias("ratio"))
     second = part.filter(F.col("p_size") <= 5).select(
         stock, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("date"), F.lit(4.0).alias("ratio")
