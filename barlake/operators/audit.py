@@ -143,46 +143,49 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     )
 
 
-def _probe(path: str, required: set[str]) -> tuple[str, int | None, str]:
-    """Look at one footer (and at the index column where that may stand in)."""
+# Fixed value: nanoseconds from the epoch to 2000-01-01; larger integers are taken for timestamps.
+FIRST_EPOCH = 946_684_800_000_000_000
+
+
+def _index_stands_in(file) -> bool:
+    """Are the values of the file's ``index`` column whole numbers, and not all timestamps?"""
     import pyarrow as pa
     import pyarrow.compute as pc
+
+    kind = file.schema_arrow.field("index").type
+    if not (pa.types.is_integer(kind) or pa.types.is_floating(kind)):
+        return False
+    all_recent = True
+    for batch in file.iter_batches(columns=["index"]):
+        values = batch.column(0)
+        if values.null_count or (pa.types.is_floating(kind) and not pc.all(pc.equal(pc.floor(values), values)).as_py()):
+            return False
+        all_recent = all_recent and pc.min(values).as_py() >= FIRST_EPOCH
+    return not all_recent
+
+
+def _probe(path: str, required: set[str]) -> tuple[str, int | None, str]:
+    """Status, rows and missing columns from a footer (and the index column where that may stand in)."""
+    import pyarrow as pa
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
-    filesystem, inner = pafs.FileSystem.from_uri(path)
     try:
+        filesystem, inner = pafs.FileSystem.from_uri(path)
         with filesystem.open_input_file(inner) as handle:
             file = pq.ParquetFile(handle)
-            rows, names = file.metadata.num_rows, set(file.schema_arrow.names)
+            rows, columns = file.metadata.num_rows, {f.name: f.type for f in file.schema_arrow}
             if rows == 0:
                 return "empty", 0, ""
-            missing = required - names
-            if missing == {"sequence"}:
-                if "index" not in names:
-                    return "recoverable", rows, "sequence"
-                index = file.schema_arrow.field("index").type
-                if pa.types.is_integer(index) or pa.types.is_floating(index):
-                    first_epoch = 946_684_800_000_000_000
-                    whole, epoch_like = True, True
-                    for batch in file.iter_batches(columns=["index"]):
-                        column = batch.column(0)
-                        whole = whole and column.null_count == 0 and pc.all(
-                            pc.equal(pc.floor(column.cast(pa.float64())), column.cast(pa.float64()))
-                        ).as_py() is not False
-                        epoch_like = epoch_like and pc.min(column).as_py() is not None and (
-                            pc.min(column).as_py() >= first_epoch
-                        )
-                    if whole and not epoch_like:
-                        return "recoverable", rows, "sequence"
+            missing = required - set(columns)
+            if missing == {"sequence"} and ("index" not in columns or _index_stands_in(file)):
+                return "recoverable", rows, "sequence"
             if missing:
                 return "missing_columns", rows, ",".join(sorted(missing))
-            for name in ("stock",):
-                kind = file.schema_arrow.field(name).type
-                if not (pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_dictionary(kind)):
-                    return "bad_type", rows, name
+            if "stock" in columns and not (pa.types.is_string(columns["stock"]) or pa.types.is_large_string(columns["stock"])):
+                return "bad_type", rows, "stock"
             return "ok", rows, ""
-    except (OSError, pa.ArrowInvalid, ValueError):
+    except (OSError, pa.ArrowInvalid):
         return "unreadable", None, ""
 
 

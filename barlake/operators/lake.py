@@ -108,22 +108,32 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
     existing = scan_partitions(spark, root, layout).join(touched, parts, "left_semi")
     stage = scratch_dir(spark, "upsert")
     write_bars_monthly(merge_bars(existing, dated), stage, layout, **options)
-    publish(spark, stage, root, parts, ["stock", "date"], **options)
+    publish(spark, stage, root, existing.schema, parts, ["stock", "date"], **options)
 
 
-def read_staged(spark: SparkSession, root: str, partition_by: Sequence[str]) -> DataFrame:
-    """A partitioned table with its partition values kept as text."""
-    found = spark.read.option("basePath", root).parquet(root).schema
-    schema = T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name in partition_by else f for f in found.fields]
+def _text_partitions(schema: T.StructType, partition_by: Sequence[str]) -> T.StructType:
+    return T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name in partition_by else f for f in schema.fields]
     )
-    return spark.read.schema(schema).option("basePath", root).parquet(root)
 
 
-def publish(spark: SparkSession, stage: str, active: str, partition_by: Sequence[str],
+def read_staged(
+    spark: SparkSession, root: str, partition_by: Sequence[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """A partitioned table with its partition values kept as text.
+
+    Name the schema where the table may be empty: no file then tells it.
+    """
+    if schema is None:
+        schema = spark.read.option("basePath", root).parquet(root).schema
+    return spark.read.schema(_text_partitions(schema, partition_by)).option("basePath", root).parquet(root)
+
+
+def publish(spark: SparkSession, stage: str, active: str, schema: T.StructType, partition_by: Sequence[str],
             sort_by: Sequence[str], **options) -> None:
     """Replace the partitions of the active table that the stage holds."""
-    write_partitioned(read_staged(spark, stage, partition_by), active, partition_by, sort_by, **options)
+    staged = read_staged(spark, stage, partition_by, schema)
+    write_partitioned(staged, active, partition_by, sort_by, **options)
 
 
 TRADE_PARTITIONS = ["feed_venue", "year", "month", "day"]
@@ -149,7 +159,7 @@ def append_trades_daily(spark: SparkSession, root: str, new: DataFrame, **option
     merged = dedupe_trades(both).drop("batch_rank")
     stage = scratch_dir(spark, "trades")
     write_partitioned(merged, stage, TRADE_PARTITIONS, ["trade_time", "tick_id"], **options)
-    publish(spark, stage, root, TRADE_PARTITIONS, ["trade_time", "tick_id"], **options)
+    publish(spark, stage, root, merged.schema, TRADE_PARTITIONS, ["trade_time", "tick_id"], **options)
 
 
 def read_trades(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
@@ -236,9 +246,9 @@ def staged_publish(
     write_partitioned(new, stage, partition_by, sort_by, **options)
     verdict = outcome.first()["outcome"]
     if verdict != "hold":
-        publish(spark, stage, active, partition_by, sort_by, **options)
+        publish(spark, stage, active, new.schema, partition_by, sort_by, **options)
     status = {"publish": "published", "partial": "partial", "hold": "held"}[verdict]
-    staged = read_staged(spark, stage, partition_by)
+    staged = read_staged(spark, stage, partition_by, new.schema)
     return frame_checksum(staged.select(*sorted(staged.columns)), keys).withColumns(
         {"status": F.lit(status), "stage": F.lit(stage), "verified_at": F.lit(verified_at)}
     )
@@ -284,6 +294,6 @@ def migrate_interval(
     )
     final = scratch_dir(spark, "migrated")
     write_bars_monthly(others.unionByName(fresh), final, layout, **options)
-    publish(spark, final, root, parts, ["stock", "date"], **options)
+    publish(spark, final, root, stored.schema, parts, ["stock", "date"], **options)
     totals = migration_totals(verdicts, venue, interval)
     return verdicts, totals if tickers is None else totals.limit(0)

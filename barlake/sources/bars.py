@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.functions.calendar import EPOCH
 from barlake.functions.names import partition_month, partition_year
 from barlake.operators.dedupe import dedupe_bars
 from barlake.operators.normalize import normalize_bars
@@ -101,3 +102,22 @@ def sample_tickers(df: DataFrame, n: int, seed: int, column: str = "stock") -> D
     """A repeatable draw of n tickers, returned in name order."""
     draw = F.xxhash64(F.col(column), F.lit(seed))
     return df.select(column).distinct().orderBy(draw, column).limit(n).orderBy(column)
+
+
+def read_nano_parquet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Files with TIMESTAMP(NANOS) columns: microseconds under the name, the full value as ``<name>_ns``.
+
+    Spark refuses the type unless it is read as a long, which is a session
+    setting; it is put back at once, as the files' schema is settled here.
+    """
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        raw = spark.read.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    micros = {c: F.timestamp_add("MICROSECOND", F.floor(F.col(c) / 1000), F.expr(EPOCH)) for c in columns}
+    return raw.select(
+        *[micros.get(c, F.col(c)).alias(c) for c in raw.columns], *[F.col(c).alias(f"{c}_ns") for c in columns]
+    )

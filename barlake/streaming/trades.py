@@ -192,7 +192,7 @@ def correct_late_bars(spark: SparkSession, trades: DataFrame, late: DataFrame, b
     )
     stage = scratch_dir(spark, "late")
     write_partitioned(kept.select(*fresh.columns).unionByName(fresh), stage, BAR_PARTITIONS, [*keys, "bar"])
-    publish(spark, stage, bars_root, BAR_PARTITIONS, [*keys, "bar"])
+    publish(spark, stage, bars_root, fresh.schema, BAR_PARTITIONS, [*keys, "bar"])
 
 
 def split_late(batch: DataFrame, watermark: str) -> tuple[DataFrame, DataFrame]:
