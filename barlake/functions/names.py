@@ -13,16 +13,21 @@ FLAT_LAYOUT = r"stocks_([^/]+)/([^/]+)\.parquet$"
 
 
 def parse_trade_filename(name: Column | str) -> Column:
-    """Struct of venue, kind, date and minute key; all null when the name does not fit."""
+    """Struct of venue, kind, date and minute key; null when the name does not fit.
+
+    One pattern decides; the fields are then cut by position from the end, where
+    ``YYYY-MM-DDTHH_MM.json.gz`` takes 24 characters.
+    """
     n = col(name)
-    fits = n.rlike(TRADE_FILE)
-    part = [F.when(fits, F.regexp_extract(n, TRADE_FILE, i)) for i in range(1, 5)]
-    return F.struct(
-        part[0].alias("venue"),
-        part[1].alias("kind"),
-        part[2].alias("date"),
-        F.concat(part[2], F.lit("T"), part[3]).alias("minute"),
-    )
+    lead = n.substr(F.lit(1), F.length(n) - 25)
+    kind = F.substring_index(lead, "-", -1)
+    fields = {
+        "venue": lead.substr(F.lit(1), F.length(lead) - F.length(kind) - 1),
+        "kind": kind,
+        "date": n.substr(F.length(n) - 23, F.lit(10)),
+        "minute": n.substr(F.length(n) - 23, F.lit(16)),
+    }
+    return F.when(n.rlike(TRADE_FILE), F.struct(*[c.alias(k) for k, c in fields.items()]))
 
 
 def file_date(name: Column | str) -> Column:

@@ -19,26 +19,27 @@ from barlake.session import scratch_dir
 from barlake.sources.bars import LAYOUT_COLUMNS, scan_partitions
 
 
-def write_partitioned(
+def write_partitioned(df: DataFrame, root: str, partition_by: Sequence[str], sort_by: Sequence[str], **options) -> None:
+    """Range-partitioned write of sorted files; only partitions in ``df`` are replaced.
+
+    Ranges over the partition and sort columns split a heavy partition over
+    several tasks, and keep a light one in few files.
+    """
+    _write_sorted(df.repartitionByRange(*partition_by, *sort_by), root, partition_by, sort_by, **options)
+
+
+def _write_sorted(
     df: DataFrame,
     root: str,
     partition_by: Sequence[str],
     sort_by: Sequence[str],
-    mode: str = "overwrite",
     compression: str = "gzip",
     rows_per_file: int = 0,
     block_bytes: int | None = None,
 ) -> None:
-    """Range-partitioned write of sorted files; only partitions in ``df`` are replaced.
-
-    Ranges over the partition and sort columns split a heavy partition over
-    several tasks, and keep a light one in few files.
-    """
-    layout = [*partition_by, *sort_by]
     writer = (
-        df.repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-        .write.mode(mode)
+        df.sortWithinPartitions(*partition_by, *sort_by)
+        .write.mode("overwrite")
         .partitionBy(*partition_by)
         .option("compression", compression)
         .option("partitionOverwriteMode", "dynamic")
@@ -131,9 +132,12 @@ def read_staged(
 
 def publish(spark: SparkSession, stage: str, active: str, schema: T.StructType, partition_by: Sequence[str],
             sort_by: Sequence[str], **options) -> None:
-    """Replace the partitions of the active table that the stage holds."""
+    """Replace the partitions of the active table that the stage holds.
+
+    The stage is laid out already, so its files are rewritten without a shuffle.
+    """
     staged = read_staged(spark, stage, partition_by, schema)
-    write_partitioned(staged, active, partition_by, sort_by, **options)
+    _write_sorted(staged, active, partition_by, sort_by, **options)
 
 
 TRADE_PARTITIONS = ["feed_venue", "year", "month", "day"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barlake.operators.lake import TRADE_PARTITIONS, read_staged
+from barlake.operators.lake import TRADE_PARTITIONS, read_staged, with_trade_partitions
 from barlake.plans import views
 from barlake.plans.bars import PRICES
 from barlake.plans.catalog import CATALOG, query, rounded
@@ -78,7 +78,7 @@ def stream_store_and_log(spark, sf):
 
     root, log = scratch_dir(spark, "stream-lake"), scratch_dir(spark, "stream-log")
     stream = _trade_stream(spark, sf).withColumn("file_name", trade_filename("feed_venue", "trade_time"))
-    sink = streams.store_and_log(spark, root, log, lambda: views.manifest(spark, sf), "2024-02-01 00:00:00")
+    sink = streams.store_and_log(spark, root, log, "2024-02-01 00:00:00")
     streams.run_available(stream, scratch_dir(spark, "checkpoint"), sink)
     logged = streams.read_log(spark, log).agg(F.sum("trade_count")).first()[0]
     stored = read_staged(spark, root, TRADE_PARTITIONS)
@@ -97,17 +97,20 @@ def stream_log(spark, sf):
     # files whose trades are all small count as empty ones
     stream = _trade_stream(spark, sf).filter("volume > 5").withColumn("file_name", trade_filename("feed_venue", "trade_time"))
 
+    at = "2024-02-01 00:00:00"
+
     def each(batch, batch_id):
         counts = batch.groupBy("file_name").agg(F.count(F.lit(1)).alias("trade_count"))
-        streams.merge_log(spark, log, log_rows(views.manifest(spark, sf), counts, "2024-02-01 00:00:00"))
+        streams.merge_log(spark, log, log_rows(counts.select("file_name"), counts, at))
 
     streams.run_available(stream, scratch_dir(spark, "checkpoint"), each)
+    streams.log_empty_files(spark, log, views.manifest(spark, sf), at)
     return streams.read_log(spark, log).drop("downloaded_at")
 
 
 @query("late_data", HOURLY)
 def late_data(spark, sf):
-    trades = views.trades(spark, sf)
+    trades = with_trade_partitions(views.trades(spark, sf))
     # trades of small volume arrive after the watermark; their bars are recomputed
     prompt, late = trades.filter("volume >= 10"), trades.filter("volume < 10")
     root = scratch_dir(spark, "late-bars")

@@ -15,8 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barlake.operators.bars import INSTRUMENT, bucket_start, ohlcv_from_trades, trade_order
 from barlake.operators.dedupe import dedupe_log, keep_last
-from barlake.operators.ingest import log_rows
-from barlake.operators.lake import append_trades_daily, publish, upsert_bars, write_partitioned
+from barlake.operators.ingest import log_rows, missing_files
+from barlake.operators.lake import (
+    TRADE_PARTITIONS,
+    append_trades_daily,
+    publish,
+    upsert_bars,
+    write_partitioned,
+)
 from barlake.schemas import DOWNLOAD_LOG
 from barlake.session import scratch_dir
 from barlake.sources.trades import FILE, decode_lines, rename_trade_fields
@@ -53,44 +59,51 @@ def run_available(stream: DataFrame, checkpoint: str, each: BATCH, mode: str = "
     return query
 
 
-def store_and_log(spark: SparkSession, trades_root: str, log_root: str, manifest: Callable[[], DataFrame],
-                  downloaded_at: str) -> BATCH:
-    """Batch sink: trades to their venue-days, then a log row per file, empty files included.
-
-    ``manifest`` gives the listing of landed files. Files of the listing that
-    brought no rows in this batch and are not logged yet are logged with 0.
-    """
+def store_and_log(spark: SparkSession, trades_root: str, log_root: str, downloaded_at: str) -> BATCH:
+    """Batch sink: trades to their venue-days, then a log row per file that brought trades."""
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             append_trades_daily(spark, trades_root, batch.drop(FILE))
             counts = batch.groupBy(FILE).agg(F.count(F.lit(1)).alias("trade_count"))
-            merge_log(spark, log_root, log_rows(manifest(), counts, downloaded_at))
+            merge_log(spark, log_root, log_rows(counts.select(FILE), counts, downloaded_at))
         finally:
             batch.unpersist()
 
     return each
 
 
-def merge_log(spark: SparkSession, root: str, rows: DataFrame) -> None:
-    """Keep one row per file: the one with trades where any batch had them."""
+def log_empty_files(spark: SparkSession, log_root: str, landed: DataFrame, downloaded_at: str) -> None:
+    """After a drained run: log the landed files that brought no trades, with a count of 0."""
+    none = spark.createDataFrame([], f"{FILE} string, trade_count bigint")
+    merge_log(spark, log_root, log_rows(missing_files(landed, read_log(spark, log_root)), none, downloaded_at))
+
+
+def _stored_log(spark: SparkSession, root: str) -> DataFrame:
     try:
-        existing = spark.read.schema(DOWNLOAD_LOG).parquet(root)
+        return spark.read.schema(DOWNLOAD_LOG).option("basePath", root).parquet(root).select(*DOWNLOAD_LOG.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        existing = spark.createDataFrame([], DOWNLOAD_LOG)
+        return spark.createDataFrame([], DOWNLOAD_LOG)
+
+
+def merge_log(spark: SparkSession, root: str, rows: DataFrame) -> None:
+    """Keep one row per file, the one with most trades; only the touched dates are rewritten."""
+    named = rows.filter(F.col("date").isNotNull())
+    dates = named.select("date").distinct()
+    existing = _stored_log(spark, root).join(dates, "date", "left_semi").select(*DOWNLOAD_LOG.names)
     merged = keep_last(
-        existing.unionByName(rows), ["venue", "date", "timestamp"],
+        existing.unionByName(named), ["venue", "date", "timestamp"],
         [F.col("trade_count"), F.col("downloaded_at")],
     )
     stage = scratch_dir(spark, "log")
-    merged.write.parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").parquet(root)
+    write_partitioned(merged, stage, ["date"], ["venue", "timestamp"])
+    publish(spark, stage, root, DOWNLOAD_LOG, ["date"], ["venue", "timestamp"])
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    return dedupe_log(spark.read.schema(DOWNLOAD_LOG).parquet(root))
+    return dedupe_log(_stored_log(spark, root))
 
 
 def stream_dedupe(trades: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -167,9 +180,13 @@ def correct_late_bars(spark: SparkSession, trades: DataFrame, late: DataFrame, b
                       keys: Sequence[str] = INSTRUMENT) -> None:
     """Recompute the bars that late trades fall in, from all stored trades, and merge them.
 
-    ``trades`` is the stored table with the late rows already in it. Only the
-    touched days are read, only the touched months rewritten.
+    ``trades`` is the stored table with the late rows already in it. Where both
+    carry the trade partitions, only partitions with late trades are read; only
+    the touched months are rewritten.
     """
+    shared = [c for c in TRADE_PARTITIONS if c in trades.columns and c in late.columns]
+    if "day" in shared:
+        trades = trades.join(late.select(*shared).distinct(), shared, "left_semi")
     touched = late.select(
         *[F.col(k).alias(f"_{k}") for k in keys], bucket_start("trade_time", interval).alias("_bar")
     ).distinct()

@@ -266,7 +266,7 @@ def test_fetch_window(spark, interval, start, end, want):
 ])
 def test_file_names(spark, name, venue, date):
     p = spark.createDataFrame([(name,)], "n string").select(names.parse_trade_filename("n").alias("p")).first()["p"]
-    assert (p["venue"], p["date"]) == (venue, date)
+    assert (p and p["venue"], p and p["date"]) == (venue, date)
 
 
 # --- registry ---------------------------------------------------------------

@@ -33,8 +33,10 @@ def test_files_are_stored_once_and_logged_even_when_empty(spark, tmp_path):
     listed = [land(landing, "08_30", 5), land(landing, "08_31", 0), land(landing, "08_32", 4, start=3)]
 
     def run():
-        sink = streams.store_and_log(spark, trades_root, log_root, lambda: manifest(spark, *listed), "2025-11-03 12:00:00")
+        at = "2025-11-03 12:00:00"
+        sink = streams.store_and_log(spark, trades_root, log_root, at)
         streams.run_available(streams.stream_trades(spark, str(landing), files_per_batch=1), checkpoint, sink)
+        streams.log_empty_files(spark, log_root, manifest(spark, *listed), at)
 
     run()
     stored = read_staged(spark, trades_root, TRADE_PARTITIONS)
