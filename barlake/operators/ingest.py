@@ -121,7 +121,7 @@ def traded_isins(trades: DataFrame) -> DataFrame:
 def sequence_in_file(trades: DataFrame) -> DataFrame:
     """Add ``sequence``: the position of a trade in its file by time, then tick id.
 
-    A file holds one venue-minute or venue-day, so the ordered group is one file.
+    A file holds one venue-minute, so the ordered group is small.
     """
     order = Window.partitionBy("file_name").orderBy("trade_time", "tick_id")
     return trades.withColumn("sequence", F.row_number().over(order).cast("bigint") - 1)

@@ -96,6 +96,18 @@ def merge_bars(existing: DataFrame, new: DataFrame) -> DataFrame:
     return dedupe_bars(old.unionByName(fresh)).drop("batch_rank")
 
 
+def prune_to(stored: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Stored rows of the calendar (and venue) partitions that a batch touches.
+
+    Their values are fetched first and become a literal partition filter, so no
+    other folder is listed or read; a semi-join alone would scan the whole
+    table. Months, days and venues are few whatever the table's size.
+    """
+    key = F.concat_ws("/", *columns)
+    touched = [r[0] for r in batch.select(key).distinct().collect()]
+    return stored.filter(key.isin(touched))
+
+
 def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "by_month", **options) -> None:
     """Merge a batch into the lake, rewriting only the partitions it touches.
 
@@ -106,7 +118,9 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
     parts = LAYOUT_COLUMNS[layout]
     dated, _ = split_null_dates(normalize_bars(new))
     touched = _bar_partitions(dated, layout).select(*parts).distinct()
-    existing = scan_partitions(spark, root, layout).join(touched, parts, "left_semi")
+    existing = prune_to(scan_partitions(spark, root, layout), touched, ["year", "month"])
+    if layout == "by_ticker":
+        existing = existing.join(touched, parts, "left_semi")
     stage = scratch_dir(spark, "upsert")
     write_bars_monthly(merge_bars(existing, dated), stage, layout, **options)
     publish(spark, stage, root, existing.schema, parts, ["stock", "date"], **options)
@@ -157,8 +171,7 @@ def append_trades_daily(spark: SparkSession, root: str, new: DataFrame, **option
     """
     placed = with_trade_partitions(new)
     stored = read_trades(spark, root, placed)
-    touched = placed.select(*TRADE_PARTITIONS).distinct()
-    existing = stored.join(touched, TRADE_PARTITIONS, "left_semi")
+    existing = prune_to(stored, placed, TRADE_PARTITIONS)
     both = existing.withColumn("batch_rank", F.lit(0)).unionByName(placed.withColumn("batch_rank", F.lit(1)))
     merged = dedupe_trades(both).drop("batch_rank")
     stage = scratch_dir(spark, "trades")
@@ -293,9 +306,8 @@ def migrate_interval(
     # partitions are shared by tickers in the monthly layout: keep what the others hold
     parts = LAYOUT_COLUMNS[layout]
     touched = _bar_partitions(fresh, layout).select(*parts).distinct()
-    others = (
-        stored.join(touched, parts, "left_semi").join(passed, "stock", "left_anti").select(*BARS.names)
-    )
+    near = prune_to(stored, touched, ["year", "month"]).join(touched, parts, "left_semi")
+    others = near.join(passed, "stock", "left_anti").select(*BARS.names)
     final = scratch_dir(spark, "migrated")
     write_bars_monthly(others.unionByName(fresh), final, layout, **options)
     publish(spark, final, root, stored.schema, parts, ["stock", "date"], **options)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barlake.functions.names import infer_layout, partition_month, partition_year
+from barlake.functions.names import infer_layout, partition_month, partition_year, trade_filename
 from barlake.operators.dedupe import dedupe_bars, dedupe_log, dedupe_trades
 from barlake.operators.lake import write_bars_monthly
 from barlake.operators.normalize import (
@@ -367,12 +367,12 @@ def dedupe_log_query(spark, sf):
 
 
 @query("sequence_number", f"""WITH {views.TRADES}
-  SELECT feed_venue, tick_id, row_number() OVER (PARTITION BY feed_venue, CAST(trade_time AS DATE) ORDER BY trade_time, tick_id) - 1 AS sequence
+  SELECT feed_venue, tick_id, row_number() OVER (PARTITION BY feed_venue, date_trunc('minute', trade_time) ORDER BY trade_time, tick_id) - 1 AS sequence
   FROM trades""")
 def sequence_number(spark, sf):
     from barlake.operators.ingest import sequence_in_file
 
-    t = views.trades(spark, sf).withColumn("file_name", F.concat_ws("-", "feed_venue", F.to_date("trade_time")))
+    t = views.trades(spark, sf).withColumn("file_name", trade_filename("feed_venue", "trade_time"))
     return sequence_in_file(t).select("feed_venue", "tick_id", "sequence")
 
 

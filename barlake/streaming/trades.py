@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barlake.functions.names import partition_month, partition_year
 from barlake.operators.bars import INSTRUMENT, bucket_start, ohlcv_from_trades, trade_order
 from barlake.operators.dedupe import dedupe_log, keep_last
 from barlake.operators.ingest import log_rows, missing_files
 from barlake.operators.lake import (
     TRADE_PARTITIONS,
     append_trades_daily,
+    prune_to,
     publish,
     upsert_bars,
     write_partitioned,
@@ -91,8 +93,7 @@ def _stored_log(spark: SparkSession, root: str) -> DataFrame:
 def merge_log(spark: SparkSession, root: str, rows: DataFrame) -> None:
     """Keep one row per file, the one with most trades; only the touched dates are rewritten."""
     named = rows.filter(F.col("date").isNotNull())
-    dates = named.select("date").distinct()
-    existing = _stored_log(spark, root).join(dates, "date", "left_semi").select(*DOWNLOAD_LOG.names)
+    existing = prune_to(_stored_log(spark, root), named, ["date"]).select(*DOWNLOAD_LOG.names)
     merged = keep_last(
         existing.unionByName(named), ["venue", "date", "timestamp"],
         [F.col("trade_count"), F.col("downloaded_at")],
@@ -186,27 +187,23 @@ def correct_late_bars(spark: SparkSession, trades: DataFrame, late: DataFrame, b
     """
     shared = [c for c in TRADE_PARTITIONS if c in trades.columns and c in late.columns]
     if "day" in shared:
-        trades = trades.join(late.select(*shared).distinct(), shared, "left_semi")
+        trades = prune_to(trades, late, shared)
     touched = late.select(
         *[F.col(k).alias(f"_{k}") for k in keys], bucket_start("trade_time", interval).alias("_bar")
     ).distinct()
+    months = touched.select(partition_year("_bar").alias("year"), partition_month("_bar").alias("month"))
     same = bucket_start("trade_time", interval) == F.col("_bar")
     for k in keys:
         same = same & (F.col(k) == F.col(f"_{k}"))
     fresh = ohlcv_from_trades(trades.join(touched, same, "left_semi"), interval, keys)
-    fresh = fresh.withColumns({
-        "year": F.format_string("%04d", F.year("bar")), "month": F.format_string("%02d", F.month("bar"))
-    })
-    months = fresh.select(*BAR_PARTITIONS).distinct()
+    fresh = fresh.withColumns({"year": partition_year("bar"), "month": partition_month("bar")})
     try:
         stored = spark.read.schema(fresh.schema).option("basePath", bars_root).parquet(bars_root)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = spark.createDataFrame([], fresh.schema)
-    kept = stored.join(months, BAR_PARTITIONS, "left_semi").join(
-        fresh.select(*keys, "bar"), [*keys, "bar"], "left_anti"
-    )
+    kept = prune_to(stored, months, BAR_PARTITIONS).join(fresh.select(*keys, "bar"), [*keys, "bar"], "left_anti")
     stage = scratch_dir(spark, "late")
     write_partitioned(kept.select(*fresh.columns).unionByName(fresh), stage, BAR_PARTITIONS, [*keys, "bar"])
     publish(spark, stage, bars_root, fresh.schema, BAR_PARTITIONS, [*keys, "bar"])

@@ -50,6 +50,20 @@ def test_venue_filter_reaches_the_partitions(spark, folder):
     assert "feed_venue" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_merge_reads_only_the_touched_months(spark, folder):
+    from barlake.operators.lake import prune_to, write_bars_monthly
+    from barlake.sources.bars import scan_partitions
+    from tests.test_fixtures import bar_rows
+
+    rows = [("A", f"2024-{m:02d}-01", 1.0, 1) for m in range(1, 7)]
+    write_bars_monthly(bar_rows(spark, rows), folder)
+    touched = spark.createDataFrame([("2024", "03")], "year string, month string")
+    kept = prune_to(scan_partitions(spark, folder), touched, ["year", "month"])
+    scan = plan_of(kept).split("PartitionFilters: [")[1]
+    assert "2024/03" in scan.split("PushedFilters")[0] and kept.count() == 1
+    assert "DataFilters: []" in plan_of(kept)
+
+
 def test_all_windows_of_a_normalisation_share_their_blocks(spark):
     plan = plan_of(all_queries()["volume_zscore"].run(spark, FOLDER))
     assert plan.count("Generate explode") == 1
