@@ -52,14 +52,14 @@ def discover_partitions_query(spark, sf):
 
 
 def _halves(spark, sf):
-    """Two batches of bar versions: even suppliers first, odd ones later."""
+    """Two batches of bar versions: accepted returns first, all other lines later."""
     rows = views.bar_versions(spark, sf)
-    even = F.col("l_suppkey") % 2 == 0
-    return rows.filter(even).select(*BARS.names), rows.filter(~even).select(*BARS.names)
+    first = F.col("l_returnflag") == "A"
+    return rows.filter(first).select(*BARS.names), rows.filter(~first).select(*BARS.names)
 
 
 UPSERTED = f"""WITH {views.BAR_VERSIONS} SELECT {BAR_COLUMNS} FROM (
-  SELECT *, row_number() OVER (PARTITION BY stock, date ORDER BY sequence DESC NULLS FIRST, l_suppkey % 2 DESC, open DESC, volume DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY stock, date ORDER BY sequence DESC NULLS FIRST, l_returnflag <> 'A' DESC, open DESC, volume DESC) AS rn
   FROM versions) WHERE rn = 1"""
 
 

@@ -302,8 +302,7 @@ def normalize_bars_query(spark, sf):
     drifted = raw.select(
         "stock", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), F.col("open").cast("string").alias("open"),
         F.when(F.col("volume") == 13, "n/a").otherwise(F.col("low").cast("string")).alias("low"), "close",
-        F.when(F.col("volume") % 2 == 0, (F.col("volume") + 0.5).cast("string"))
-        .otherwise((F.col("volume") + 0.5).cast("string")).alias("volume"),
+        (F.col("volume") + 0.5).cast("string").alias("volume"),
         F.lit("dropped").alias("extra"),
     )
     return normalize_bars(drifted)

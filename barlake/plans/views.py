@@ -49,9 +49,9 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trades_dup(spark: SparkSession, sf: str) -> DataFrame:
-    """Trades and a second delivery of some of them; the feature under test is the copies."""
+    """Trades, and a second delivery of the small ones."""
     once = trades(spark, sf)
-    again = once.filter(F.col("tick_id") % 10 == 0)
+    again = once.filter(F.col("volume") < 10)
     return once.withColumn("batch_rank", F.lit(0)).unionByName(again.withColumn("batch_rank", F.lit(1)))
 
 
@@ -83,11 +83,11 @@ MANIFEST = """manifest AS (
          strftime(trade_time, '%Y-%m-%d') AS date,
          strftime(trade_time, '%Y-%m-%dT%H_%M') AS minute
   FROM trades)"""
-# The log holds the odd days of the month: the resumed-run case.
+# The log stops in the middle of the month: the resumed-run case.
 DOWNLOAD_LOG = """log AS (
   SELECT venue, date, minute AS timestamp, true AS has_data, 1 AS trade_count,
          TIMESTAMP '2024-02-01 00:00:00' AS downloaded_at
-  FROM manifest WHERE CAST(date[9:10] AS INTEGER) % 2 = 1)"""
+  FROM manifest WHERE date[9:10] <= '15')"""
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +100,7 @@ def download_log(spark: SparkSession, sf: str) -> DataFrame:
     from barlake.functions.names import parse_trade_filename
 
     parsed = manifest(spark, sf).withColumn("p", parse_trade_filename("file_name"))
-    return parsed.filter(F.substring("p.date", 9, 2).cast("int") % 2 == 1).select(
+    return parsed.filter(F.substring("p.date", 9, 2) <= "15").select(
         "venue", F.col("p.date").alias("date"), F.col("p.minute").alias("timestamp"),
         F.lit(True).alias("has_data"), F.lit(1).cast("bigint").alias("trade_count"),
         F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("downloaded_at"),
@@ -113,7 +113,7 @@ BARS_RAW = """bars_raw AS (
   SELECT printf('P%06d', l_partkey) AS stock, l_shipdate AS date,
          l_extendedprice / l_quantity AS price, CAST(l_quantity AS BIGINT) AS volume,
          CASE WHEN l_linenumber < 7 THEN CAST(l_linenumber AS BIGINT) END AS sequence,
-         l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice
+         l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag
   FROM lineitem)"""
 BARS_DAILY = BARS_RAW + """, bars AS (
   SELECT stock, date,
@@ -125,7 +125,7 @@ BARS_DAILY = BARS_RAW + """, bars AS (
 # Several versions of one bar per month, some without a sequence.
 BAR_VERSIONS = BARS_RAW + """, versions AS (
   SELECT stock, CAST(date_trunc('month', date) AS TIMESTAMP) AS date, price AS open,
-         price AS high, price AS low, price AS close, volume, sequence, l_suppkey
+         price AS high, price AS low, price AS close, volume, sequence, l_returnflag
   FROM bars_raw)"""
 
 
@@ -138,7 +138,7 @@ def bars_raw(spark: SparkSession, sf: str) -> DataFrame:
         price.alias("open"), price.alias("high"), price.alias("low"), price.alias("close"),
         F.col("l_quantity").cast("bigint").alias("volume"),
         F.when(F.col("l_linenumber") < 7, F.col("l_linenumber").cast("bigint")).alias("sequence"),
-        "l_suppkey",
+        "l_returnflag",
     )
 
 
