@@ -37,7 +37,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="spark-barlake-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
