@@ -22,40 +22,43 @@ block. A text longer than a block makes a block of its own.
 from __future__ import annotations
 
 import json
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barlake.llm.text import column_bytes, slices
 from barlake.session import scratch_dir
 
-SCALE_BITS = 20
+SCALE_BITS = 18
 LOW = 1 << 31
 LANES = 1024
 BLOCK = 1 << 18
 CHECKPOINT = 1 << 17
-WORDS_KEPT = 500_000
-BATCH_BYTES = 1 << 21
+PIECES_KEPT = 400_000
+BATCH_BYTES = 1 << 23
 
 
 # ---------------------------------------------------------------- tokenising
 
 
 class PieceEncoder:
-    """Ids of whole texts, each distinct piece between spaces encoded once while it is remembered.
+    """Ids of whole texts, each distinct piece between blanks encoded once while it is remembered.
 
-    A byte-level tokenizer that splits before every space followed by a
+    A byte-level tokenizer that splits before every blank followed by a
     character encodes those pieces independently. Full stops and commas after a
     letter are split off by it too. Texts for which this is not so (runs of white
     space, added tokens, another kind of tokenizer) are encoded as a whole.
+    Pieces are told apart in Arrow, so Python sees each distinct one of a batch once.
     """
 
-    _unsafe = re.compile(r" \s| $")
+    _unsafe = r" [\s\p{Z}\x{85}\x{1c}-\x{1f}]| $"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -68,49 +71,74 @@ class PieceEncoder:
                          and not split.get("add_prefix_space", True) and not rules.get("truncation"))
         self.added = [t["content"] for t in rules.get("added_tokens", [])]
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.first: dict[str, bytes] = {"": b""}
-        self.later: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
+        self.pieces: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {"": b""}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def learn(self, kept: dict[str, bytes], missing: list[str], lead: str) -> None:
-        parts = []
-        for piece in missing:
-            piece = lead + piece
-            cut = len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha()
-            parts.append((piece[:-1], piece[-1]) if cut else (piece, ""))
-        unknown = list({p for pair in parts for p in pair} - self.cores.keys())
-        self.cores.update(zip(unknown, self.whole(unknown)))
-        for piece, (core, mark) in zip(missing, parts):
-            kept[piece] = self.cores[core] + self.cores[mark]
-        if len(self.cores) > WORDS_KEPT:
-            for piece in unknown:
-                del self.cores[piece]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        pieces: dict[int, list[str]] = {}
-        for at, text in enumerate(texts):
-            if self.by_piece and not self._unsafe.search(text) and not any(a in text for a in self.added):
-                pieces[at] = text.split(" ")
-        plain = [at for at in range(len(texts)) if at not in pieces]
-        for at, ids in zip(plain, self.whole([texts[at] for at in plain])):
-            out[at] = ids
-        starts = list({p[0] for p in pieces.values()} - self.first.keys())
-        rest = list(set().union(*(p[1:] for p in pieces.values())) - self.later.keys())
-        self.learn(self.first, starts, "")
-        self.learn(self.later, rest, " ")
-        get = self.later.__getitem__
-        for at, split in pieces.items():
-            out[at] = self.first[split[0]] + b"".join(map(get, split[1:]))
-        for kept, new in ((self.first, starts), (self.later, rest)):
-            if len(kept) > WORDS_KEPT:
-                for piece in new:
-                    del kept[piece]
-        return out
+        return [array(self.kind, e.ids).tobytes() for e in found]
+
+    def of_pieces(self, wanted: list[str]) -> list[bytes]:
+        """Ids of pieces, each with a blank before it."""
+        known = self.pieces
+        found = list(map(known.get, wanted))
+        places = [k for k, ids in enumerate(found) if ids is None]
+        if places:
+            missing = [wanted[k] for k in places]
+            cut = [len(p) > 1 and p[-1] in ".," and p[-2].isalpha() for p in missing]
+            parts = [(" " + p[:-1], p[-1]) if c else (" " + p, "") for p, c in zip(missing, cut)]
+            unknown = list({x for pair in parts for x in pair} - self.cores.keys())
+            self.cores.update(zip(unknown, self.whole(unknown)))
+            cores = self.cores
+            for k, piece, (x, y) in zip(places, missing, parts):
+                found[k] = known[piece] = cores[x] + cores[y] if y else cores[x]
+        if len(known) > PIECES_KEPT:
+            self.pieces = dict(zip(wanted, found))
+        if len(self.cores) > PIECES_KEPT:
+            self.cores = {"": b""}
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, how many each has)."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        safe = np.zeros(len(texts), bool)
+        if self.by_piece:
+            odd = pc.match_substring_regex(texts, self._unsafe)
+            for token in self.added:
+                odd = pc.or_(odd, pc.match_substring(texts, token))
+            safe = ~odd.to_numpy(zero_copy_only=False)
+        out: list[np.ndarray] = [np.empty(0, self.dtype)] * len(texts)
+        others = np.flatnonzero(~safe)
+        for at, ids in zip(others, self.whole([texts[int(at)].as_py() for at in others])):
+            out[at] = np.frombuffer(ids, self.dtype)
+        chosen = np.flatnonzero(safe)
+        if len(chosen):
+            lists = pc.split_pattern(texts.take(pa.array(chosen)), " ")
+            bounds = lists.offsets.to_numpy()
+            coded = lists.flatten().dictionary_encode()
+            pieces = self.of_pieces(coded.dictionary.to_pylist())
+            place = coded.indices.to_numpy().copy()
+            # the first piece of a text has no blank before it
+            heads = self.heads(lists, bounds)
+            place[bounds[:-1]] = len(pieces) + np.arange(len(heads))
+            pieces = pieces + heads
+            flat = np.frombuffer(b"".join(pieces), self.dtype)
+            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
+            starts = np.cumsum(sizes) - sizes
+            taken = sizes[place]
+            ends = np.cumsum(taken)
+            ids = flat[np.repeat(starts[place] - (ends - taken), taken) + np.arange(ends[-1])]
+            ends = np.concatenate(([0], ends))[bounds]
+            for k, at in enumerate(chosen):
+                out[at] = ids[ends[k] : ends[k + 1]]
+        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+
+    def heads(self, lists: pa.Array, bounds: np.ndarray) -> list[bytes]:
+        words = lists.flatten().take(pa.array(bounds[:-1])).to_pylist()
+        fresh = list(set(words) - self.cores.keys())
+        self.cores.update(zip(fresh, self.whole(fresh)))
+        return [self.cores[w] for w in words]
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -157,23 +185,18 @@ def tokenised_runs(path: str, end_id: int):
 
         for batch in batches:
             texts, names = batch.column("text"), batch.column("doc_id").to_pylist()
-            first = 0
-            while first < batch.num_rows:
-                last, held = first, 0
-                group: list[str] = []
-                while last < batch.num_rows and held < BATCH_BYTES:
-                    group.append(texts[last].as_py() or "")
-                    held += len(group[-1])
-                    last += 1
-                for doc, ids in zip(names[first:last], enc.encode(group)):
-                    ids += end
-                    if size and size + len(ids) // width > BLOCK:
+            _, bounds = column_bytes(texts)
+            for first, last in slices(bounds, BATCH_BYTES):
+                ids, sizes = enc.encode(texts.slice(first, last - first))
+                ends = np.cumsum(sizes)
+                for doc, a, b in zip(names[first:last], ends - sizes, ends):
+                    n = int(b - a) + 1
+                    if size and size + n > BLOCK:
                         yield row(block, docs, parts)
                         block, docs, parts, size = block + 1, [], [], 0
                     docs.append(doc)
-                    parts.append(ids)
-                    size += len(ids) // width
-                first = last
+                    parts.append(ids[a:b].tobytes() + end)
+                    size += n
         if parts:
             yield row(block, docs, parts)
         yield row(-1, [], [], counts.tobytes())
@@ -240,8 +263,8 @@ class Decoder:
     def __init__(self, freq: np.ndarray):
         self.symbols = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
         below = np.concatenate(([0], np.cumsum(freq)[:-1])).astype(np.uint64)
-        self.freq = freq[self.symbols]
-        self.inside = np.arange(len(self.symbols), dtype=np.uint64) - below[self.symbols]
+        self.freq = freq[self.symbols].astype(np.uint32)
+        self.inside = (np.arange(len(self.symbols), dtype=np.uint64) - below[self.symbols]).astype(np.uint32)
 
     def decode(self, states: np.ndarray, positions: np.ndarray, words: np.ndarray, n_ids: int,
                checkpoint: int = 0, stop: int | None = None) -> np.ndarray:
@@ -258,7 +281,7 @@ class Decoder:
             slot = (part & mask).astype(np.int64)
             keep = min(size, stop - base)
             out[base - first : base - first + keep] = self.symbols[slot[:keep]]
-            part = self.freq[slot] * (part >> limit) + self.inside[slot]
+            part = self.freq[slot].astype(np.uint64) * (part >> limit) + self.inside[slot]
             low = np.flatnonzero(part < LOW)
             part[low] = (part[low] << shift) | words[at : at + len(low)]
             at += len(low)
