@@ -8,9 +8,11 @@ code points gives.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 # Texts are taken together up to this size; a longer text is taken alone.
 SLICE_BYTES = 1 << 17
@@ -127,3 +129,15 @@ def row_words(column: pa.Array, is_word: np.ndarray) -> Iterator[tuple[int, np.n
 def distinct_sorted(values: np.ndarray) -> np.ndarray:
     values = np.sort(values)
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+    """Fewer rows in an Arrow batch while a job over long texts runs, which bounds what a task holds of them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.text import column_bytes, slices
+from barlake.llm.text import column_bytes, slices, small_batches
 from barlake.session import scratch_dir
 
 SCALE_BITS = 18
@@ -41,7 +40,7 @@ LOW = 1 << 31
 LANES = 1024
 BLOCK = 1 << 18
 CHECKPOINT = 1 << 17
-PIECES_KEPT = 400_000
+PIECES_KEPT = 1_500_000
 BATCH_BYTES = 1 << 23
 
 
@@ -55,7 +54,7 @@ class PieceEncoder:
     character encodes those pieces independently. Full stops and commas after a
     letter are split off by it too. Texts for which this is not so (runs of white
     space, added tokens, another kind of tokenizer) are encoded as a whole.
-    Pieces are told apart in Arrow, so Python sees each distinct one of a batch once.
+    Pieces are told apart and looked up in Arrow, so only new ones reach Python.
     """
 
     _unsafe = r" [\s\p{Z}\x{85}\x{1c}-\x{1f}]| $"
@@ -71,32 +70,53 @@ class PieceEncoder:
                          and not split.get("add_prefix_space", True) and not rules.get("truncation"))
         self.added = [t["content"] for t in rules.get("added_tokens", [])]
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.kind = "H" if self.dtype.itemsize == 2 else "I"
-        self.pieces: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {"": b""}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.kind, e.ids).tobytes() for e in found]
-
-    def of_pieces(self, wanted: list[str]) -> list[bytes]:
-        """Ids of pieces, each with a blank before it."""
-        known = self.pieces
-        found = list(map(known.get, wanted))
-        places = [k for k, ids in enumerate(found) if ids is None]
-        if places:
-            missing = [wanted[k] for k in places]
-            cut = [len(p) > 1 and p[-1] in ".," and p[-2].isalpha() for p in missing]
-            parts = [(" " + p[:-1], p[-1]) if c else (" " + p, "") for p, c in zip(missing, cut)]
-            unknown = list({x for pair in parts for x in pair} - self.cores.keys())
-            self.cores.update(zip(unknown, self.whole(unknown)))
-            cores = self.cores
-            for k, piece, (x, y) in zip(places, missing, parts):
-                found[k] = known[piece] = cores[x] + cores[y] if y else cores[x]
-        if len(known) > PIECES_KEPT:
-            self.pieces = dict(zip(wanted, found))
-        if len(self.cores) > PIECES_KEPT:
-            self.cores = {"": b""}
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces (without the blank before them) and, for each, where its ids are in ``flat``."""
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """Places of distinct pieces among the known ones, those met for the first time encoded and added."""
+        place = pc.index_in(pieces, value_set=self.known)
+        fresh = pc.is_null(place)
+        new = pieces.filter(fresh)
+        if not len(new):
+            return place.to_numpy()
+        marked = pc.match_substring_regex(new, r"\p{L}[.,]$")
+        core = pc.if_else(marked, pc.utf8_slice_codeunits(new, 0, -1), new)
+        cores = core.dictionary_encode()
+        at = pc.index_in(cores.dictionary, value_set=self.known)
+        unknown = pc.is_null(at).to_numpy(zero_copy_only=False)
+        ids = self.whole([" " + c for c in cores.dictionary.filter(pa.array(unknown)).to_pylist()])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), self.dtype, int(sizes.sum()))])
+        core_start, core_size = np.empty(len(unknown), np.int64), np.empty(len(unknown), np.int64)
+        core_start[unknown], core_size[unknown] = len(self.flat) + np.cumsum(sizes) - sizes, sizes
+        old = at.drop_null().to_numpy()
+        core_start[~unknown], core_size[~unknown] = self.starts[old], self.sizes[old]
+        # ids of the core, and one more for the mark that was split off
+        which, cut = cores.indices.to_numpy(), marked.to_numpy(zero_copy_only=False)
+        size = core_size[which] + cut
+        added = np.empty(int(size.sum()), self.dtype)
+        ends = np.cumsum(size)
+        inner = np.ones(len(added), bool)
+        inner[ends[cut] - 1] = False
+        added[inner] = flat[spans(core_start[which], core_size[which])]
+        comma = pc.ends_with(new, ",").to_numpy(zero_copy_only=False)
+        stop, pause = (x[0] for x in self.whole([".", ","]))
+        added[ends[cut] - 1] = np.where(comma[cut], pause, stop)
+        base = len(self.known)
+        self.known = pa.concat_arrays([self.known, new])
+        self.starts = np.concatenate([self.starts, len(self.flat) + ends - size])
+        self.sizes = np.concatenate([self.sizes, size])
+        self.flat = np.concatenate([self.flat, added])
+        found = place.fill_null(0).to_numpy().copy()
+        found[fresh.to_numpy(zero_copy_only=False)] = base + np.arange(len(new))
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,34 +131,33 @@ class PieceEncoder:
         out: list[np.ndarray] = [np.empty(0, self.dtype)] * len(texts)
         others = np.flatnonzero(~safe)
         for at, ids in zip(others, self.whole([texts[int(at)].as_py() for at in others])):
-            out[at] = np.frombuffer(ids, self.dtype)
+            out[at] = np.array(ids, self.dtype)
         chosen = np.flatnonzero(safe)
         if len(chosen):
+            if len(self.known) > PIECES_KEPT:
+                self.forget()
             lists = pc.split_pattern(texts.take(pa.array(chosen)), " ")
             bounds = lists.offsets.to_numpy()
             coded = lists.flatten().dictionary_encode()
-            pieces = self.of_pieces(coded.dictionary.to_pylist())
-            place = coded.indices.to_numpy().copy()
+            place = self.find(coded.dictionary)[coded.indices.to_numpy()]
+            starts, sizes = self.starts[place], self.sizes[place]
             # the first piece of a text has no blank before it
-            heads = self.heads(lists, bounds)
-            place[bounds[:-1]] = len(pieces) + np.arange(len(heads))
-            pieces = pieces + heads
-            flat = np.frombuffer(b"".join(pieces), self.dtype)
-            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
-            starts = np.cumsum(sizes) - sizes
-            taken = sizes[place]
-            ends = np.cumsum(taken)
-            ids = flat[np.repeat(starts[place] - (ends - taken), taken) + np.arange(ends[-1])]
-            ends = np.concatenate(([0], ends))[bounds]
+            heads = self.whole(lists.flatten().take(pa.array(bounds[:-1])).to_pylist())
+            head_sizes = np.array([len(h) for h in heads], np.int64)
+            sizes[bounds[:-1]] = head_sizes
+            starts[bounds[:-1]] = len(self.flat) + np.cumsum(head_sizes) - head_sizes
+            flat = np.concatenate([self.flat, np.array([i for h in heads for i in h], self.dtype)])
+            ids = flat[spans(starts, sizes)]
+            ends = np.concatenate(([0], np.cumsum(sizes)))[bounds]
             for k, at in enumerate(chosen):
                 out[at] = ids[ends[k] : ends[k + 1]]
         return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
-    def heads(self, lists: pa.Array, bounds: np.ndarray) -> list[bytes]:
-        words = lists.flatten().take(pa.array(bounds[:-1])).to_pylist()
-        fresh = list(set(words) - self.cores.keys())
-        self.cores.update(zip(fresh, self.whole(fresh)))
-        return [self.cores[w] for w in words]
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of all spans, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -322,8 +341,9 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     ordered = (rows.withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc_id", "_tie")
                .sortWithinPartitions("doc_id", "_tie").select("doc_id", "text"))
     staged = scratch_dir(spark, "tokens")
-    (ordered.mapInArrow(tokenised_runs(tokenizer, end_id), RUN_SCHEMA)
-     .write.option("compression", "zstd").parquet(staged))
+    with small_batches(spark):
+        (ordered.mapInArrow(tokenised_runs(tokenizer, end_id), RUN_SCHEMA)
+         .write.option("compression", "zstd").parquet(staged))
     runs = spark.read.schema(RUN_SCHEMA).parquet(staged)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
