@@ -27,8 +27,8 @@ FAST_HALFLIFE, SLOW_HALFLIFE, FAST_WEIGHT = 5, 40, 0.7
 
 
 def _framed(df: DataFrame, keys: Sequence[str], order: str, halo: int, block_rows: int,
-            add: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    return series.without_blocks(add(series.in_blocks(df, keys, order, halo, block_rows)))
+            add: Callable[[DataFrame], DataFrame], value: str | None = None) -> DataFrame:
+    return series.without_blocks(add(series.in_blocks(df, keys, order, halo, block_rows, value)))
 
 
 def _gross_log(now: Column, before: Column) -> Column:
@@ -97,9 +97,9 @@ def add_ewma(b: DataFrame, value: str, spans: dict[str, float], keys: Sequence[s
         terms[f"_num_{name}"] = (_span_decay(span), F.coalesce(x, F.lit(0.0)))
         terms[f"_den_{name}"] = (_span_decay(span), F.when(x.isNotNull(), 1.0).otherwise(0.0))
     solved = series.decayed_sums(b, keys, terms, stretch=stretch)
-    return solved.select(
-        *b.columns, *[F.try_divide(F.col(f"_num_{n}"), F.col(f"_den_{n}")).alias(n) for n in spans]
-    )
+    so_far = series.block_window(keys).rowsBetween(series.Window.unboundedPreceding, 0)
+    means = {n: F.when(x.isNotNull(), F.try_divide(F.col(f"_num_{n}"), F.col(f"_den_{n}"))) for n in spans}
+    return solved.select(*b.columns, *[F.last(m, ignorenulls=True).over(so_far).alias(n) for n, m in means.items()])
 
 
 def ewma(df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str] = KEYS,
@@ -110,7 +110,8 @@ def ewma(df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str]
     decaying the weights and repeat the last mean.
     """
     return _framed(
-        df, keys, order, span_memory(spans.values()), block_rows, lambda b: add_ewma(b, value, spans, keys, stretch)
+        df, keys, order, span_memory(spans.values()), block_rows,
+        lambda b: add_ewma(b, value, spans, keys, stretch), value,
     )
 
 
@@ -139,7 +140,7 @@ def tema(df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str]
     as for one mean, doubled for the two that follow it.
     """
     halo = 2 * span_memory(spans.values())
-    return _framed(df, keys, order, halo, block_rows, lambda b: add_tema(b, value, spans, keys, stretch))
+    return _framed(df, keys, order, halo, block_rows, lambda b: add_tema(b, value, spans, keys, stretch), value)
 
 
 def _wma(value: Column, n: int, keys: Sequence[str]) -> Column:
@@ -280,7 +281,7 @@ def volume_baseline(df: DataFrame, kind: str = "ewma", keys: Sequence[str] = KEY
     """Add volume_ewma_fast, volume_ewma_slow (two-speed kinds) and volume_baseline."""
     halo = baseline_memory(kind, **options)
     return _framed(
-        df, keys, order, halo, block_rows, lambda b: add_volume_baseline(b, kind, keys, **options)
+        df, keys, order, halo, block_rows, lambda b: add_volume_baseline(b, kind, keys, **options), "volume"
     )
 
 
@@ -450,7 +451,7 @@ def normalize_analytics(bars: DataFrame, market: DataFrame, ticker: DataFrame |
         out = add_zscore(out, "relative_volume_adjusted", "volume_zscore", keys, window)
         return add_percentile(out, "relative_volume_adjusted", "volume_percentile", keys, window)
 
-    return cumulative_return(_framed(seasoned, keys, order, halo, block_rows, add), keys, order)
+    return cumulative_return(_framed(seasoned, keys, order, halo, block_rows, add, "volume"), keys, order)
 
 
 def movers(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -19,17 +19,29 @@ def _with_key(manifest: DataFrame) -> DataFrame:
     )
 
 
+UNPARSED = "unparsed"
+
+
+def _with_log_key(manifest: DataFrame) -> DataFrame:
+    """As ``_with_key``; a name that cannot be parsed is its own key, under the date ``unparsed``."""
+    odd = F.col("_date").isNull() | F.col("_minute").isNull() | F.col("_venue").isNull()
+    return _with_key(manifest).withColumn("_odd", odd).withColumns({
+        "_venue": F.when(~F.col("_odd"), F.col("_venue")).otherwise(F.lit("")),
+        "_date": F.when(~F.col("_odd"), F.col("_date")).otherwise(F.lit(UNPARSED)),
+        "_minute": F.when(~F.col("_odd"), F.col("_minute")).otherwise(F.col("file_name")),
+    }).drop("_odd")
+
+
 def missing_files(manifest: DataFrame, log: DataFrame) -> DataFrame:
-    """Listed files without a log row for their venue and minute.
+    """Listed files without a log row for their venue and minute, or for their name if it cannot be parsed.
 
-    A name that cannot be parsed has a null key, matches nothing and is fetched.
     The log alone decides; minutes of stored trades do not, as a file carries
     trades of earlier minutes.
     """
     done = log.select(
         F.col("venue").alias("_venue"), F.col("date").alias("_date"), F.col("timestamp").alias("_minute")
     )
-    return _with_key(manifest).join(done, ["_venue", "_date", "_minute"], "left_anti").select(*manifest.columns)
+    return _with_log_key(manifest).join(done, ["_venue", "_date", "_minute"], "left_anti").select(*manifest.columns)
 
 
 def missing_dates(manifest: DataFrame, stored: DataFrame) -> DataFrame:
@@ -52,7 +64,7 @@ def download_completeness(manifest: DataFrame, log: DataFrame) -> DataFrame:
         F.col("_venue").alias("venue"), F.col("_date").alias("date"), F.col("_minute").alias("timestamp"),
         F.lit(1).alias("_listed"), F.lit(0).alias("_logged"), F.lit(False).alias("_data"),
     )
-    logged = log.select(
+    logged = log.filter(F.col("date") != UNPARSED).select(
         "venue", "date", "timestamp", F.lit(0).alias("_listed"), F.lit(1).alias("_logged"),
         F.coalesce("has_data", F.lit(False)).alias("_data"),
     )
@@ -85,7 +97,7 @@ def months_ready(completeness: DataFrame) -> DataFrame:
 
 def log_rows(manifest: DataFrame, counts: DataFrame, downloaded_at: str) -> DataFrame:
     """One log row per listed file, empty files included (count 0)."""
-    return _with_key(manifest).join(counts, "file_name", "left").select(
+    return _with_log_key(manifest).join(counts, "file_name", "left").select(
         F.col("_venue").alias("venue"), F.col("_date").alias("date"), F.col("_minute").alias("timestamp"),
         (F.coalesce("trade_count", F.lit(0)) > 0).alias("has_data"),
         F.coalesce("trade_count", F.lit(0)).cast("bigint").alias("trade_count"),

@@ -59,16 +59,17 @@ def _bar_partitions(df: DataFrame, layout: str) -> DataFrame:
 
 def write_bars_monthly(
     bars: DataFrame, root: str, layout: str = "by_month", compression: str = "gzip", **options
-) -> None:
+) -> DataFrame:
     """Write bars by year and month (default) or by ticker, year and month.
 
-    Rows without a date have no place; take them out with ``split_null_dates``.
+    Rows without a date have no place; they are returned.
     """
-    placed, _ = split_null_dates(bars.select(*BARS.names))
+    placed, undated = split_null_dates(bars.select(*BARS.names))
     write_partitioned(
         _bar_partitions(placed, layout), root, LAYOUT_COLUMNS[layout], ["stock", "date"],
         compression=compression, **options,
     )
+    return undated
 
 
 def write_contract_violations(
@@ -96,27 +97,38 @@ def merge_bars(existing: DataFrame, new: DataFrame) -> DataFrame:
     return dedupe_bars(old.unionByName(fresh)).drop("batch_rank")
 
 
+PRUNED_PARTITIONS = 10_000
+
+
 def prune_to(stored: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Stored rows of the calendar (and venue) partitions that a batch touches.
 
-    Their values are fetched first and become a literal partition filter, so no
-    other folder is listed or read; a semi-join alone would scan the whole
-    table. Months, days and venues are few whatever the table's size.
+    Up to ``PRUNED_PARTITIONS`` values are fetched and become a literal partition
+    filter, so no other folder is read. A batch that touches more, such as a
+    backfill of years, is joined instead, and Spark prunes while it runs.
     """
     key = F.concat_ws("/", *columns)
-    touched = [r[0] for r in batch.select(key).distinct().collect()]
+    touched = [r[0] for r in batch.select(key).distinct().limit(PRUNED_PARTITIONS + 1).collect()]
+    if len(touched) > PRUNED_PARTITIONS:
+        return stored.join(batch.select(*columns).distinct(), list(columns), "left_semi").select(*stored.columns)
     return stored.filter(key.isin(touched))
 
 
-def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "by_month", **options) -> None:
+def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "by_month",
+                quarantine: str | None = None, **options) -> DataFrame:
     """Merge a batch into the lake, rewriting only the partitions it touches.
 
+    Rows without a date are returned, and appended to ``quarantine`` if that
+    folder is named; there may be none.
+
     The merge is staged first, since Spark cannot overwrite what it reads; an
     interrupted publish is repeated from the stage. Running it twice is the
     same as once.
     """
     parts = LAYOUT_COLUMNS[layout]
-    dated, _ = split_null_dates(normalize_bars(new))
+    dated, undated = split_null_dates(normalize_bars(new))
+    if quarantine:
+        undated.write.mode("append").parquet(quarantine)
     touched = _bar_partitions(dated, layout).select(*parts).distinct()
     existing = prune_to(scan_partitions(spark, root, layout), touched, ["year", "month"])
     if layout == "by_ticker":
@@ -124,6 +136,7 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
     stage = scratch_dir(spark, "upsert")
     write_bars_monthly(merge_bars(existing, dated), stage, layout, **options)
     publish(spark, stage, root, existing.schema, parts, ["stock", "date"], **options)
+    return undated
 
 
 def _text_partitions(schema: T.StructType, partition_by: Sequence[str]) -> T.StructType:

@@ -76,15 +76,26 @@ def with_carry(
     return _attach(df, table, keys + ["chunk"])
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Add ``chunk`` and ``rn``, the zero-based position of the row in its key."""
+def number_rows(df: DataFrame, keys: Sequence[str], order: str, value: str | None = None) -> DataFrame:
+    """Add ``chunk``, ``rn``, the zero-based position of the row in its key, and ``place``.
+
+    ``place`` is the position of the last row so far where ``value`` is not
+    null, counted among such rows only; without a ``value`` it is ``rn``.
+    """
     keys = list(keys)
-    before = F.coalesce(F.sum("_n").over(earlier_chunks(keys)), F.lit(0))
+    counted = F.count(F.lit(1) if value is None else F.col(value))
+    summed = {n: F.coalesce(F.sum(f"_{n}").over(earlier_chunks(keys)), F.lit(0)) for n in ("n", "v")}
     carried = with_carry(
-        with_chunk(df, order), keys, {"_n": F.count(F.lit(1))}, {"_before": before}
+        with_chunk(df, order), keys, {"_n": F.count(F.lit(1)), "_v": counted},
+        {"_before": summed["n"], "_values": summed["v"]},
+    )
+    window = chunk_window(keys, order)
+    so_far = counted.over(window.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        carried.withColumn("rn", F.col("_before") + F.row_number().over(window) - 1)
+        .withColumn("place", F.greatest(F.col("_values") + so_far - 1, F.lit(0)))
+        .drop("_before", "_values")
     )
-    at = F.row_number().over(chunk_window(keys, order))
-    return carried.withColumn("rn", F.col("_before") + at - 1).drop("_before")
 
 
 def in_blocks(
@@ -93,19 +104,26 @@ def in_blocks(
     order: str,
     halo: int,
     block_rows: int = BLOCK_ROWS,
+    value: str | None = None,
 ) -> DataFrame:
-    """Add ``rn``, ``block`` and ``is_halo``; see ``block_window`` and ``without_blocks``."""
+    """Add ``rn``, ``block`` and ``is_halo``; see ``block_window`` and ``without_blocks``.
+
+    With a ``value``, blocks and halo are counted in rows that have one. A row
+    without it stays in the block of the last value before it, and a halo holds
+    that many values however many rows lie between them, so results do not
+    depend on where a run of nulls meets the end of a block.
+    """
     if halo > block_rows:
         raise ValueError("the halo has to fit in one block")
-    own = F.floor(F.col("rn") / block_rows)
-    feeds_next = F.col("rn") % block_rows >= block_rows - halo
+    own = F.floor(F.col("place") / block_rows)
+    feeds_next = F.col("place") % block_rows >= block_rows - halo
     targets = F.when(feeds_next, F.array(own, own + 1)).otherwise(F.array(own))
     return (
-        number_rows(df, keys, order)
+        number_rows(df, keys, order, value)
         .withColumn("_own", own)
         .withColumn("block", F.explode(targets))
         .withColumn("is_halo", F.col("block") > F.col("_own"))
-        .drop("_own", "chunk")
+        .drop("_own", "chunk", "place")
     )
 
 

@@ -269,9 +269,9 @@ def market_volatility(spark, sf):
 
 @query("anomaly_filter", f"""{SCORES} SELECT stock, date, volume, round(volume_zscore, 6) AS volume_zscore,
   CASE WHEN volume_zscore > 4 THEN 'extreme' WHEN volume_zscore > 3 THEN 'strong' WHEN volume_zscore > 2 THEN 'moderate' END AS tier,
-  volume_zscore > 5 AS sanity_alert FROM z WHERE volume_zscore > 2.5""")
+  volume_zscore > 5 AS sanity_alert FROM z WHERE volume_zscore > 3""")
 def anomaly_filter(spark, sf):
-    out = ops.anomaly_filter(_scores(spark, sf), 2.5)
+    out = ops.anomaly_filter(_scores(spark, sf))
     return rounded(out, 6, "volume_zscore").select("stock", "date", "volume", "volume_zscore", "tier", "sanity_alert")
 
 

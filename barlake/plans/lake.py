@@ -145,13 +145,12 @@ def layout_stats(spark, sf):
     )
 
 
-@query("write_ohlcv_dual", f"""WITH {views.MAPPINGS}, {views.TRADES}, b AS (SELECT 'DETR' AS feed_venue, t.isin, coalesce(m.ticker, '__UNMAPPED__') AS ticker,
+@query("write_ohlcv_dual", f"""WITH {views.MAPPINGS}, {views.TRADES}, b AS (SELECT t.feed_venue, t.isin, coalesce(m.ticker, '__UNMAPPED__') AS ticker,
     CAST(CAST(trade_time AS DATE) AS TIMESTAMP) AS bar, sum(volume) AS volume FROM trades t LEFT JOIN mapping_new m ON t.isin = m.isin GROUP BY ALL HAVING sum(volume) > 0)
   SELECT feed_venue, CASE WHEN ticker = '__UNMAPPED__' THEN isin ELSE ticker END AS instrument, ticker <> '__UNMAPPED__' AS mapped, bar, volume FROM b""")
 def write_ohlcv_dual(spark, sf):
     root = scratch_dir(spark, "dual")
-    # one feed: every venue would have a folder per instrument
-    bars = ohlcv_from_trades(views.trades(spark, sf), "1d").withColumn("feed_venue", F.lit("DETR"))
+    bars = ohlcv_from_trades(views.trades(spark, sf), "1d", ["feed_venue", "isin"])
     lake.write_ohlcv_dual(map_isin_to_ticker(bars, views.mapping_new(spark, sf)), root)
     parts = ["feed_venue", "ticker", "isin_part", "year", "month"]
     mapped = lake.read_staged(spark, f"{root}/by_ticker", parts).withColumn("instrument", F.col("ticker"))

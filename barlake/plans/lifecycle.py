@@ -22,10 +22,10 @@ def files_for_date(spark, sf):
 
 
 @query("missing_files", f"""{MAN} SELECT venue, file_name FROM manifest m WHERE NOT EXISTS (
-  SELECT 1 FROM log l WHERE l.venue = m.venue AND l.timestamp = m.minute) UNION ALL SELECT 'click', 'odd-name.txt'""")
+  SELECT 1 FROM log l WHERE l.venue = m.venue AND l.timestamp = m.minute) UNION ALL SELECT DISTINCT venue, venue || '-odd.txt' FROM manifest""")
 def missing_files(spark, sf):
-    # one listed name that cannot be parsed: it is always fetched
-    odd = views.manifest(spark, sf).select(F.lit("click").alias("venue"), F.lit("odd-name.txt").alias("file_name")).distinct()
+    # one listed name per venue that cannot be parsed: it is fetched until it is logged under itself
+    odd = views.manifest(spark, sf).select("venue", F.concat("venue", F.lit("-odd.txt")).alias("file_name")).distinct()
     listed = views.manifest(spark, sf).unionByName(odd)
     return ingest.missing_files(listed, views.download_log(spark, sf))
 
@@ -78,29 +78,32 @@ def traded_isins(spark, sf):
     return ingest.traded_isins(views.trades(spark, sf))
 
 
-@query("log_rows", f"""{MAN} SELECT venue, date, minute AS timestamp, count(t.tick_id) > 0 AS has_data, count(t.tick_id) AS trade_count
-  FROM manifest m LEFT JOIN (SELECT * FROM trades WHERE volume > 5) t ON m.venue = t.feed_venue AND m.minute = strftime(t.trade_time, '%Y-%m-%dT%H_%M')
-  GROUP BY ALL""")
+@query("log_rows", f"""{MAN} SELECT venue, date, minute AS timestamp, true AS has_data, count(*) AS trade_count
+  FROM manifest m JOIN trades t ON m.venue = t.feed_venue AND m.minute = strftime(t.trade_time, '%Y-%m-%dT%H_%M') GROUP BY ALL
+  UNION ALL SELECT 'quiet', '2024-01-01', '2024-01-01T00_00', false, 0""")
 def log_rows(spark, sf):
     from barlake.functions.names import trade_filename
 
-    counts = views.trades(spark, sf).filter(F.col("volume") > 5).groupBy(
+    counts = views.trades(spark, sf).groupBy(
         trade_filename("feed_venue", "trade_time").alias("file_name")
     ).agg(F.count(F.lit(1)).alias("trade_count"))
-    return ingest.log_rows(views.manifest(spark, sf), counts, "2024-02-01 00:00:00").drop("downloaded_at")
+    quiet = spark.createDataFrame([("quiet", "quiet-posttrade-2024-01-01T00_00.json.gz")], "venue string, file_name string")
+    listed = views.manifest(spark, sf).unionByName(quiet)
+    return ingest.log_rows(listed, counts, "2024-02-01 00:00:00").drop("downloaded_at")
 
 
-WANTED = ["1-URGENT", "2-HIGH", "1d"]
+WANTED = [*views.STORED_INTERVALS, "1d"]
+WANTED_SQL = f"(SELECT unnest({WANTED}) AS interval)"
 
 
-@query("work_list", f"""{REG} SELECT t.ticker, w.interval, i.last_data_date FROM tickers t, (SELECT unnest(['1-URGENT', '2-HIGH', '1d']) AS interval) w
+@query("work_list", f"""{REG} SELECT t.ticker, w.interval, i.last_data_date FROM tickers t, {WANTED_SQL} w
   LEFT JOIN intervals i ON i.ticker = t.ticker AND i.interval = w.interval
   WHERE t.status = 'active' AND (i.status IS NULL OR i.status <> 'not_found' OR {SINCE} IS NULL OR {SINCE} >= 30)""")
 def work_list(spark, sf):
     return registry.work_list(*views.registry(spark, sf), WANTED, AS_OF)
 
 
-@query("fetch_plan", f"""{REG}, w AS (SELECT t.ticker, w.interval, try_cast(i.last_data_date AS TIMESTAMP) AS s FROM tickers t, (SELECT unnest(['1-URGENT', '2-HIGH', '1d']) AS interval) w
+@query("fetch_plan", f"""{REG}, w AS (SELECT t.ticker, w.interval, try_cast(i.last_data_date AS TIMESTAMP) AS s FROM tickers t, {WANTED_SQL} w
   LEFT JOIN intervals i ON i.ticker = t.ticker AND i.interval = w.interval
   WHERE t.status = 'active' AND (i.status IS NULL OR i.status <> 'not_found' OR {SINCE} IS NULL OR {SINCE} >= 30))
   SELECT ticker, interval, s IS NULL AS full_history, CASE WHEN s IS NULL THEN 'max' END AS period, s AS start,

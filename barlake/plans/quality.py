@@ -111,6 +111,7 @@ def migrated_bars(spark, sf):
 @query("audit_parquet_files", """SELECT 'ok' AS status, '' AS missing_columns, false AS deletable, count(*) AS rows FROM lineitem
   UNION ALL SELECT 'missing_columns', 'close', false, count(*) FROM lineitem
   UNION ALL SELECT 'recoverable', 'sequence', false, count(*) FROM lineitem
+  UNION ALL SELECT 'empty', '', false, 0
   UNION ALL SELECT 'unreadable', '', true, NULL""")
 def audit_parquet_files(spark, sf):
     root = scratch_dir(spark, "audit")
@@ -118,11 +119,12 @@ def audit_parquet_files(spark, sf):
     bars.write.parquet(f"{root}/good")
     bars.drop("close").write.parquet(f"{root}/lacking")
     bars.drop("sequence").write.parquet(f"{root}/recoverable")
+    bars.limit(0).coalesce(1).write.parquet(f"{root}/nothing")
     bars.limit(1).select(F.lit("not parquet").alias("value")).write.text(f"{root}/broken")
     good = audit.audit_parquet_files(spark, root)
     broken = audit.list_files(spark, root, "*.txt").select("path")
     probed = audit.probe_files(broken.withColumn("length", F.lit(0).cast("bigint")))
-    return good.unionByName(probed).filter("status <> 'empty'").groupBy("status", "missing_columns", "deletable").agg(
+    return good.unionByName(probed).groupBy("status", "missing_columns", "deletable").agg(
         F.sum("rows").alias("rows")
     )
 

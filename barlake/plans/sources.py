@@ -253,13 +253,20 @@ def instrument_master(spark, sf):
 
 
 @query("instrument_violations", """SELECT printf('XX%010d', c_custkey % 1000) AS isin, 'ticker_length' AS rule FROM customer
-  UNION ALL SELECT printf('XX%010d', c_custkey % 1000), 'duplicate_isin' FROM customer GROUP BY 1 HAVING count(*) > 1""")
+  UNION ALL SELECT printf('XX%010d', c_custkey % 1000), 'duplicate_isin' FROM customer GROUP BY 1 HAVING count(*) > 1
+  UNION ALL SELECT printf('XX%010d', c_custkey), 'short_line' FROM customer WHERE c_acctbal < 0""")
 def instrument_violations(spark, sf):
     master = table(spark, sf, "customer").select(
         F.format_string("XX%010d", F.col("c_custkey") % 1000).alias("isin"), F.lower("c_name").alias("ticker"),
         F.lit("EUR").alias("currency"),
     )
-    return listings.instrument_violations(master)
+    # a file in which the lines of some instruments end early
+    path = scratch_dir(spark, "instruments")
+    header = spark.createDataFrame([("Instrument;ISIN;Mnemonic",)], "value string")
+    short = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.concat(F.lit(";"), F.upper("c_name")))
+    lines = table(spark, sf, "customer").select(F.concat(F.lit("Inc;"), F.format_string("XX%010d", "c_custkey"), short).alias("value"))
+    header.coalesce(1).unionByName(lines).write.text(path)
+    return listings.instrument_violations(master, listings.short_instrument_lines(spark, path))
 
 
 @query("import_mapping", f"""WITH {views.MAPPINGS}, custom AS (SELECT isin, ticker AS custom_ticker FROM mapping_new)
@@ -287,7 +294,8 @@ def first_n_tickers(spark, sf):
     return bar_source.first_n_tickers(views.bars_raw(spark, sf), 25)
 
 
-@query("sample_tickers")
+@query("sample_tickers", f"""WITH {views.BARS_RAW}, t AS (SELECT DISTINCT stock FROM bars_raw)
+  SELECT stock FROM (SELECT stock FROM t ORDER BY md5(stock || '42'), stock LIMIT 25)""")
 def sample_tickers(spark, sf):
     return bar_source.sample_tickers(views.bars_raw(spark, sf), 25, 42)
 
@@ -309,11 +317,9 @@ def normalize_bars_query(spark, sf):
 
 
 @query("normalize_vendor_history", f"""WITH {views.BARS_RAW}
-  SELECT stock, date - INTERVAL 5 HOUR AS date, price AS open, volume FROM bars_raw
-  WHERE month(date) IN (1, 2, 12)""")
+  SELECT stock, timezone('America/New_York', timezone('UTC', CAST(date AS TIMESTAMP))) AS date, price AS open, volume FROM bars_raw""")
 def normalize_vendor_history_query(spark, sf):
-    # winter months: New York is five hours behind UTC
-    raw = views.bars_raw(spark, sf).filter(F.month("date").isin(1, 2, 12)).select(
+    raw = views.bars_raw(spark, sf).select(
         F.col("stock").alias("Stock"), F.col("date").cast("timestamp").alias("Date"), F.col("open").alias("Open"),
         F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("volume").alias("Volume"),
     )

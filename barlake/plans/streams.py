@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.operators.lake import TRADE_PARTITIONS, read_staged, with_trade_partitions
+from barlake.operators.ingest import missing_files
+from barlake.operators.lake import TRADE_PARTITIONS, read_staged
 from barlake.plans import views
 from barlake.plans.bars import PRICES
 from barlake.plans.catalog import CATALOG, query, rounded
 from barlake.plans.views import table
-
 from barlake.session import scratch_dir
 from barlake.sources.bars import scan_bars_partitioned
+from barlake.sources.trades import decode_lines
 from barlake.streaming import trades as streams
 from barlake.streaming import updates
 
@@ -30,7 +34,7 @@ def _trade_stream(spark, sf):
         views.padded("XX", "user_id", 10).alias("isin"), F.col("ts").alias("trade_time"),
         F.col("value").alias("price"), views.volume_of("props").alias("volume"),
         F.col("event_id").alias("tick_id"), F.col("event_id").cast("string").alias("trans_id"),
-        F.col("event_type").alias("feed_venue"),
+        F.col("event_type").alias("feed_venue"), F.lit("EUR").alias("currency"),
     )
 
 
@@ -74,11 +78,9 @@ def stream_trades(spark, sf):
 
 @query("stream_store_and_log", f"""WITH {views.TRADES} SELECT feed_venue, strftime(trade_time, '%d') AS day, count(*) AS trades FROM trades GROUP BY ALL""")
 def stream_store_and_log(spark, sf):
-    from barlake.functions.names import trade_filename
-
-    root, log = scratch_dir(spark, "stream-lake"), scratch_dir(spark, "stream-log")
-    stream = _trade_stream(spark, sf).withColumn("file_name", trade_filename("feed_venue", "trade_time"))
-    sink = streams.store_and_log(spark, root, log, "2024-02-01 00:00:00")
+    root, log, failed = (scratch_dir(spark, n) for n in ("stream-lake", "stream-log", "stream-failed"))
+    stream = decode_lines(views.lines_of(_trade_stream(spark, sf)))
+    sink = streams.store_and_log(spark, root, log, "2024-02-01 00:00:00", failed)
     streams.run_available(stream, scratch_dir(spark, "checkpoint"), sink)
     logged = streams.read_log(spark, log).agg(F.sum("trade_count")).first()[0]
     stored = read_staged(spark, root, TRADE_PARTITIONS)
@@ -87,15 +89,50 @@ def stream_store_and_log(spark, sf):
     return stored.groupBy("feed_venue", "day").agg(F.count(F.lit(1)).alias("trades"))
 
 
-@query("stream_log", f"""WITH {views.TRADES}, {views.MANIFEST} SELECT venue, date, minute AS timestamp, count(t.tick_id) > 0 AS has_data, count(t.tick_id) AS trade_count
-  FROM manifest m LEFT JOIN (SELECT * FROM trades WHERE volume > 5) t ON m.venue = t.feed_venue AND m.minute = strftime(t.trade_time, '%Y-%m-%dT%H_%M') GROUP BY ALL""")
+# One spoiled line rejects its file: nothing of it is stored or logged, and it is fetched again.
+@query("stream_failed_files", f"""WITH {views.TRADES}, f AS (
+    SELECT feed_venue || '-posttrade-' || strftime(trade_time, '%Y-%m-%dT%H_%M') || '.json.gz' AS name, count(*) AS lines,
+      bool_or(volume = 7) AS bad, bool_or(volume = 8) AND count(*) FILTER (WHERE volume <> 8) = 0 AS lacking FROM trades GROUP BY 1)
+  SELECT CASE WHEN bad OR lacking THEN 'quarantined' ELSE 'logged' END AS part, name, lines FROM f
+  UNION ALL SELECT 'to_fetch', name, 1 FROM f WHERE bad OR lacking
+  UNION ALL SELECT 'stored', '', sum(lines) FROM f WHERE NOT bad AND NOT lacking""")
+def stream_failed_files(spark, sf):
+    root, log, failed = (scratch_dir(spark, n) for n in ("stream-lake", "stream-log", "stream-failed"))
+    at = "2024-02-01 00:00:00"
+    decoded = decode_lines(_spoiled(views.lines_of(_trade_stream(spark, sf))))
+    streams.run_available(decoded, scratch_dir(spark, "checkpoint"), streams.store_and_log(spark, root, log, at, failed))
+    listed, bad = views.manifest(spark, sf), streams.read_failed(spark, failed)
+    streams.log_empty_files(spark, log, listed, at, bad)
+    logged = streams.read_log(spark, log)
+    named = F.concat("venue", F.lit("-posttrade-"), "timestamp", F.lit(".json.gz"))
+    one = F.lit(1).cast("bigint")
+    return (
+        bad.groupBy("file_name").agg(F.count(F.lit(1)).alias("lines")).select(F.lit("quarantined").alias("part"), F.col("file_name").alias("name"), "lines")
+        .unionByName(logged.select(F.lit("logged").alias("part"), named.alias("name"), F.col("trade_count").alias("lines")))
+        .unionByName(missing_files(listed, logged).select(F.lit("to_fetch").alias("part"), F.col("file_name").alias("name"), one.alias("lines")))
+        .unionByName(read_staged(spark, root, TRADE_PARTITIONS).agg(F.count(F.lit(1)).alias("lines")).select(
+            F.lit("stored").alias("part"), F.lit("").alias("name"), "lines"))
+    )
+
+
+def _spoiled(lines):
+    """Lines of volume 7 are cut, lines of volume 8 lack their instrument."""
+    volume = F.get_json_object("value", "$.lastQty").cast("double")
+    cut = F.expr("substring(value, 1, length(value) - 5)")
+    return lines.withColumn("value", F.when(volume == 7, cut).when(
+        volume == 8, F.regexp_replace("value", '"isin":"[^"]*",', "")).otherwise(F.col("value")))
+
+
+# One listed file brought nothing.
+@query("stream_log", f"""WITH {views.TRADES}, {views.MANIFEST} SELECT venue, date, minute AS timestamp, true AS has_data, count(*) AS trade_count
+  FROM manifest m JOIN trades t ON m.venue = t.feed_venue AND m.minute = strftime(t.trade_time, '%Y-%m-%dT%H_%M') GROUP BY ALL
+  UNION ALL SELECT 'quiet', '2024-01-01', '2024-01-01T00_00', false, 0""")
 def stream_log(spark, sf):
     from barlake.functions.names import trade_filename
     from barlake.operators.ingest import log_rows
 
     log = scratch_dir(spark, "stream-log")
-    # files whose trades are all small count as empty ones
-    stream = _trade_stream(spark, sf).filter("volume > 5").withColumn("file_name", trade_filename("feed_venue", "trade_time"))
+    stream = _trade_stream(spark, sf).withColumn("file_name", trade_filename("feed_venue", "trade_time"))
 
     at = "2024-02-01 00:00:00"
 
@@ -104,18 +141,23 @@ def stream_log(spark, sf):
         streams.merge_log(spark, log, log_rows(counts.select("file_name"), counts, at))
 
     streams.run_available(stream, scratch_dir(spark, "checkpoint"), each)
-    streams.log_empty_files(spark, log, views.manifest(spark, sf), at)
+    quiet = spark.createDataFrame([("quiet", "quiet-posttrade-2024-01-01T00_00.json.gz")], "venue string, file_name string")
+    streams.log_empty_files(spark, log, views.manifest(spark, sf).unionByName(quiet), at)
     return streams.read_log(spark, log).drop("downloaded_at")
 
 
 @query("late_data", HOURLY)
 def late_data(spark, sf):
-    trades = with_trade_partitions(views.trades(spark, sf))
-    # trades of small volume arrive after the watermark; their bars are recomputed
-    prompt, late = trades.filter("volume >= 10"), trades.filter("volume < 10")
-    root = scratch_dir(spark, "late-bars")
-    streams.correct_late_bars(spark, prompt, prompt, root, "1h")
-    streams.correct_late_bars(spark, trades, late, root, "1h")
+    # trades of small volume land in a second file, long after the watermark has passed most of them
+    trades, landing = views.trades(spark, sf), scratch_dir(spark, "landing")
+    for part in ("volume >= 10", "volume < 10"):
+        trades.filter(part).write.mode("append").parquet(landing)
+    arriving = spark.readStream.schema(trades.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    stored, root, late = (scratch_dir(spark, n) for n in ("late-trades", "late-bars", "late-rows"))
+    sink = streams.store_with_late(spark, stored, root, late, "1h", lateness="2 hours")
+    streams.run_available(arriving, scratch_dir(spark, "checkpoint"), sink)
+    if not streams.late_rows(spark, late).count():
+        raise ValueError("no trade came late")
     bars = read_staged(spark, root, streams.BAR_PARTITIONS).drop(*streams.BAR_PARTITIONS)
     return rounded(bars, 6, *PRICES)
 
@@ -144,19 +186,20 @@ REGISTRY_SQL = f"WITH {views.REGISTRY}"
 
 
 @query("incremental_update", f"""{REGISTRY_SQL}, bars AS (SELECT CAST(o_custkey AS VARCHAR) AS stock, o_orderpriority AS interval, o_orderdate AS date FROM orders GROUP BY ALL),
-  p AS (SELECT t.ticker, '1-URGENT' AS interval, try_cast(i.last_data_date AS TIMESTAMP) AS s FROM tickers t
-    LEFT JOIN intervals i ON i.ticker = t.ticker AND i.interval = '1-URGENT'
+  p AS (SELECT t.ticker, w.interval, try_cast(i.last_data_date AS TIMESTAMP) AS s FROM tickers t, (SELECT DISTINCT o_orderpriority AS interval FROM orders) w
+    LEFT JOIN intervals i ON i.ticker = t.ticker AND i.interval = w.interval
     WHERE t.status = 'active' AND (i.status IS NULL OR i.status <> 'not_found' OR coalesce(date_diff('day', try_cast(last_not_found_date AS DATE), DATE '2001-08-15') >= 30, true)))
-  SELECT b.stock, b.date FROM bars b JOIN p ON b.stock = p.ticker AND b.interval = p.interval AND (p.s IS NULL OR b.date >= p.s)""")
+  SELECT b.interval, b.stock, b.date FROM bars b JOIN p ON b.stock = p.ticker AND b.interval = p.interval AND (p.s IS NULL OR b.date >= p.s)""")
 def incremental_update(spark, sf):
     tickers, intervals = views.registry(spark, sf)
     orders = table(spark, sf, "orders")
     landed = orders.groupBy(
         F.col("o_custkey").cast("string").alias("stock"), F.col("o_orderpriority").alias("interval"), F.col("o_orderdate").alias("date")
     ).agg(F.max("o_totalprice").alias("close"))
-    root = scratch_dir(spark, "updates")
-    updates.incremental_update(spark, {"1-URGENT": root}, tickers, intervals, landed, "2001-08-15 17:00:00")
-    return scan_bars_partitioned(spark, root).select("stock", "date")
+    roots = {interval: scratch_dir(spark, "updates") for interval in views.STORED_INTERVALS}
+    updates.incremental_update(spark, roots, tickers, intervals, landed, "2001-08-15 17:00:00")
+    found = [scan_bars_partitioned(spark, root).select(F.lit(i).alias("interval"), "stock", "date") for i, root in roots.items()]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("live_registry_state", """WITH l AS (SELECT CAST(o_custkey AS VARCHAR) AS ticker, o_orderpriority,
@@ -172,4 +215,4 @@ def live_registry_state(spark, sf):
     streams.run_available(
         updates.live_registry_state(outcomes), scratch_dir(spark, "checkpoint"), streams.bar_versions(spark, root), "update"
     )
-    return spark.read.parquet(root).drop("batch_id")
+    return updates.latest_state(spark, root)

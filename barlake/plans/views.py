@@ -56,8 +56,11 @@ def trades_dup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trade_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines_of(trades(spark, sf))
+
+
+def lines_of(t: DataFrame) -> DataFrame:
     """One vendor JSON line per trade, with the name of the file it came in."""
-    t = trades(spark, sf)
     record = F.struct(
         F.lit("posttrade").alias("messageId"),
         F.lit("ETR").alias("sourceName"),
@@ -90,6 +93,10 @@ DOWNLOAD_LOG = """log AS (
   FROM manifest WHERE date[9:10] <= '15')"""
 
 
+# Bar intervals of the registry proxy.
+STORED_INTERVALS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return trades(spark, sf).select(
         F.col("feed_venue").alias("venue"), trade_filename("feed_venue", "trade_time").alias("file_name")

@@ -100,7 +100,7 @@ def first_n_tickers(df: DataFrame, n: int, column: str = "stock") -> DataFrame:
 
 def sample_tickers(df: DataFrame, n: int, seed: int, column: str = "stock") -> DataFrame:
     """A repeatable draw of n tickers, returned in name order."""
-    draw = F.xxhash64(F.col(column), F.lit(seed))
+    draw = F.md5(F.concat(F.col(column).cast("string"), F.lit(str(seed))).cast("binary"))
     return df.select(column).distinct().orderBy(draw, column).limit(n).orderBy(column)
 
 

@@ -66,17 +66,31 @@ def read_instrument_csv(spark: SparkSession, path: str) -> DataFrame:
     """Semicolon file with two metadata lines above its header.
 
     The header is found by its text, so any number of tasks may read the file.
+    Lines with fewer fields than the header are told by ``short_instrument_lines``.
     """
+    lines, header, header_row = _instrument_lines(spark, path)
+    body = lines.filter(~_is_short(header) & (F.col("value") != header_row))
+    schema = ", ".join(f"`{h}` STRING" for h in header)
+    return body.select(F.from_csv("value", schema, {"sep": ";"}).alias("r")).select("r.*")
+
+
+def short_instrument_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value): lines below the header that lack fields; blank ones are none."""
+    lines, header, _ = _instrument_lines(spark, path)
+    above = F.col("value").rlike(r"^(Market|Date Last Update):;")
+    return lines.filter(_is_short(header) & (F.trim("value") != "") & ~above)
+
+
+def _is_short(header: list[str]) -> Column:
+    return F.size(F.split("value", ";")) < len(header)
+
+
+def _instrument_lines(spark: SparkSession, path: str) -> tuple[DataFrame, list[str], str]:
     lines = spark.read.text(path)
     header_row = lines.filter(F.col("value").contains("ISIN;") | F.col("value").endswith(";ISIN")).first()
     if header_row is None:
         raise ValueError("no header line with an ISIN column")
-    header = [h.strip() for h in header_row[0].split(";")]
-    body = lines.filter(
-        (F.size(F.split("value", ";")) >= len(header)) & (F.col("value") != header_row[0])
-    )
-    schema = ", ".join(f"`{h}` STRING" for h in header)
-    return body.select(F.from_csv("value", schema, {"sep": ";"}).alias("r")).select("r.*")
+    return lines, [h.strip() for h in header_row[0].split(";")], header_row[0]
 
 
 def instrument_master(raw: DataFrame, as_of: str) -> DataFrame:
@@ -96,8 +110,11 @@ def instrument_master(raw: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def instrument_violations(master: DataFrame) -> DataFrame:
-    """(isin, rule) for wrong lengths and repeated identifiers."""
+def instrument_violations(master: DataFrame, short: DataFrame | None = None) -> DataFrame:
+    """(isin, rule) for wrong lengths and repeated identifiers, and for lines that lack fields.
+
+    A short line has no columns to trust; the isin is whatever in it looks like one.
+    """
     rules = F.array_compact(
         F.array(
             F.when(F.coalesce(F.length("isin"), F.lit(0)) != 12, "isin_length"),
@@ -109,7 +126,11 @@ def instrument_violations(master: DataFrame) -> DataFrame:
     repeated = (
         master.groupBy("isin").count().filter("count > 1").select("isin", F.lit("duplicate_isin").alias("rule"))
     )
-    return broken.unionByName(repeated)
+    found = broken.unionByName(repeated)
+    if short is None:
+        return found
+    isin = F.nullif(F.regexp_extract("value", r"\b([A-Z]{2}[A-Z0-9]{10})\b", 1), F.lit(""))
+    return found.unionByName(short.select(isin.alias("isin"), F.lit("short_line").alias("rule")))
 
 
 def import_mapping(current: DataFrame, override: DataFrame, as_of: str) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,11 +28,39 @@ FILE = "file_name"
 def read_trade_lines(spark: SparkSession, *paths: str, skip_unreadable: bool = False) -> DataFrame:
     """Lines with the name of their file; gzip is undone by the reader.
 
-    With ``skip_unreadable`` a damaged file is left out instead of failing the
-    read; compare with the listing (``missing_files``) to see which.
+    A damaged file fails the read. With ``skip_unreadable`` it yields one
+    malformed line that says why, and none of its own: the report of
+    ``parse_trades`` then names it as rejected.
+    """
+    if skip_unreadable:
+        return whole_lines(spark.read.format("binaryFile").load(list(paths)))
+    return spark.read.text(list(paths)).select("value", F.col("_metadata.file_name").alias(FILE))
+
+
+UNREADABLE = "unreadable: "
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            name, data = path.as_py().rsplit("/", 1)[-1], content.as_py()
+            try:
+                if name.endswith(".gz") or data[:2] == b"\x1f\x8b":
+                    data = gzip.decompress(data)
+                lines = data.decode("utf-8", errors="replace").splitlines()
+            except (OSError, EOFError, zlib.error) as error:
+                lines = [f"{UNREADABLE}{error}"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lines, pa.string()), pa.array([name] * len(lines), pa.string())], names=["value", FILE])
+
+
+def whole_lines(files: DataFrame) -> DataFrame:
+    """Lines of files read as a whole (``binaryFile``), each file or nothing of it.
+
+    The text reader hands out the lines before the damage and cannot take them
+    back. A trade file covers one venue and minute, so it fits in a task.
     """
-    reader = spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower())
-    return reader.text(list(paths)).select("value", F.col("_metadata.file_name").alias(FILE))
+    return files.select("path", "content").mapInArrow(_unpacked, f"value string, {FILE} string")
 
 
 def decode_lines(lines: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from barlake.operators.dedupe import keep_last
 from barlake.operators.lake import upsert_bars
 from barlake.operators.registry import apply_fetch_outcomes, fetch_plan, work_list
 from barlake.schemas import BARS, INTERVALS
@@ -55,6 +56,12 @@ def incremental_update(
     return plan, new_tickers, new_intervals
 
 
+def latest_state(spark: SparkSession, root: str) -> DataFrame:
+    """The last version of each ticker's state among the batches under a folder."""
+    versions = spark.read.option("basePath", root).parquet(root).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return keep_last(versions, ["ticker"], [F.col("batch_id")]).drop("batch_id")
+
+
 STATE = "interval ARRAY<STRING>, at ARRAY<BIGINT>, found ARRAY<BOOLEAN>"
 LIVE = "ticker STRING, status STRING, intervals BIGINT, not_found_intervals BIGINT"
 

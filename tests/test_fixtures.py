@@ -41,6 +41,11 @@ def test_version_order(spark, old, new, winner):
     assert closes(merge_bars(a, b)) == {("A", "2024-01-01"): winner}
 
 
+def test_empty_tables_have_the_schema(spark):
+    for made, schema in ((schemas.empty_trades(spark), schemas.TRADES), (schemas.empty_bars(spark), schemas.BARS)):
+        assert made.schema == schema and made.count() == 0
+
+
 def test_merge_with_empty_sides(spark):
     rows = bar_rows(spark, [("A", "2024-01-01", 1.0, 1)])
     none = schemas.empty_bars(spark)

@@ -42,6 +42,23 @@ def test_layouts_keep_text_and_do_not_store_partitions(spark, folder, layout):
         assert {r[0] for r in discover_partitions(spark, folder).collect()} == {"123", "BRK.B"}
 
 
+def test_rows_without_a_date_come_back(spark, folder):
+    batch = bar_rows(spark, [*TWO_MONTHS, ("A", None, 9.0, 1)])
+    undated = lake.upsert_bars(spark, f"{folder}/lake", batch, quarantine=f"{folder}/quarantine")
+    assert [r["stock"] for r in undated.collect()] == ["A"] == [r["stock"] for r in spark.read.parquet(f"{folder}/quarantine").collect()]
+    assert closes(scan_bars_partitioned(spark, f"{folder}/lake")) == closes(bar_rows(spark, TWO_MONTHS))
+    assert lake.write_bars_monthly(batch, f"{folder}/again").count() == 1
+
+
+def test_a_batch_over_many_partitions_is_joined(spark, folder, monkeypatch):
+    lake.write_bars_monthly(bar_rows(spark, TWO_MONTHS), folder)
+    touched = spark.createDataFrame([("2024", "02"), ("2024", "03")], "year string, month string")
+    few = lake.prune_to(scan_partitions(spark, folder), touched, ["year", "month"])
+    monkeypatch.setattr(lake, "PRUNED_PARTITIONS", 1)
+    many = lake.prune_to(scan_partitions(spark, folder), touched, ["year", "month"])
+    assert many.columns == few.columns and many.collect() == few.collect() and few.count() == 1
+
+
 @pytest.mark.parametrize("compression", ["gzip", "snappy", "none"])
 def test_compression(spark, folder, compression):
     lake.write_bars_monthly(bar_rows(spark, TWO_MONTHS), folder, compression=compression)

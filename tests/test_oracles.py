@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from barlake.plans.catalog import all_queries
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = {name: entry.run for name, entry in all_queries().items()}
+ORACLES = {name: entry.oracle for name, entry in all_queries().items() if entry.oracle}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
@@ -37,8 +39,9 @@ def test_query_equals_its_sql(spark, duck, name):
     assert rows(result.columns, result.collect()) == rows(columns, cursor.fetchall())
 
 
-def test_few_queries_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"sample_tickers"}
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -105,6 +105,16 @@ def test_ewma_with_gaps(spark, frame):
     check(out, "m", per_stock(gappy, lambda s: s.ewm(span=3).mean()), gappy)
 
 
+@pytest.mark.parametrize("mean", [ops.ewma, ops.tema])
+def test_a_run_of_nulls_longer_than_block_and_halo_changes_nothing(spark, mean):
+    rows = [("A", f"2024-01-01 {i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d}", float(i % 9) if i < 5 or i > 690 else None)
+            for i in range(705)]
+    df = spark.createDataFrame(rows, "stock string, date string, volume double").withColumn("date", F.col("date").cast("timestamp_ntz"))
+    small, big = ([r["m"] for r in mean(df, "volume", {"m": 3.0}, block_rows=n).orderBy("date").collect()] for n in (160, 50_000))
+    assert None not in small and np.allclose(small, big, rtol=1e-12)
+    assert len(set(small[4:691])) == 1
+
+
 def test_two_speed_baseline(bars, frame):
     out = ops.volume_baseline(bars, "ewma")
     fast = per_stock(frame, lambda s: s.ewm(span=9).mean())
