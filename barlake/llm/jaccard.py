@@ -134,7 +134,8 @@ def _prefixes(size: int, percent: int, sketch):
                 names.append(name)
                 sizes.append(n)
                 prefixes.append(members[first].view(np.int64))
-                salts.append(((name & 0x7FFFFFFF) % np.maximum(1, weight[first] // GROUP)).astype(np.int32))
+                groups = weight[first] // GROUP
+                salts.append(np.where(groups > 1, 1 + (name & 0x7FFFFFFF) % np.maximum(1, groups), 0).astype(np.int32))
             bounds = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))), pa.int32())
             flat = [np.concatenate(x) if x else np.empty(0, k) for x, k in ((prefixes, np.int64), (salts, np.int32))]
             yield pa.RecordBatch.from_arrays(
