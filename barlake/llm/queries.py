@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from barlake.llm import (
     chat, decontaminate, html_text, jaccard, langid, mixing, neighbours, substring_dedup, token_store, toxicity,
 )
+from barlake.llm.text import small_batches
 from barlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

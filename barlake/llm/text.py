@@ -8,7 +8,6 @@ code points gives.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -131,13 +130,11 @@ def distinct_sorted(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
-    """Fewer rows in an Arrow batch while a job over long texts runs, which bounds what a task holds of them."""
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """At most so many rows in an Arrow batch of this session from now on, which bounds what a task holds of long texts.
+
+    The setting counts when a job runs, not when a frame is described, so it stays.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))

@@ -40,8 +40,8 @@ LOW = 1 << 31
 LANES = 1024
 BLOCK = 1 << 18
 CHECKPOINT = 1 << 17
-PIECES_KEPT = 1_500_000
-BATCH_BYTES = 1 << 23
+PIECES_KEPT = 600_000
+BATCH_BYTES = 1 << 21
 
 
 # ---------------------------------------------------------------- tokenising
@@ -219,6 +219,7 @@ def tokenised_runs(path: str, end_id: int):
         if parts:
             yield row(block, docs, parts)
         yield row(-1, [], [], counts.tobytes())
+        pa.default_memory_pool().release_unused()  # the worker lives on beside the executor
 
     return run
 
@@ -341,9 +342,9 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     ordered = (rows.withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc_id", "_tie")
                .sortWithinPartitions("doc_id", "_tie").select("doc_id", "text"))
     staged = scratch_dir(spark, "tokens")
-    with small_batches(spark):
-        (ordered.mapInArrow(tokenised_runs(tokenizer, end_id), RUN_SCHEMA)
-         .write.option("compression", "zstd").parquet(staged))
+    small_batches(spark)
+    (ordered.mapInArrow(tokenised_runs(tokenizer, end_id), RUN_SCHEMA)
+     .write.option("compression", "zstd").parquet(staged))
     runs = spark.read.schema(RUN_SCHEMA).parquet(staged)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

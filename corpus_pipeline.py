@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm import decontaminate, jaccard, langid, mixing, token_store
 from barlake.llm.queries import tokenizer_path, with_quality
+from barlake.llm.text import small_batches
 from barlake.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that belong to a learned language; the others go."""
+    small_batches(spark)
     model = langid.fit(langid.learning_rows(docs))
     found = langid.identify(docs, model).filter("not rejected")
     return found.select(*docs.columns)
