@@ -41,7 +41,7 @@ LANES = 1024
 BLOCK = 1 << 18
 CHECKPOINT = 1 << 17
 PIECES_KEPT = 600_000
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 22
 
 
 # ---------------------------------------------------------------- tokenising
@@ -51,13 +51,15 @@ class PieceEncoder:
     """Ids of whole texts, each distinct piece between blanks encoded once while it is remembered.
 
     A byte-level tokenizer that splits before every blank followed by a
-    character encodes those pieces independently. Full stops and commas after a
-    letter are split off by it too. Texts for which this is not so (runs of white
+    character encodes those pieces independently; the same holds before a line
+    end between two characters. Full stops and commas after a letter are split
+    off by it too. Texts for which this is not so (runs of white
     space, added tokens, another kind of tokenizer) are encoded as a whole.
     Pieces are told apart and looked up in Arrow, so only new ones reach Python.
     """
 
-    _unsafe = r" [\s\p{Z}\x{85}\x{1c}-\x{1f}]| $"
+    # White space beside a blank or a line end, or at the ends of the text.
+    _unsafe = r"[ \n][\s\p{Z}\x{85}\x{1c}-\x{1f}]|[\s\p{Z}\x{85}\x{1c}-\x{1f}]\n|[ \n]$|^\n"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -73,13 +75,21 @@ class PieceEncoder:
         self.forget()
 
     def forget(self) -> None:
-        """Known pieces (without the blank before them) and, for each, where its ids are in ``flat``."""
+        """Known pieces (without the blank before them; a line end stays) and where the ids of each are in ``flat``."""
         self.known = pa.array([], pa.large_string())
         self.flat, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def keep(self, places: np.ndarray) -> np.ndarray:
+        """Forget all but the pieces at these places, which are those of the present batch; their new places."""
+        self.known = self.known.take(pa.array(places))
+        self.flat = self.flat[spans(self.starts[places], self.sizes[places])]
+        self.sizes = self.sizes[places]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        return np.arange(len(places))
+
     def find(self, pieces: pa.Array) -> np.ndarray:
         """Places of distinct pieces among the known ones, those met for the first time encoded and added."""
         place = pc.index_in(pieces, value_set=self.known)
@@ -92,7 +102,7 @@ class PieceEncoder:
         cores = core.dictionary_encode()
         at = pc.index_in(cores.dictionary, value_set=self.known)
         unknown = pc.is_null(at).to_numpy(zero_copy_only=False)
-        ids = self.whole([" " + c for c in cores.dictionary.filter(pa.array(unknown)).to_pylist()])
+        ids = self.whole([c if c[:1] == "\n" else " " + c for c in cores.dictionary.filter(pa.array(unknown)).to_pylist()])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), self.dtype, int(sizes.sum()))])
         core_start, core_size = np.empty(len(unknown), np.int64), np.empty(len(unknown), np.int64)
@@ -134,12 +144,13 @@ class PieceEncoder:
             out[at] = np.array(ids, self.dtype)
         chosen = np.flatnonzero(safe)
         if len(chosen):
-            if len(self.known) > PIECES_KEPT:
-                self.forget()
-            lists = pc.split_pattern(texts.take(pa.array(chosen)), " ")
+            lists = pc.split_pattern(pc.replace_substring(texts.take(pa.array(chosen)), "\n", " \n"), " ")
             bounds = lists.offsets.to_numpy()
             coded = lists.flatten().dictionary_encode()
-            place = self.find(coded.dictionary)[coded.indices.to_numpy()]
+            found = self.find(coded.dictionary)
+            if len(self.known) > PIECES_KEPT:
+                found = self.keep(found)
+            place = found[coded.indices.to_numpy()]
             starts, sizes = self.starts[place], self.sizes[place]
             # the first piece of a text has no blank before it
             heads = self.whole(lists.flatten().take(pa.array(bounds[:-1])).to_pylist())
