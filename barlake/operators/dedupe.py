@@ -1,7 +1,7 @@
 """Keep-last de-duplication by aggregation.
 
-``max_by`` over a struct combines on the map side, so a key with very many
-copies never has to sit in one task as it would under ``row_number``.
+``max`` of one struct, order first, combines on the map side, so a key with very
+many copies never has to sit in one task as it would under ``row_number``.
 """
 
 from __future__ import annotations
@@ -17,14 +17,14 @@ from barlake.schemas import BAR_KEY
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the one with the greatest order struct (nulls sort lowest)."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), ranked).alias("_row"))
-        .select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    named = {f"o{i}": c for i, c in enumerate(order)}
+    plain = {repr(F.col(c)): c for c in df.columns}
+    # a column that is itself part of the order is not carried twice
+    carried = {plain[repr(c)]: o for o, c in named.items() if repr(c) in plain}
+    rest = [c for c in df.columns if c not in keys and c not in carried]
+    row = F.max(F.struct(*[c.alias(o) for o, c in named.items()], *rest)).alias("_row")
+    values = {c: F.col("_row")[carried.get(c, c)] for c in df.columns if c not in keys}
+    return df.groupBy(*keys).agg(row).select(*[values.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
 def dedupe_bars(df: DataFrame, arrival: Sequence[str] = ()) -> DataFrame:

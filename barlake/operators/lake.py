@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,8 +12,8 @@ from pyspark.sql import types as T
 
 from barlake.functions.names import partition_day, partition_month, partition_year
 from barlake.operators.audit import frame_checksum, migration_totals, verify_copies
-from barlake.operators.dedupe import dedupe_bars, dedupe_trades
-from barlake.operators.mapping import split_mapped
+from barlake.operators.dedupe import dedupe_bars, dedupe_trades, keep_last
+from barlake.operators.mapping import map_isin_to_ticker, split_mapped
 from barlake.operators.normalize import normalize_bars, split_null_dates
 from barlake.schemas import BARS
 from barlake.session import scratch_dir
@@ -121,9 +122,9 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
     Rows without a date are returned, and appended to ``quarantine`` if that
     folder is named; there may be none.
 
-    The merge is staged first, since Spark cannot overwrite what it reads; an
-    interrupted publish is repeated from the stage. Running it twice is the
-    same as once.
+    The merge is staged first, since Spark cannot overwrite what it reads, and
+    its folders are then moved; see ``publish``. Running it twice is the same as
+    once.
     """
     parts = LAYOUT_COLUMNS[layout]
     dated, undated = split_null_dates(normalize_bars(new))
@@ -135,7 +136,7 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
         existing = existing.join(touched, parts, "left_semi")
     stage = scratch_dir(spark, "upsert")
     write_bars_monthly(merge_bars(existing, dated), stage, layout, **options)
-    publish(spark, stage, root, existing.schema, parts, ["stock", "date"], **options)
+    publish(spark, stage, root, parts)
     return undated
 
 
@@ -157,14 +158,61 @@ def read_staged(
     return spark.read.schema(_text_partitions(schema, partition_by)).option("basePath", root).parquet(root)
 
 
-def publish(spark: SparkSession, stage: str, active: str, schema: T.StructType, partition_by: Sequence[str],
-            sort_by: Sequence[str], **options) -> None:
-    """Replace the partitions of the active table that the stage holds.
+READY = "_publish.json"
 
-    The stage is laid out already, so its files are rewritten without a shuffle.
+
+def _path(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def publish(spark: SparkSession, stage: str, active: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions of the active table that the stage holds, by moving their folders.
+
+    The stage is a complete write, so no file is written twice. Before the first
+    folder moves, a note in the stage names the target; ``resume_publishes``
+    finishes a publish that stopped anywhere after that, and one that stopped
+    before has changed nothing. The stage is removed at the end.
     """
-    staged = read_staged(spark, stage, partition_by, schema)
-    _write_sorted(staged, active, partition_by, sort_by, **options)
+    note = json.dumps({"active": active, "depth": len(partition_by)})
+    files, place = _path(spark, f"{stage}/{READY}")
+    out = files.create(place, True)
+    out.write(bytearray(note, "utf-8"))
+    out.close()
+    _move_partitions(spark, stage, active, len(partition_by))
+
+
+def _move_partitions(spark: SparkSession, stage: str, active: str, depth: int) -> None:
+    source, root = _path(spark, stage)
+    target, _ = _path(spark, active)
+    base = source.makeQualified(root).toString()
+    target.mkdirs(_path(spark, active)[1])
+    util, conf = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jsc.hadoopConfiguration()
+    for found in source.globStatus(_path(spark, stage + "/*=*" * depth)[1]):
+        folder = found.getPath()
+        _, to = _path(spark, active + source.makeQualified(folder).toString()[len(base):])
+        target.delete(to, True)
+        target.mkdirs(to.getParent())
+        if source.getUri().equals(target.getUri()):
+            if not target.rename(folder, to):
+                raise OSError(f"cannot move {folder.toString()}")
+        else:
+            util.copy(source, folder, target, to, True, conf)
+    source.delete(root, True)
+
+
+def resume_publishes(spark: SparkSession, base: str) -> list[str]:
+    """Finish the publishes whose stages are left under a scratch folder; the tables that were touched."""
+    files, _ = _path(spark, base)
+    done = []
+    for found in files.globStatus(_path(spark, f"{base}/*/{READY}")[1]):
+        stream = files.open(found.getPath())
+        note = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        _move_partitions(spark, found.getPath().getParent().toString(), note["active"], note["depth"])
+        done.append(note["active"])
+    return done
 
 
 TRADE_PARTITIONS = ["feed_venue", "year", "month", "day"]
@@ -189,7 +237,7 @@ def append_trades_daily(spark: SparkSession, root: str, new: DataFrame, **option
     merged = dedupe_trades(both).drop("batch_rank")
     stage = scratch_dir(spark, "trades")
     write_partitioned(merged, stage, TRADE_PARTITIONS, ["trade_time", "tick_id"], **options)
-    publish(spark, stage, root, merged.schema, TRADE_PARTITIONS, ["trade_time", "tick_id"], **options)
+    publish(spark, stage, root, TRADE_PARTITIONS)
 
 
 def read_trades(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
@@ -243,6 +291,43 @@ def write_ohlcv_dual(mapped_bars: DataFrame, root: str, **options) -> None:
     )
 
 
+DUAL_PARTITIONS = {"by_ticker": ["feed_venue", "ticker", "year", "month"], "by_isin": ["feed_venue", "isin_part", "year", "month"]}
+
+
+def backfill_moved(spark: SparkSession, root: str, mapping: DataFrame, **options) -> DataFrame:
+    """Move stored bars whose ISIN has a ticker by now from ``by_isin`` to ``by_ticker``; how many rows went where.
+
+    Bars of a ticker that are stored already stay, the moved ones are added; on
+    the same bar the stored one wins. A folder of one ISIN moves as a whole, so
+    nothing of ``by_isin`` is rewritten. The ticker side is published first: a
+    run that stops in between repeats with the same result.
+    """
+    isin_root, ticker_root = f"{root}/by_isin", f"{root}/by_ticker"
+    unmapped = read_staged(spark, isin_root, DUAL_PARTITIONS["by_isin"])
+    moved, _ = split_mapped(map_isin_to_ticker(unmapped, mapping))
+    counted = scratch_dir(spark, "backfill")
+    moved.groupBy(F.col("isin_part").alias("isin"), "feed_venue").agg(F.count(F.lit(1)).alias("rows"), F.first("ticker").alias("ticker")).write.parquet(counted)
+    counts = spark.read.parquet(counted)
+    columns = [c for c in unmapped.columns if c not in ("isin", "isin_part")]
+    fresh = moved.select(*columns, "ticker").withColumn("_rank", F.lit(0))
+    files, place = _path(spark, ticker_root)
+    if files.exists(place):
+        kind = fresh.drop("_rank").schema
+        stored = read_staged(spark, ticker_root, DUAL_PARTITIONS["by_ticker"], kind)
+        near = prune_to(stored, fresh, DUAL_PARTITIONS["by_ticker"]).select(*columns, "ticker")
+        fresh = near.withColumn("_rank", F.lit(1)).unionByName(fresh)
+    keys = ["feed_venue", "ticker", "bar"]
+    values = [F.col(c) for c in columns if c not in (*keys, "year", "month")]
+    merged = keep_last(fresh, keys, [F.col("_rank"), *values]).drop("_rank")
+    stage = scratch_dir(spark, "backfill")
+    write_partitioned(merged, stage, DUAL_PARTITIONS["by_ticker"], ["bar"], **options)
+    publish(spark, stage, ticker_root, DUAL_PARTITIONS["by_ticker"])
+    files, _ = _path(spark, isin_root)
+    for r in counts.select("feed_venue", "isin").toLocalIterator():
+        files.delete(_path(spark, f"{isin_root}/feed_venue={r['feed_venue']}/isin_part={r['isin']}")[1], True)
+    return counts
+
+
 def trades_by_isin_archive(trades: DataFrame, root: str, **options) -> None:
     """Trades again, by instrument and month."""
     placed = trades.withColumns({"year": partition_year("trade_time"), "month": partition_month("trade_time")})
@@ -271,17 +356,20 @@ def staged_publish(
 
     ``outcome`` is the one row of ``validation_outcome``. The manifest has a
     checksum per key, the stage path and the status: published, partial or held.
+    A held stage stays for inspection.
     """
     stage = scratch_dir(spark, "publish")
     write_partitioned(new, stage, partition_by, sort_by, **options)
     verdict = outcome.first()["outcome"]
-    if verdict != "hold":
-        publish(spark, stage, active, new.schema, partition_by, sort_by, **options)
     status = {"publish": "published", "partial": "partial", "hold": "held"}[verdict]
     staged = read_staged(spark, stage, partition_by, new.schema)
-    return frame_checksum(staged.select(*sorted(staged.columns)), keys).withColumns(
+    manifest = scratch_dir(spark, "manifest")
+    frame_checksum(staged.select(*sorted(staged.columns)), keys).withColumns(
         {"status": F.lit(status), "stage": F.lit(stage), "verified_at": F.lit(verified_at)}
-    )
+    ).write.parquet(manifest)
+    if verdict != "hold":
+        publish(spark, stage, active, partition_by)
+    return spark.read.parquet(manifest)
 
 
 def migrate_interval(
@@ -323,6 +411,6 @@ def migrate_interval(
     others = near.join(passed, "stock", "left_anti").select(*BARS.names)
     final = scratch_dir(spark, "migrated")
     write_bars_monthly(others.unionByName(fresh), final, layout, **options)
-    publish(spark, final, root, stored.schema, parts, ["stock", "date"], **options)
+    publish(spark, final, root, parts)
     totals = migration_totals(verdicts, venue, interval)
     return verdicts, totals if tickers is None else totals.limit(0)

@@ -21,6 +21,7 @@ from barlake.schemas import (
     TRADE_FIELDS,
     TRADES,
 )
+from barlake.session import scratch_dir
 
 FILE = "file_name"
 
@@ -104,10 +105,11 @@ def rename_trade_fields(decoded: DataFrame, *keep: str) -> DataFrame:
 
 def file_report(decoded: DataFrame) -> DataFrame:
     """One row per file: lines, malformed lines, required columns seen nowhere in it."""
-    seen = {
-        key: F.coalesce(F.bool_or(F.col(f"record.{key}").isNotNull()), F.lit(False))
-        for key in REQUIRED_TRADE_KEYS
-    }
+    return _report(decoded, {k: F.col(f"record.{k}").isNotNull() for k in REQUIRED_TRADE_KEYS})
+
+
+def _report(decoded: DataFrame, present: dict[str, Column]) -> DataFrame:
+    seen = {key: F.coalesce(F.bool_or(flag), F.lit(False)) for key, flag in present.items()}
     missing = F.array_compact(
         F.array(*[F.when(~seen[k], F.lit(TRADE_COLUMN_OF[k])) for k in REQUIRED_TRADE_KEYS])
     )
@@ -125,13 +127,19 @@ def file_report(decoded: DataFrame) -> DataFrame:
 
 
 def parse_trades(lines: DataFrame, keep_file: bool = False) -> tuple[DataFrame, DataFrame]:
-    """File-strict mode: trades of accepted files, and the report on all files."""
+    """File-strict mode: trades of accepted files, and the report on all files.
+
+    Every line is decoded once, into a stage in the shared scratch folder; the
+    report and the trades are both read from it.
+    """
     decoded = decode_lines(lines)
-    report = file_report(decoded)
+    stage = scratch_dir(lines.sparkSession, "decoded")
+    present = {f"_has_{k}": F.col(f"record.{k}").isNotNull() for k in REQUIRED_TRADE_KEYS}
+    rename_trade_fields(decoded.withColumns(present), FILE, "malformed", *present).write.parquet(stage)
+    typed = lines.sparkSession.read.parquet(stage)
+    report = _report(typed, {k: F.col(f"_has_{k}") for k in REQUIRED_TRADE_KEYS})
     good = report.filter("accepted").select(FILE)
-    trades = rename_trade_fields(
-        decoded.join(good, FILE, "left_semi"), *([FILE] if keep_file else [])
-    )
+    trades = typed.join(good, FILE, "left_semi").select(*TRADES.names, *([FILE] if keep_file else []))
     return trades, report
 
 

@@ -131,7 +131,7 @@ def merge_log(spark: SparkSession, root: str, rows: DataFrame) -> None:
     merged = dedupe_log(existing.unionByName(rows))
     stage = scratch_dir(spark, "log")
     write_partitioned(merged, stage, ["date"], ["venue", "timestamp"])
-    publish(spark, stage, root, DOWNLOAD_LOG, ["date"], ["venue", "timestamp"])
+    publish(spark, stage, root, ["date"])
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
@@ -244,7 +244,7 @@ def correct_late_bars(spark: SparkSession, trades: DataFrame, late: DataFrame, b
     kept = prune_to(stored, months, BAR_PARTITIONS).join(fresh.select(*keys, "bar"), [*keys, "bar"], "left_anti")
     stage = scratch_dir(spark, "late")
     write_partitioned(kept.select(*fresh.columns).unionByName(fresh), stage, BAR_PARTITIONS, [*keys, "bar"])
-    publish(spark, stage, bars_root, fresh.schema, BAR_PARTITIONS, [*keys, "bar"])
+    publish(spark, stage, bars_root, BAR_PARTITIONS)
 
 
 SEEN = "newest timestamp_ntz, batch_id bigint"

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from barlake.operators.dedupe import keep_last
 from barlake.operators.lake import upsert_bars
 from barlake.operators.registry import apply_fetch_outcomes, fetch_plan, work_list
 from barlake.schemas import BARS, INTERVALS
@@ -56,46 +51,25 @@ def incremental_update(
     return plan, new_tickers, new_intervals
 
 
-def latest_state(spark: SparkSession, root: str) -> DataFrame:
-    """The last version of each ticker's state among the batches under a folder."""
-    versions = spark.read.option("basePath", root).parquet(root).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return keep_last(versions, ["ticker"], [F.col("batch_id")]).drop("batch_id")
-
+OUTCOMES = "ticker string, interval string, at timestamp_ntz, found boolean, batch_id bigint"
 
-STATE = "interval ARRAY<STRING>, at ARRAY<BIGINT>, found ARRAY<BOOLEAN>"
-LIVE = "ticker STRING, status STRING, intervals BIGINT, not_found_intervals BIGINT"
 
+def live_registry_state(outcomes: DataFrame) -> DataFrame:
+    """Streaming latest outcome of each ticker and interval, from outcomes (ticker, interval, found, at).
 
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Fold outcomes (interval, found, at) of one ticker into the latest one per interval.
-
-    The ticker is not_found exactly when the latest outcome of every interval
-    is, so neither the order of rows nor the cut into batches matters, and rows
-    are dropped as soon as they are folded.
+    The state is one outcome per ticker and bar interval, however many arrive.
+    The latest is the maximum, so neither the order of rows nor the cut into
+    batches matters. Write it in update mode with ``bar_versions``.
     """
-    known = {}
-    if state.exists:
-        known = {i: (at, found) for i, at, found in zip(*state.get)}
-    for batch in batches:
-        micros = batch["at"].astype("datetime64[us]").astype("int64")
-        latest = batch.assign(at=micros).sort_values(["at", "found"]).groupby("interval").tail(1)
-        for row in latest.itertuples():
-            outcome = (int(row.at), bool(row.found))
-            known[row.interval] = max(known.get(row.interval, outcome), outcome)
-    state.update((list(known), [v[0] for v in known.values()], [v[1] for v in known.values()]))
-    lost = sum(not found for _, found in known.values())
-    yield pd.DataFrame({
-        "ticker": [key[0]], "status": ["not_found" if lost == len(known) else "active"],
-        "intervals": [len(known)], "not_found_intervals": [lost],
-    })
+    last = F.max(F.struct("at", "found")).alias("last")
+    return outcomes.groupBy("ticker", "interval").agg(last).select("ticker", "interval", "last.at", "last.found")
 
 
-def live_registry_state(outcomes: DataFrame) -> DataFrame:
-    """Streaming status of each ticker, from outcomes (ticker, interval, found, at).
-
-    The state of a ticker is one outcome per bar interval, so it stays small
-    however many outcomes arrive.
-    """
-    return outcomes.groupBy("ticker").applyInPandasWithState(
-        _advance, LIVE, STATE, "update", GroupStateTimeout.NoTimeout
+def latest_state(spark: SparkSession, root: str) -> DataFrame:
+    """Status of each ticker over all batches: not_found exactly when the latest outcome of every interval is."""
+    versions = spark.read.schema(OUTCOMES).option("basePath", root).parquet(root)
+    last = versions.groupBy("ticker", "interval").agg(F.max(F.struct("at", "found")).alias("last"))
+    return last.groupBy("ticker").agg(
+        F.when(F.bool_or("last.found"), "active").otherwise("not_found").alias("status"),
+        F.count(F.lit(1)).alias("intervals"), F.count_if(~F.col("last.found")).alias("not_found_intervals"),
     )

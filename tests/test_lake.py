@@ -197,3 +197,43 @@ def test_scratch_follows_the_session():
     assert scratch_dir(FakeConf(None, "local[2]"), "x").startswith("/")
     with pytest.raises(RuntimeError):
         scratch_dir(FakeConf(None), "x")
+
+
+@pytest.mark.parametrize("moved", [0, 1])
+def test_an_interrupted_publish_is_finished_from_its_stage(spark, folder, monkeypatch, moved):
+    base, root = f"{folder}/scratch", f"{folder}/lake"
+    lake.write_bars_monthly(bar_rows(spark, [("123", "2024-01-01", 9.0, 0), ("OLD", "2024-03-01", 7.0, 1)]), root)
+    monkeypatch.setattr(lake, "scratch_dir", lambda spark, label: f"{base}/{label}-1")
+    move = lake._move_partitions
+
+    def stop(spark, stage, active, depth):
+        if moved:
+            month = "year=2024/month=01"
+            files, to = lake._path(spark, f"{active}/{month}")
+            files.delete(to, True)
+            files.rename(lake._path(spark, f"{stage}/{month}")[1], to)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(lake, "_move_partitions", stop)
+    with pytest.raises(KeyboardInterrupt):
+        lake.upsert_bars(spark, root, bar_rows(spark, TWO_MONTHS))
+    monkeypatch.setattr(lake, "_move_partitions", move)
+    assert lake.resume_publishes(spark, base) == [root] and lake.resume_publishes(spark, base) == []
+    assert closes(scan_bars_partitioned(spark, root)) == {**closes(bar_rows(spark, TWO_MONTHS)), ("OLD", "2024-03-01"): 7.0}
+    assert not os.path.exists(f"{base}/upsert-1")
+
+
+def test_backfill_moves_on_disk_and_may_be_repeated(spark, folder):
+    rows = [("V", "I1", "2024-01-02 00:00:00", 1.0), ("V", "I1", "2024-02-02 00:00:00", 2.0), ("V", "I2", "2024-01-02 00:00:00", 3.0)]
+    bars = spark.createDataFrame(rows, "feed_venue string, isin string, bar string, volume double").withColumn(
+        "bar", F.col("bar").cast("timestamp_ntz"))
+    kind = "isin string, ticker string, status string"
+    nothing, known = spark.createDataFrame([], kind), spark.createDataFrame([("I1", "t1", "active")], kind)
+    lake.write_ohlcv_dual(lake.map_isin_to_ticker(bars, nothing), folder)
+    for rows_moved in (2, 0):
+        counts = lake.backfill_moved(spark, folder, known)
+        assert sum(r["rows"] for r in counts.collect()) == rows_moved
+        tickers = lake.read_staged(spark, f"{folder}/by_ticker", lake.DUAL_PARTITIONS["by_ticker"])
+        left = lake.read_staged(spark, f"{folder}/by_isin", lake.DUAL_PARTITIONS["by_isin"])
+        assert sorted((r["ticker"], r["month"], r["volume"]) for r in tickers.collect()) == [("t1", "01", 1.0), ("t1", "02", 2.0)]
+        assert [(r["isin"], r["volume"]) for r in left.collect()] == [("I2", 3.0)]
