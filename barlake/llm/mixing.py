@@ -11,12 +11,14 @@ document, stays in the budget.
 
 The running sum does not put a source in one task: a document belongs to the
 chunk of its source that its key falls in (chunks of about ``CHUNK`` documents),
-sums run inside chunks, and one more sum runs over the chunks of each source.
+sums run inside chunks, and one more sum runs over the chunks of each source. The
+draw moves ids and sizes only; texts move once, when documents are taken up.
 
 Null or empty text has size 0 and is never short of budget: it is taken as often
 as its source has begun epochs. The null source is a source, the last. Null,
 not-positive or missing quality counts as 1. Rows with one id have one key; rows
-equal in id, source and size are interchangeable. Reruns give the same mix. An
+equal in id and text are interchangeable, and of their qualities the largest
+counts. Reruns give the same mix. An
 empty table gives an empty mix. All columns of the documents are kept; those
 named as result columns are replaced.
 """
@@ -69,20 +71,30 @@ def targets(sizes: DataFrame, weights: list[float], share: float, most: float) -
         F.when(F.col("_final").isNull(), limit).otherwise(F.least(limit, F.col("_final") * F.col("_weight"))).alias("target"))
 
 
-def mix(docs: DataFrame, quality: str | None = None, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5,
-        most: float = 2.0, seed: str = "mix", chunk: int = CHUNK) -> DataFrame:
-    """``docs`` with size, source_size, target of the source, taken words and copies (0 or more).
+def measured(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, tie, place, size): all that the draw needs of each row; texts stay where they are.
+
+    ``tie`` is a hash of the text and ``place`` numbers the rows equal in id and text.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64(F.col("text").cast("string")).alias("tie"),
+                       text_size(F.col("text").cast("string")).alias("size"))
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("doc_id", "tie").orderBy("source")))
+
+
+def draw(rows: DataFrame, quality: str | None = None, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5,
+         most: float = 2.0, seed: str = "mix", chunk: int = CHUNK) -> DataFrame:
+    """``rows`` (as from ``measured``, more columns may follow) with source_size, target, taken words and copies.
 
     ``quality`` names a column of positive weights.
     """
-    kept = [c for c in docs.columns if c not in RESULTS]
     weight = F.coalesce(F.when(F.col(quality) > 0, F.col(quality)), F.lit(1.0)).cast("double") if quality else F.lit(1.0)
-    sized = (docs.select(*(F.col(f"`{c}`") for c in kept)).withColumn("size", text_size(F.col("text")))
-             .withColumn("_u", uniform(F.col("doc_id"), seed)).withColumn("_key", -F.log("_u") / weight))
+    staged = scratch_dir(rows.sparkSession, "sizes")
+    rows.withColumn("_key", -F.log(uniform(F.col("doc_id"), seed)) / weight).write.parquet(staged)
+    sized = rows.sparkSession.read.parquet(staged)
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    stored = scratch_dir(docs.sparkSession, "sources")
+    stored = scratch_dir(rows.sparkSession, "sources")
     sums.write.parquet(stored)
-    sums = docs.sparkSession.read.schema(sums.schema).parquet(stored)
+    sums = rows.sparkSession.read.schema(sums.schema).parquet(stored)
     few = sums.limit(SMALL + 1).count() <= SMALL
     goals = (targets(sums, list(weights), share, most)
              .withColumn("_epochs", F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)))
@@ -92,7 +104,8 @@ def mix(docs: DataFrame, quality: str | None = None, weights: tuple[float, ...]
     # exp(-key) falls as the key grows and is uniform for quality 1, so its complement deals even chunks.
     placed = (sized.join(F.broadcast(goals) if few else goals, sized["source"].eqNullSafe(goals["_source"]))
               .withColumn("_chunk", F.floor((1 - F.exp(-F.col("_key"))) * F.col("_chunks"))))
-    inside = Window.partitionBy("_source", "_chunk").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = (Window.partitionBy("_source", "_chunk").orderBy("_key", "doc_id", "size", "tie", "place")
+              .rowsBetween(Window.unboundedPreceding, -1))
     over = Window.partitionBy("_source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = (placed.groupBy("_source", "_chunk").agg(F.sum("size").alias("_n"))
               .select(F.col("_source").alias("_s"), F.col("_chunk").alias("_c"),
@@ -102,7 +115,28 @@ def mix(docs: DataFrame, quality: str | None = None, weights: tuple[float, ...]
     extra = (F.col("_base") + F.col("_inside") + F.col("size") / 2 <= F.col("_rest")) & (F.col("_rest") > 0)
     copies = F.col("_epochs") + F.when(extra, 1).otherwise(0)
     return (found.withColumn("copies", copies.cast("int")).withColumn("taken", (F.col("size") * copies).cast("long"))
-            .select(*(F.col(f"`{c}`") for c in kept), "size", "source_size", "target", "taken", "copies"))
+            .select(*rows.columns, "source_size", "target", "taken", "copies"))
+
+
+def taken_up(docs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """``docs`` with what ``draw`` decided on each row: size, source_size, target, taken and copies."""
+    kept = [c for c in docs.columns if c not in RESULTS]
+    keyed = (docs.select(*(F.col(f"`{c}`") for c in kept), F.col("doc_id").cast("long").alias("_doc"),
+                         F.xxhash64(F.col("text").cast("string")).alias("_tie"))
+             .withColumn("_place", F.row_number().over(Window.partitionBy("_doc", "_tie").orderBy("source"))))
+    found = drawn.select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t"), F.col("place").alias("_p"), *RESULTS)
+    same = F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_tie") == F.col("_t")) & (F.col("_place") == F.col("_p"))
+    return keyed.join(found, same).select(*(F.col(f"`{c}`") for c in kept), *RESULTS)
+
+
+def mix(docs: DataFrame, quality: str | None = None, **options) -> DataFrame:
+    """``docs`` with size, source_size, target of the source, taken words and copies (0 or more); options as of ``draw``."""
+    rows = measured(docs)
+    if quality:
+        known = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(F.col("text").cast("string")).alias("_tie"),
+                            F.col(quality).alias("_quality")).groupBy("_doc", "_tie").agg(F.max("_quality").alias("_quality"))
+        rows = rows.join(known, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tie") == F.col("_tie")), "left").drop("_doc", "_tie")
+    return taken_up(docs, draw(rows, "_quality" if quality else None, **options))
 
 
 def materialise(mixed: DataFrame) -> DataFrame:

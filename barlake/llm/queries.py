@@ -121,16 +121,16 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM summed""")
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document; labelled quality doubles or halves its weight."""
-    docs = with_quality(table(spark, folder, "documents").select("doc_id", "text", "source"), table(spark, folder, "labels"))
-    return mixing.mix(docs, "quality", seed=MIX_SEED).select(
+    rows = with_quality(mixing.measured(table(spark, folder, "documents")), table(spark, folder, "labels"))
+    return mixing.draw(rows, "quality", seed=MIX_SEED).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with a weight for the draw: 2 for good documents, 0.5 for poor ones, 1 without a label."""
+def with_quality(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with a weight for the draw: 2 for good documents, 0.5 for poor ones, 1 without a label."""
     known = labels.groupBy("doc_id").agg(F.max("quality").alias("_q"))
     weight = F.when(F.col("_q") == 1, 2.0).when(F.col("_q") == 0, 0.5).otherwise(1.0)
-    return docs.join(known, "doc_id", "left").withColumn("quality", weight).drop("_q")
+    return rows.join(known, "doc_id", "left").withColumn("quality", weight).drop("_q")
 
 
 ESCAPED = r"replace(replace(replace(replace({0}, '\', '\b'), '<', '\l'), '[', '\s'), ']', '\e')"

@@ -44,8 +44,8 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    labelled = with_quality(docs.select(*docs.columns), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixing.materialise(mixing.mix(labelled, "quality")).select(*docs.columns)
+    rows = with_quality(mixing.measured(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mixing.materialise(mixing.taken_up(docs, mixing.draw(rows, "quality"))).select(*docs.columns)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

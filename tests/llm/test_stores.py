@@ -109,7 +109,7 @@ def test_mix_edges(spark):
 
 def test_better_documents_come_first(spark):
     rows = [(i, "w " * 10, "a" if i % 2 else "b", 8.0 if i % 4 < 2 else 0.125) for i in range(2000)]
-    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, quality double"), "quality", (1.0,), 0.5)
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, quality double"), "quality", weights=(1.0,), share=0.5)
     by = {r["quality"]: r["n"] for r in got.groupBy("quality").agg(F.sum("taken").alias("n")).collect()}
     assert by[8.0] > 9 * by[0.125]
 
