@@ -37,9 +37,9 @@ from barlake.session import scratch_dir
 
 SCALE_BITS = 18
 LOW = 1 << 31
-LANES = 1024
-BLOCK = 1 << 18
-CHECKPOINT = 1 << 17
+LANES = 2048
+BLOCK = 1 << 19
+CHECKPOINT = 1 << 18
 PIECES_KEPT = 600_000
 BATCH_BYTES = 1 << 22
 
