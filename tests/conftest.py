@@ -10,7 +10,7 @@ from barlake import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         **{
@@ -19,6 +19,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

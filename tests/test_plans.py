@@ -17,6 +17,15 @@ PYTHON = {"kama"}
 LAZY = sorted(n for n, e in all_queries().items() if e.run.__module__.rsplit(".", 1)[-1] not in EAGER)
 
 
+@pytest.fixture(autouse=True)
+def production_plans(spark):
+    key = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    yield
+    spark.conf.set(key, before)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -29,6 +38,18 @@ def test_no_cross_join_and_no_row_python(spark, name):
     assert ("MapInArrow" in plan) == (name in PYTHON)
 
 
+def test_versions_are_told_apart_in_one_pass(spark):
+    """No column travels twice, and nothing is sorted by key into one task."""
+    plan = plan_of(all_queries()["dedupe_bars"].run(spark, FOLDER))
+    assert "Window" not in plan and "max_by" not in plan and plan.count("Exchange hashpartitioning(stock") <= 2
+
+
+def test_live_state_and_decoding_need_no_python(spark):
+    for name in ("live_registry_state", "ingest_trades_ndjson", "stream_store_and_log"):
+        plan = plan_of(all_queries()[name].run(spark, FOLDER))
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_bars_are_hash_aggregated_before_the_shuffle(spark):
     plan = plan_of(bar_ops.ohlcv_from_trades(views.trades(spark, FOLDER), "1h"))
     assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1
