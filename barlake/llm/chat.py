@@ -32,16 +32,17 @@ Template = Callable[[list[Turn]], str]
 
 # The marks of the template below begin with < or [; the escape leaves neither in a text.
 ESCAPES = {"\\": "\\b", "<": "\\l", "[": "\\s", "]": "\\e"}
-_escape = str.maketrans(ESCAPES)
 _unescape = {v: k for k, v in ESCAPES.items()}
 
 
 def escape(text: str) -> str:
-    return text.translate(_escape)
+    for mark, code in ESCAPES.items():  # the backslash is the first of them
+        text = text.replace(mark, code)
+    return text
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\[blse]", lambda m: _unescape[m[0]], text)
+    return text if "\\" not in text else re.sub(r"\\[blse]", lambda m: _unescape[m[0]], text)
 
 
 def bracket_template(turns: list[Turn]) -> str:
