@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.llm.skew import join_with_heavy_keys
-from barlake.llm.text import SPACED, distinct_sorted, row_words, shingle_hashes
+from barlake.llm.text import SPACED, distinct_sorted, release_memory, row_words, shingle_hashes
 from barlake.session import scratch_dir
 
 SHINGLE = 5
@@ -99,6 +99,7 @@ def _described(size: int):
         yield pa.RecordBatch.from_arrays(
             [*(pa.nulls(n, pa.int64()) for _ in range(4)), pa.array(np.arange(n), pa.int32()), pa.array(parts, pa.binary())],
             names=["doc_id", "tie", "ent", "n", "block", "counts"])
+        release_memory()
 
     return run
 
@@ -141,6 +142,7 @@ def _prefixes(size: int, percent: int, sketch):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()),
                  *(pa.ListArray.from_arrays(bounds, pa.array(x)) for x in flat)], names=["ent", "n", "prefix", "salts"])
+        release_memory()
 
     return run
 
@@ -157,6 +159,7 @@ def _picked_sets(size: int, bitmap):
                     names.append(name)
                     sets.append(members.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["ent", "members"])
+        release_memory()
 
     return run
 

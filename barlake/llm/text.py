@@ -7,6 +7,8 @@ code points gives.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,6 +132,13 @@ def distinct_sorted(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
+def release_memory() -> None:
+    """Give freed memory back at the end of a task: the worker lives on beside its executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """At most so many rows in an Arrow batch of this session from now on, which bounds what a task holds of long texts.
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.text import column_bytes, slices, small_batches
+from barlake.llm.text import column_bytes, release_memory, slices, small_batches
 from barlake.session import scratch_dir
 
 SCALE_BITS = 18
@@ -40,7 +40,7 @@ LOW = 1 << 31
 LANES = 2048
 BLOCK = 1 << 19
 CHECKPOINT = 1 << 18
-PIECES_KEPT = 600_000
+PIECES_KEPT = 300_000
 BATCH_BYTES = 1 << 22
 
 
@@ -230,7 +230,7 @@ def tokenised_runs(path: str, end_id: int):
         if parts:
             yield row(block, docs, parts)
         yield row(-1, [], [], counts.tobytes())
-        pa.default_memory_pool().release_unused()  # the worker lives on beside the executor
+        release_memory()
 
     return run
 
@@ -336,6 +336,7 @@ def _encoded(freq: np.ndarray, dtype: str):
                     [*(one.column(c) for c in ("shard", "block", "n_ids", "doc_ids", "lengths")),
                      *(pa.array([x], pa.binary()) for x in (states, positions, words)), pa.array([check], pa.int64())],
                     names=["shard", "block", "n_ids", "doc_ids", "lengths", "states", "positions", "words", "crc32"])
+        release_memory()
 
     return run
 
@@ -432,6 +433,7 @@ def read_token_store(spark: SparkSession, folder: str, keep_ids: bool = True) ->
                 if keep_ids:
                     out["ids"] = pa.array(pieces, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(out)
+        release_memory()
 
     schema = "shard int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long"
     decoded = (spark.read.schema(BLOCK_SCHEMA).parquet(f"{folder}/blocks")
