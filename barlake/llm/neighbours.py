@@ -8,6 +8,12 @@ window edges, and its estimate is the expected sum of the squared distances to
 those edges. The candidates of all tables are reranked by their exact cosine in
 double precision, and of one vector found in several tables one is kept.
 
+Buckets are capped, so a query far from all others may find fewer than ``k``
+although the table has them. Each such query is then compared with every entry of
+the index, exactly: blocks of ``QUERY_ROWS`` queries meet parts of ``PART_ROWS``
+entries, and the best of each pair of them are merged. This costs the number of
+such queries times that of the entries, and nothing when there are none.
+
 Equal vectors are one entry of the index that keeps the ``k`` + 1 smallest of its
 ids: no other copy can be among the ``k`` nearest of any query, so this loses
 nothing however many copies there are.
@@ -44,6 +50,7 @@ TABLES = 16
 PROBES = 140
 WIDTH = 2.0
 PART_ROWS = 50_000
+QUERY_ROWS = 10_000
 
 
 def perturbations(hashes: int, probes: int) -> list[tuple[int, ...]]:
@@ -197,8 +204,8 @@ def _routed_queries(tables: Tables, parts: int, large: dict[int, int]):
 class Best:
     """The ``k`` best candidates of each query so far, pruned whenever many have gathered."""
 
-    def __init__(self, queries: np.ndarray, k: int):
-        self.queries, self.k = queries, k
+    def __init__(self, queries: np.ndarray, k: int, most: int = 500_000):
+        self.queries, self.k, self.most = queries, k, most
         self.floor = np.full(len(queries), -np.inf)
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.size = 0
@@ -208,7 +215,7 @@ class Best:
         if good.any():
             self.held.append((rows[good], ids[good], scores[good]))
             self.size += int(good.sum())
-            if self.size > 500_000:
+            if self.size > self.most:
                 self.prune()
 
     def prune(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,29 +238,44 @@ class Best:
         return rows, ids, scores
 
 
+def _spread(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy()
+
+
+FOUND = "query_id long, vec_id long, score double"
+
+
+def _add_scored(best: Best, q: np.ndarray, scores: np.ndarray, ids: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+    """Offer ``best`` all ids of the entries, each entry's from ``first`` to ``last``, by their scores with the queries ``q``."""
+    i, j = np.nonzero(scores >= best.floor[q][:, None])
+    if not len(i):
+        return
+    copies = last[j] - first[j]
+    qi, values = np.repeat(q[i], copies), np.repeat(scores[i, j], copies)
+    where = np.repeat(first[j], copies) + np.arange(len(qi)) - np.repeat(np.cumsum(copies) - copies, copies)
+    best.add(qi, ids[where], values)
+
+
 def _searched(size: int, k: int):
     """Within each part: queries come first and are held, entries stream past them."""
 
-    def spread(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        return np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy()
-
     def search(part: list[pa.RecordBatch], entries: Iterator[pa.RecordBatch]):
         held = pa.Table.from_batches(part).combine_chunks()
         names = held["query"].combine_chunks().to_numpy()
         vectors = matrix(held["vector"].combine_chunks(), size)
         lengths = np.linalg.norm(vectors, axis=1)
-        owner, keys = spread(held["keys"].combine_chunks())
+        owner, keys = _spread(held["keys"].combine_chunks())
         order = np.argsort(keys, kind="stable")
         keys, owner = keys[order], owner[order]
         best = Best(names, k)
         for batch in entries:
             rows = matrix(batch.column("vector"), size)
             norms = np.linalg.norm(rows, axis=1)
-            member, mine = spread(batch.column("keys"))
+            member, mine = _spread(batch.column("keys"))
             by = np.argsort(mine, kind="stable")
             member, mine = member[by], mine[by]
-            id_owner, ids = spread(batch.column("ids"))
+            id_owner, ids = _spread(batch.column("ids"))
             id_first = np.searchsorted(id_owner, np.arange(len(rows) + 1))
             bucket, first = np.unique(mine, return_index=True)
             last = np.append(first[1:], len(mine))
@@ -261,18 +283,42 @@ def _searched(size: int, k: int):
             for at in np.flatnonzero(b > a):
                 q, m = owner[a[at] : b[at]], member[first[at] : last[at]]
                 scores = (vectors[q] @ rows[m].T) / np.outer(lengths[q], norms[m])
-                i, j = np.nonzero(scores >= best.floor[q][:, None])
-                if not len(i):
-                    continue
-                copies = id_first[m[j] + 1] - id_first[m[j]]
-                qi, values = np.repeat(q[i], copies), np.repeat(scores[i, j], copies)
-                where = np.repeat(id_first[m[j]], copies) + np.arange(len(qi)) - np.repeat(
-                    np.cumsum(copies) - copies, copies)
-                best.add(qi, ids[where], values)
+                _add_scored(best, q, scores, ids, id_first[m], id_first[m + 1])
         found, ids, scores = best.prune()
         return pa.RecordBatch.from_arrays([pa.array(names[found]), pa.array(ids), pa.array(scores)],
                                           names=["query_id", "vec_id", "score"])
 
+    return _by_parts_with(search)
+
+
+def _scanned(size: int, k: int):
+    """Within each part: every entry is compared with every query, in steps of a few of both."""
+
+    def scan(part: list[pa.RecordBatch], entries: Iterator[pa.RecordBatch]):
+        held = pa.Table.from_batches(part).combine_chunks()
+        names = held["query"].combine_chunks().to_numpy()
+        vectors = matrix(held["vector"].combine_chunks(), size)
+        lengths = np.linalg.norm(vectors, axis=1)
+        starts = range(0, len(names), 64)
+        bests = [Best(names[a : a + 64], k, most=50_000) for a in starts]
+        for batch in entries:
+            for start in range(0, batch.num_rows, 1024):
+                piece = batch.slice(start, 1024)
+                rows = matrix(piece.column("vector"), size)
+                norms = np.linalg.norm(rows, axis=1)
+                id_owner, ids = _spread(piece.column("ids"))
+                id_first = np.searchsorted(id_owner, np.arange(len(rows) + 1))
+                for a, best in zip(starts, bests):
+                    scores = (vectors[a : a + 64] @ rows.T) / np.outer(lengths[a : a + 64], norms)
+                    _add_scored(best, np.arange(len(scores)), scores, ids, id_first[:-1], id_first[1:])
+        found = [(names[a + rows], ids, scores) for a, best in zip(starts, bests) for rows, ids, scores in [best.prune()]]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)],
+                                          names=["query_id", "vec_id", "score"])
+
+    return _by_parts_with(scan)
+
+
+def _by_parts_with(search):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _by_part(batches)
         queries: list[pa.RecordBatch] = []
@@ -303,6 +349,23 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.R
                 yield int(part[a]), int(kind[a]), batch.slice(int(a), int(b - a))
 
 
+def _exact(short: DataFrame, entries: DataFrame, size: int, k: int, n_short: int, n: int) -> DataFrame:
+    """The ``k`` best of all ``entries`` for each of the ``short`` queries, by parts: to be merged."""
+    blocks = -(-n_short // QUERY_ROWS)
+    parts = max(int(short.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART_ROWS))
+    block, part = F.pmod(F.xxhash64("query", "vector"), F.lit(blocks)), F.pmod(F.xxhash64("vector"), F.lit(parts))
+    met = short.select(
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"), "*").select(
+        (block * parts + F.col("_part")).cast("long").alias("part"), F.lit(0).alias("kind"), "query",
+        F.lit(None).cast("array<long>").alias("ids"), "vector")
+    rows = entries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"), "*").select(
+        (F.col("_block") * parts + part).cast("long").alias("part"), F.lit(1).alias("kind"),
+        F.lit(None).cast("long").alias("query"), "ids", "vector")
+    return (met.unionByName(rows).repartition(blocks * parts, "part").sortWithinPartitions("part", "kind")
+            .mapInArrow(_scanned(size, k), FOUND))
+
+
 def usable(vector: Column) -> Column:
     """Neither null nor zero, all components there and finite."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -315,7 +378,7 @@ def default_hashes(n: int) -> int:
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = TABLES, probes: int = PROBES,
             width: float = WIDTH, hashes: int | None = None) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the ``k`` nearest found for the rows that ``queries`` selects."""
+    """(query_id, rank, vec_id, score) of the ``k`` nearest found for the rows that ``queries`` selects, all others if fewer."""
     spark = vectors.sparkSession
     rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
             .filter(F.col("vec_id").isNotNull() & usable(F.col("vector"))))
@@ -340,8 +403,27 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = TABLE
     routed = entries.mapInArrow(_routed_entries(size, parts, large), ROUTED).unionByName(
         asked.mapInArrow(_routed_queries(plan, parts, large), ROUTED))
     found = (routed.repartition(parts, "part").sortWithinPartitions("part", "kind")
-             .mapInArrow(_searched(size, k), "query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-            .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+             .mapInArrow(_searched(size, k), FOUND))
+
+    def merged(found: DataFrame) -> DataFrame:
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return (found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+                .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+                .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+    def stage(frame: DataFrame, label: str) -> DataFrame:
+        folder = scratch_dir(spark, label)
+        frame.write.parquet(folder)
+        return spark.read.schema(frame.schema).parquet(folder)
+
+    best = stage(merged(found), "neighbours")
+    due = entries.select(F.explode("ids").alias("id")).distinct().limit(k + 1).count() - 1
+    if due < 1:
+        return best
+    whole = best.groupBy("query_id").count().filter(F.col("count") >= due).select(F.col("query_id").alias("query"))
+    short = stage(asked.join(whole, "query", "left_anti"), "short-queries")
+    n_short = short.count()
+    if not n_short:
+        return best
+    exact = merged(_exact(short, entries.select("ids", "vector"), size, k, n_short, n))
+    return best.join(short.select(F.col("query").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(exact)

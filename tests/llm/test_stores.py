@@ -56,6 +56,39 @@ def test_neighbour_edges(spark, monkeypatch, part_rows):
     assert [(r["vec_id"], round(r["score"], 9)) for r in neighbours.nearest(two, F.col("vec_id") == 0).collect()] == [(1, 0.8)]
 
 
+@pytest.mark.parametrize("part_rows, query_rows", [(50_000, 10_000), (40, 3)])
+def test_outlier_queries_find_all_that_are_due(spark, monkeypatch, part_rows, query_rows):
+    monkeypatch.setattr(neighbours, "PART_ROWS", part_rows)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", query_rows)
+    rng = np.random.default_rng(5)
+    cluster = rng.normal(size=64) + 0.01 * rng.normal(size=(300, 64))
+    cluster[1] = cluster[0]
+    far = -cluster[:8] + 0.5 * rng.normal(size=(8, 64))
+    rows = np.concatenate([cluster, far])
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, (F.col("vec_id") >= 300) | (F.col("vec_id") == 7)).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    want = brute_nearest(list(range(308)), rows, [7, *range(300, 308)], 10)
+    assert set(got) == set(want) and all([n for n, _ in x] == [1, 2, 3, 4, 5] for x in got.values())
+    lone = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows[:301])], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(lone, F.col("vec_id") == 300).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == brute_nearest(list(range(301)), rows[:301], [300], 5)[300]
+
+
+@pytest.mark.parametrize("n", range(3, 9))
+def test_small_tables_give_all_candidates(spark, n):
+    rng = np.random.default_rng(n)
+    rows = rng.normal(size=(n, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], VECTORS)
+    got = {}
+    for r in neighbours.nearest(df, F.lit(True), tables=1, probes=1).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert {q: len(x) for q, x in got.items()} == {q: min(5, n - 1) for q in range(n)}
+    if n <= 6:  # all others are due, so their order is known
+        assert got == brute_nearest(list(range(n)), rows.astype(float), range(n), 5)
+
+
 def test_probes_come_in_order_of_success():
     found = neighbours.perturbations(6, 60)
     assert found[0] == () and len(set(found)) == 60
