@@ -88,3 +88,17 @@ def test_merge_reads_only_the_touched_months(spark, folder):
 def test_all_windows_of_a_normalisation_share_their_blocks(spark):
     plan = plan_of(all_queries()["volume_zscore"].run(spark, FOLDER))
     assert plan.count("Generate explode") == 1
+
+
+def test_hours_with_trades_without_volume_are_reported(spark):
+    if "interval_consistency_all_trades" not in all_queries():
+        pytest.fail("no query reports the hours of trades without volume")
+    got = {(r["isin"], r["bar"]) for r in all_queries()["interval_consistency_all_trades"].run(spark, FOLDER).collect()}
+    none, some = set(), set()
+    for r in views.trades(spark, FOLDER).select("isin", "trade_time", "volume").collect():
+        hour = r["isin"], r["trade_time"].replace(minute=0, second=0, microsecond=0)
+        minute = *hour, r["trade_time"].minute
+        some |= {hour, minute} if r["volume"] else set()
+        none |= set() if r["volume"] else {minute}
+    due = {m[:2] for m in none if m not in some and m[:2] in some}
+    assert due <= got
