@@ -7,7 +7,9 @@ tree once: hidden nodes and their children say nothing, blocks are parted by lin
 ends and paragraphs by an empty line, lists get their bullets or numbers and
 indentation, the cells of a table are padded into columns, preformatted text
 keeps its white space. Nothing visible is left out: navigation, advertisements
-and footers are text as any other.
+and footers are text as any other. Formulas say the text of their parts without
+annotations, drawings that of their ``text`` and ``foreignObject`` elements (one
+that is only drawn through ``use`` is left out), and a dialog shows when open.
 
 Null html gives null text, empty html empty text. Markup that is broken is taken
 as a browser would take it: stray end tags are dropped, unclosed elements end
@@ -31,15 +33,19 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 UNSEEN = frozenset(
-    "head script style title noscript template iframe noembed noframes datalist object audio video canvas svg math meta "
-    "link base param source track area map dialog".split()
+    "head script style title noscript template iframe noembed noframes datalist object audio video canvas meta "
+    "link base param source track area mphantom".split()
 )
+# Parts of a drawing that only describe it or are drawn where something refers to them.
+UNDRAWN = UNSEEN | frozenset(
+    "defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+FOREIGN = frozenset("svg math".split())
 BLOCK = frozenset(
-    "html body address article aside blockquote center details dd div dl dt fieldset figcaption figure footer form h1 h2 h3 "
-    "h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre section summary table ul caption tr "
+    "html body address article aside blockquote center details dd dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
+    "h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre section summary table ul xmp caption mtr tr "
     "tbody thead tfoot".split()
 )
-PARTED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset".split())
+PARTED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre xmp ul ol dl table figure fieldset".split())
 # An open element that a start tag ends, and the elements behind which it is not looked for.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -55,7 +61,7 @@ ENDS = {
     "tfoot": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
-ENDS_P = (BLOCK - {"html", "body", "option", "optgroup", "tr", "tbody", "thead", "tfoot", "caption", "legend"})
+ENDS_P = (BLOCK - {"html", "body", "option", "optgroup", "mtr", "tr", "tbody", "thead", "tfoot", "caption", "legend"})
 SCOPE = frozenset("table td th caption button html".split())
 
 _TOKEN = re.compile(
@@ -80,7 +86,7 @@ class Node:
         return None
 
     def unseen(self) -> bool:
-        if self.tag in UNSEEN:
+        if self.tag in UNSEEN or (self.tag == "dialog" and self.attribute("open") is None):
             return True
         if not self.attributes:
             return False
@@ -92,6 +98,30 @@ class Node:
         return False
 
 
+def drawn_text(drawing: Node) -> list[Node]:
+    """The elements of a drawing that say something, in their order, each as a block."""
+    found: list[Node] = []
+    work: list[tuple[Node, Node | None]] = [(c, None) for c in drawing.children[::-1] if isinstance(c, Node)]
+    while work:
+        node, inside = work.pop()
+        if isinstance(node, str):
+            inside.children.append(node)
+            continue
+        if node.tag in UNDRAWN or node.unseen() or node.attribute("display") == "none" or (
+                node.attribute("visibility") in ("hidden", "collapse")):
+            continue
+        if node.tag == "foreignobject":
+            shown = Node("div")
+            shown.children = node.children
+            found.append(shown)
+            continue
+        if node.tag == "text" and inside is None:
+            inside = Node("div")
+            found.append(inside)
+        work += [(c, inside) for c in node.children[::-1] if inside is not None or isinstance(c, Node)]
+    return found
+
+
 def build_tree(page: str) -> Node:
     """The tree of a page; text children are strings."""
     root = Node("#root")
@@ -108,6 +138,11 @@ def build_tree(page: str) -> Node:
         if found:
             del stack[found:]
 
+    def foreign() -> bool:
+        """Whether the innermost element is part of a drawing or a formula."""
+        part = next((n.tag for n in reversed(stack) if n.tag in FOREIGN or n.tag in ("foreignobject", "annotation-xml")), "")
+        return part in FOREIGN
+
     at, size = 0, len(page)
     while at < size:
         mark = page.find("<", at)
@@ -143,8 +178,10 @@ def build_tree(page: str) -> Node:
                 inside = page[at : end.start() if end else size]
                 if tag in ("textarea", "title"):
                     node.children.append(html.unescape(inside))
+                elif tag == "xmp":
+                    node.children.append(inside)
                 at = end.end() if end else size
-            elif tag not in VOID and not (m[3].endswith("/") and tag in ("svg", "path")):
+            elif tag not in VOID and not (m[3].endswith("/") and (tag in ("svg", "path", "math") or foreign())):
                 stack.append(node)
     if at < size:
         stack[-1].children.append(html.unescape(page[at:]))
@@ -260,7 +297,9 @@ def render(root: Node) -> str:
             if lists:
                 lists[-1][1] += 1
             done.append(lambda page=page, old=old: setattr(page, "prefix", old))
-        elif tag == "pre":
+        elif tag == "mtd":
+            page.blank = True
+        elif tag in ("pre", "xmp"):
             kept += 1
 
             def shut():
@@ -294,7 +333,12 @@ def render(root: Node) -> str:
                 tables[depth][-1] += [said, *[""] * (min(int(span), 100) - 1 if span.isdigit() else 0)]
             done.append(cell)
         work += done[::-1]
-        work += step.children[::-1]
+        children = step.children
+        if tag == "svg":
+            children = drawn_text(step)
+        elif tag == "semantics":
+            children = [c for c in children if isinstance(c, str) or c.tag not in ("annotation", "annotation-xml")]
+        work += children[::-1]
     return pages[0].text().rstrip()
 
 

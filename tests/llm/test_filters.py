@@ -142,6 +142,19 @@ def test_page_text(page, text):
     assert html_text.page_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>so <math><semantics><mrow><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></mrow><annotation>x = 2</annotation></semantics></math> is", "so x=2 is"),
+    ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr><mtr><mtd>3</mtd><mtd>4</mtd></mtr></mtable></math>", "1 2\n3 4"),
+    ("a<svg><title>t</title><defs><text>d</text></defs><rect/>no<g><text x='1'>one <tspan>two</tspan></text></g>"
+     "<text display='none'>h</text><foreignObject><p>three</p></foreignObject></svg>b", "a\none two\n\nthree\n\nb"),
+    ("<svg><clipPath id='c'/><text>shown</text></svg>", "shown"),
+    ("a<dialog open>b</dialog>c<dialog>d</dialog>", "a\nb\nc"),
+    ("<map name='m'><a href='#'>left</a><area alt='x'></map>", "left"),
+    ("a<xmp><b>1</b>\n  &amp;</xmp>c", "a\n\n<b>1</b>\n  &amp;\n\nc")])
+def test_text_of_elements_that_browsers_show(page, text):
+    assert html_text.page_text(page) == text
+
+
 def test_pages_as_a_frame(spark):
     pages = spark.createDataFrame([(1, "<p>a", "clash"), (1, "<p>a", "clash"), (None, None, None)], "page_id long, html string, text string")
     got = html_text.extract_text(pages)
