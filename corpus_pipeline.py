@@ -28,11 +28,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones, the one with the smallest id."""
-    kept = (jaccard.similar_documents(docs).filter("keeper").select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_keep"))
-            .distinct())
-    keyed = docs.withColumn("_tie", F.xxhash64(F.col("text").cast("string")))
-    return (keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_doc"]) & (keyed["_tie"] == kept["_keep"]), "left_semi")
-            .select(*docs.columns))
+    # Null ids are a key like any other. The join deals by the key that repeated rows share, so they meet there without a shuffle more.
+    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none")]
+    kept = jaccard.similar_documents(docs).filter("keeper").select(*key, F.col("tie").alias("_tie")).distinct()
+    keyed = docs.select("*", *key, F.xxhash64(F.col("text").cast("string")).alias("_tie"))
+    return keyed.join(kept, ["_id", "_none", "_tie"], "left_semi").dropDuplicates(["_id", "_none", "_tie"]).select(*docs.columns)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

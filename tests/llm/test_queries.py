@@ -56,3 +56,12 @@ def test_pipeline_stages_obey_their_rules(spark, tmp_path):
     assert repeats == 2 and count("token_files") == count("mixing")
     last = kept["token_files"].agg(F.max(F.col("start") + F.col("n_tokens")), F.sum("n_tokens")).first()
     assert last[0] == last[1]
+
+
+def test_one_document_of_repeated_rows_and_null_ids_stays(spark):
+    said = [" ".join(f"w{i * 31 + k}" for k in range(40)) for i in range(4)]
+    rows = [(1, said[0]), (1, said[0]), (2, said[0]), (None, said[1]), (None, said[1]), (None, said[2]), (0, said[3]), (0, said[3]), (3, said[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    got = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], said.index(r["text"])) for r in got.collect()), key=str) == [(0, 3), (1, 0), (None, 1), (None, 2)]
