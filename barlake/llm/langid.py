@@ -9,6 +9,9 @@ length 1. Document frequencies are counted over all learning rows. The centroids
 of the document id. A text gets the language of the centroid with the largest
 cosine, which is also its score. It is rejected if it has no letter or its
 cosine is below ``REJECT`` times the 0.1 % quantile of the sample's own cosines.
+Short texts have few n-grams and so small cosines in any language: their floors
+are fitted likewise on the first characters of the sample, by number of n-grams,
+and are never above that of long texts.
 
 Null and empty text, or text without a letter, is ``und`` with score 0. With no
 learning rows every text is ``und``. Equal texts get equal answers; equal
@@ -35,6 +38,9 @@ MAX_N = 3
 CLUSTERS = 4
 SAMPLE = 2_000
 REJECT = 0.5
+# Characters of the sample's beginnings, and the n-grams, by powers of two, that texts below them have.
+CUTS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
+BANDS = 8
 UNKNOWN = "und"
 RESULTS = ("lang_pred", "score", "rejected")
 
@@ -72,12 +78,22 @@ def vectors(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weighed / np.where(length > 0, length, 1)
 
 
+def band(found: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(found.sum(axis=1), 1)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: tuple[str, ...]
     floor: float
+    short_floors: np.ndarray
+
+    def floors(self, found: np.ndarray) -> np.ndarray:
+        """The least cosine that is not rejected, by row."""
+        at = band(found)
+        return np.where(at < BANDS, self.short_floors[np.minimum(at, BANDS - 1)], self.floor)
 
     def nearest(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cosines = vectors(found, self.idf) @ self.centroids.T
@@ -100,7 +116,28 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for first, found in counts(batch.column("text")):
             packed = [row.astype(np.float32).tobytes() for row in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang").slice(first, len(found)), pa.array(packed, pa.binary())], names=["lang", "counts"])
+                [batch.column("lang").slice(first, len(found)), pa.array(packed, pa.binary()),
+                 pc.utf8_slice_codeunits(batch.column("text").slice(first, len(found)), 0, max(CUTS))],
+                names=["lang", "counts", "head"])
+
+
+def short_floors(heads: list[tuple[str, str]], centres: np.ndarray, owners: list[str], idf: np.ndarray, floor: float) -> np.ndarray:
+    """Floors by band of n-grams, from cuts of the (language, beginning) pairs; a band without a cut takes the next longer one's."""
+    seen: list[list[np.ndarray]] = [[] for _ in range(BANDS)]
+    for lang in sorted(set(owners)):
+        mine = centres[np.array(owners) == lang]
+        said = [h for name, h in heads if name == lang]
+        for size in CUTS:
+            cuts = pa.array(sorted({h[:size] for h in said}), pa.string())
+            for first, found in counts(cuts.filter(pc.match_substring_regex(cuts, r"\p{L}"))):
+                own, at = (vectors(found, idf) @ mine.T).max(axis=1), band(found)
+                for b in range(BANDS):
+                    seen[b].append(own[at == b])
+    out = np.full(BANDS, floor)
+    for b in reversed(range(BANDS)):
+        own = np.concatenate(seen[b])
+        out[b] = min(REJECT * float(np.quantile(own, 0.001)), floor) if len(own) else out[min(b + 1, BANDS - 1)]
+    return out
 
 
 def spherical_centroids(rows: np.ndarray, clusters: int, rounds: int = 12) -> np.ndarray:
@@ -145,7 +182,7 @@ def fit(learning: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     chosen = (names.withColumn("_n", F.row_number().over(share)).filter(F.col("_n") <= each)
               .select("doc_id").distinct().limit(sample))
     drawn = (learning.join(F.broadcast(chosen), "doc_id").select("text", "lang")
-             .mapInArrow(_sample_counts, "lang string, counts binary").collect())
+             .mapInArrow(_sample_counts, "lang string, counts binary, head string").collect())
     by_language: dict[str, list[np.ndarray]] = {}
     for r in sorted(drawn, key=lambda r: (r["lang"], r["counts"])):
         found = np.frombuffer(r["counts"], np.float32)
@@ -161,7 +198,9 @@ def fit(learning: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
         owners += [lang] * len(found)
         own.append((rows @ found.T).max(axis=1))
     floor = REJECT * float(np.quantile(np.concatenate(own), 0.001))
-    return Model(idf, np.concatenate(centres).astype(np.float32), tuple(owners), floor)
+    centres = np.concatenate(centres).astype(np.float32)
+    heads = [(r["lang"], r["head"]) for r in drawn if r["head"]]
+    return Model(idf, centres, tuple(owners), floor, short_floors(heads, centres, owners, idf, floor))
 
 
 def _predict(model: Model | None):
@@ -179,7 +218,7 @@ def _predict(model: Model | None):
                     at = slice(first, first + len(found))
                     names[at] = np.where(letters[at], languages[best], UNKNOWN)
                     score[at] = np.where(letters[at], cosine, 0)
-                    rejected[at] = ~letters[at] | (cosine < model.floor)
+                    rejected[at] = ~letters[at] | (cosine < model.floors(found))
             kept = [c for c in batch.schema.names if c not in RESULTS]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],

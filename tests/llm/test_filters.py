@@ -80,6 +80,17 @@ def test_language_of_held_out_rows(spark):
     assert langid.fit(docs.limit(0)) is None and langid.identify(docs.limit(0), model).count() == 0
 
 
+def test_short_texts_in_learned_languages_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(langid.learning_rows(docs))
+    short = docs.filter(F.size(F.split(F.trim("text"), r"\s+")) <= 3).select("doc_id", "text", "lang")
+    short = short.filter(F.col("text").rlike(r"\p{L}")).unionByName(
+        spark.createDataFrame([(-1, "De.", "fr"), (-2, "Avec.", "fr"), (-3, "Avec", "fr")], DOCS))
+    assert langid.identify(short, model).filter("rejected").select("text").collect() == []
+    odd = spark.createDataFrame([(1, "漢字かな交じり文", None), (2, "漢字かな交じり文。これは日本語の文章です。" * 5, None)], DOCS)
+    assert langid.identify(odd, model).filter("rejected").count() == 2
+
+
 def test_every_language_has_several_centroids(spark):
     model = langid.fit(spark.createDataFrame(labelled(120), DOCS))
     assert {l: model.languages.count(l) for l in set(model.languages)} == {"en": 4, "de": 4, "es": 4}
