@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import (
-    chat, decontaminate, html_text, jaccard, langid, mixing, neighbours, substring_dedup, token_store, toxicity,
+    chat, decontaminate, html_text, jaccard, langid, mixing, neighbours, prefix_trie, simhash, substring_dedup, token_store,
+    toxicity, whitening,
 )
 from barlake.llm.text import small_batches
 from barlake.session import scratch_dir
@@ -258,3 +259,68 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """The visible text of every page."""
     found = html_text.extract_text(table(spark, folder, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first sixteen whitened components of every usable vector, one row each."""
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    parts = found.select("vec_id", "n", "deviation", "identity_error",
+                         F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part"))
+    return parts.select("vec_id", (F.col("at") + 1).alias("component"), "n", F.expr("try_cast(deviation AS long)").alias("deviation"),
+                        F.col("part.whitened").alias("whitened"), F.col("part.explained").alias("explained"), "identity_error")
+
+
+@query("op12_simhash_dedup")
+def op12_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint of every document and its component under links of at most two bits."""
+    found = simhash.simhash_components(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# CRC-32 of an ASCII string: each byte is added to the low end, then eight bits are divided out.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''),
+    lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, v: xor(xor(c, v) >> 1, (xor(c, v) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT)"""
+
+
+@query("op13_prefix_trie", f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), listed AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+         sha256(length(role) || chr(10) || role || chr(10) || text)) AS k FROM said
+), convs AS (
+  SELECT conv_id, {CRC32.format("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM said)
+), turns AS (
+  SELECT c.conv_id, t.k, t.role, t.text FROM convs c JOIN listed t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.k <= c.h
+  UNION ALL SELECT c.conv_id, 1000 + t.k, t.role, t.text FROM convs c JOIN listed t ON t.conv_id = c.conv_id AND t.k > c.h
+), path AS (
+  SELECT conv_id, row_number() OVER w AS d, len({SPACED_WORDS.format('text')}) AS words,
+         string_agg(length(role) || ':' || length(text) || ':' || role || text, '') OVER w AS key
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY k ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT key, d, count(*) AS n, min(conv_id) AS first, max(words) AS words FROM path GROUP BY key, d
+), lasts AS (SELECT conv_id, max(d) AS d FROM path GROUP BY conv_id
+), ended AS (
+  SELECT p.key, p.d, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ids
+  FROM path p JOIN lasts l ON l.conv_id = p.conv_id AND l.d = p.d GROUP BY p.key, p.d
+), steps AS (
+  SELECT b.conv_id, b.d, a.key AS up FROM path a JOIN path b ON a.conv_id = b.conv_id AND b.d = a.d + 1
+), edges AS (
+  SELECT n.key, n.d, s.up FROM nodes n JOIN steps s ON s.conv_id = n.first AND s.d = n.d
+), counted AS (SELECT up AS key, d - 1 AS d, count(*) AS n_children FROM edges GROUP BY up, d
+), subtree AS (
+  SELECT a.key, a.d, CAST(sum((n.n - 1) * n.words) AS BIGINT) AS saved, count(*) FILTER (c.n_children IS NULL) AS leaves
+  FROM nodes n JOIN path a ON a.conv_id = n.first AND a.d <= n.d LEFT JOIN counted c ON c.key = n.key AND c.d = n.d
+  GROUP BY a.key, a.d
+)
+SELECT n.first AS conv_id, n.d AS depth, p.first AS parent_conv_id, n.n AS n_convs, coalesce(c.n_children, 0) AS n_children,
+       s.leaves AS n_leaves, s.saved AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN subtree s ON s.key = n.key AND s.d = n.d LEFT JOIN edges g ON g.key = n.key AND g.d = n.d
+LEFT JOIN nodes p ON p.key = g.up AND p.d = n.d - 1 LEFT JOIN counted c ON c.key = n.key AND c.d = n.d
+LEFT JOIN ended e ON e.key = n.key AND e.d = n.d""")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.conversations(table(spark, folder, "conversations"))))
