@@ -103,6 +103,21 @@ def limbs(value: int) -> Iterator[tuple[int, int]]:
     yield place, value
 
 
+def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[np.ndarray]:
+    """The rows of column x, ``BLOCK`` at a time, however they are batched."""
+    held, rows = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            held.append(matrix(batch.column("x").slice(at, BLOCK), size))
+            rows += len(held[-1])
+            if rows >= BLOCK:
+                whole = np.concatenate(held)
+                yield whole[:BLOCK]
+                held, rows = [whole[BLOCK:]], rows - BLOCK
+    if rows:
+        yield np.concatenate(held)
+
+
 SUMS = "i int, j int, place int, part long"
 
 
@@ -111,17 +126,15 @@ def _scatter(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sums, cross = 0, np.zeros(size, object), np.zeros((size, size), object)
-        for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                x = matrix(batch.column("x").slice(at, BLOCK), size)
-                low = x.min(axis=0)
-                shifted = x.astype(np.uint64) - low.astype(np.uint64)
-                base = low.astype(object)
-                part = shifted.astype(object).sum(axis=0) if int(shifted.max()).bit_length() > 40 else shifted.sum(axis=0).astype(object)
-                moved = np.outer(base, part)
-                cross = cross + cross_products(shifted) + moved + moved.T + len(x) * np.outer(base, base)
-                sums = sums + part + len(x) * base
-                n += len(x)
+        for x in blocks(batches, size):
+            low = x.min(axis=0)
+            shifted = x.astype(np.uint64) - low.astype(np.uint64)
+            base = low.astype(object)
+            part = (shifted.astype(object) if int(shifted.max()).bit_length() > 40 else shifted).sum(axis=0).astype(object)
+            moved = np.outer(base, part)
+            cross = cross + cross_products(shifted) + moved + moved.T + len(x) * np.outer(base, base)
+            sums = sums + part + len(x) * base
+            n += len(x)
         if n:
             found = [(-1, -1, n), *((-1, j, s) for j, s in enumerate(sums)),
                      *((i, j, cross[i, j]) for i in range(size) for j in range(i, size))]
