@@ -46,30 +46,38 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# A clause of at least eight words up to a mark before white space, a line end or the end of the text; or what is left.
+CLAUSES = (r"(?s)[ \t-\r]*(?:[^ \t-\r]+[ \t-\r]+){7,}?(?:[^ \t-\r]*[.!?,;:][ \t-\r]+|[^ \t-\r]+[ \t\x0B-\r]*\n[ \t-\r]*|[^ \t-\r]+[ \t-\r]*$)"
+           r"|.+")
+
+
 @query("op1_substring_dedup", f"""
 WITH units AS (
-  SELECT doc_id, u.unit AS unit, u.place AS place,
-         {SPACED_WORDS.format(FOLDED.format('u.unit'))} AS words
-  FROM documents, LATERAL (SELECT unnest(string_split(text, chr(10))) AS unit,
-       generate_subscripts(string_split(text, chr(10)), 1) AS place) u
+  SELECT doc_id, u.unit AS unit, u.place AS place, {SPACED_WORDS.format(FOLDED.format('u.unit'))} AS words
+  FROM documents, LATERAL (SELECT unnest(regexp_extract_all(text, '{CLAUSES}')) AS unit,
+       generate_subscripts(regexp_extract_all(text, '{CLAUSES}'), 1) AS place) u
 ), keyed AS (
-  SELECT doc_id, unit, place, CASE WHEN len(words) >= 5 THEN array_to_string(words, ' ') END AS key FROM units
+  SELECT doc_id, unit, place, len(words) AS n, CASE WHEN len(words) > 0 THEN array_to_string(words, ' ') END AS key FROM units
 ), ranked AS (
-  SELECT *, key IS NOT NULL AND row_number() OVER (PARTITION BY key ORDER BY doc_id, place) > 1 AS gone FROM keyed
+  SELECT *, key IS NOT NULL AND row_number() OVER (PARTITION BY key ORDER BY doc_id, place) > 1 AS again FROM keyed
+), runs AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id, again ORDER BY place) AS run FROM ranked
+), cut AS (
+  SELECT *, again AND sum(n) OVER (PARTITION BY doc_id, again, run) >= 25 AS gone FROM runs
 ), joined AS (
   SELECT doc_id, count(*) AS n_units, sum(CASE WHEN gone THEN 1 ELSE 0 END) AS n_removed,
          sum(CASE WHEN gone THEN length(unit) ELSE 0 END) AS removed_chars,
-         string_agg(unit, chr(10) ORDER BY place) FILTER (NOT gone) AS rest
-  FROM ranked GROUP BY doc_id
+         string_agg(unit, '' ORDER BY place) FILTER (NOT gone) AS rest
+  FROM cut GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(j.rest, '') END AS text,
-       CAST(CASE WHEN d.text IS NULL OR d.text = '' THEN 0 ELSE j.n_units END AS BIGINT) AS n_units,
-       CAST(coalesce(j.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(j.n_units, 0) AS BIGINT) AS n_units, CAST(coalesce(j.n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(j.removed_chars, 0) AS BIGINT) AS removed_chars
 FROM documents d LEFT JOIN joined j USING (doc_id)""")
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """The text that remains of every document, and how much of it went."""
-    found = substring_dedup.dedup_units(table(spark, folder, "documents"))
+    """The text of every document without passages that an earlier one has, and how much of it went."""
+    found = substring_dedup.dedup_units(table(spark, folder, "documents"), "clause", substring_dedup.CLAUSE_WORDS,
+                                        substring_dedup.PASSAGE_WORDS)
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return found.select("doc_id", "text", "n_units", "n_removed", lost.alias("removed_chars"))
 

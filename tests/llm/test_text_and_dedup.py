@@ -72,6 +72,60 @@ def brute_dedup(rows, least):
     return out
 
 
+def plain_clauses(text, least):
+    """Units of a text, found word by word."""
+    out, at, words = [], 0, 0
+    for m in re.finditer("[^ \t-\r]+([ \t-\r]*)", text):
+        words += 1
+        last = m[0][: len(m[0]) - len(m[1])][-1]
+        if words >= least and (m[1] and (last in ".!?,;:" or "\n" in m[1])):
+            out.append(text[at : m.end()])
+            at, words = m.end(), 0
+    return out + [text[at:]] * (at < len(text))
+
+
+def brute_passages(rows, least, passage):
+    """rows: (doc_id, text) in rank order; the kept text and the removed units of each."""
+    seen, out = set(), {}
+    for doc, text in rows:
+        parts, flags = plain_clauses(text or "", least), []
+        for part in parts:
+            key = tuple(plain_words(part))
+            flags.append(bool(key) and key in seen)
+            seen |= {key} if key else set()
+        kept, at = [], 0
+        for again, run in itertools.groupby(range(len(parts)), lambda k: flags[k]):
+            run = list(run)
+            if not again or sum(len(plain_words(parts[k])) for k in run) < passage:
+                kept += run
+        out[doc] = ("".join(parts[k] for k in kept), len(parts) - len(kept))
+    return out
+
+
+def test_passages_inside_lines_go_and_common_short_lines_stay(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    said = lambda n: " ".join(word() + rng.choice([""] * 9 + [",", ".", "?\n", ": "]) for _ in range(n))
+    shared, common = said(60), "Share this page.\n"
+    rows = [(i, common + said(40) + " tail " + (shared if i % 2 else "") + " and " + said(30) + "\n" + common) for i in range(12)]
+    rows += [(20, None), (21, ""), (22, " \n\t"), (23, "x" * 50_000), (24, ("y " * 40_000)), (25, "3.5 a,b c. d" * 9), (26, "\n" + shared)]
+    want = brute_passages(rows, 8, 25)
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], DOCS).repartition(5)
+    got = {r["doc_id"]: r for r in substring_dedup.dedup_units(df, "clause", 8, 25).collect()}
+    texts = dict(rows)
+    for i, (text, gone) in want.items():
+        assert (got[i]["text"] or "", got[i]["n_removed"]) == (text, gone)
+        rest, at = [], 0
+        for s in got[i]["removed"]:
+            rest.append(texts[i][at : s["start"]])
+            at = s["end"]
+        assert "".join([*rest, (texts[i] or "")[at:]]) == text
+    assert got[20]["text"] is None and got[21]["n_units"] == 0
+    odd = [i for i in range(3, 12, 2)]
+    assert all(got[i]["n_removed"] > 0 for i in odd) and all(got[i]["n_removed"] == 0 for i in range(0, 12, 2))
+    assert all(got[i]["text"].startswith(common) and got[i]["text"].endswith(common) for i in range(12))
+
+
 def test_lines_are_kept_once(spark):
     rng = random.Random(3)
     lines = [" ".join(rng.choice("ab É c d".split()) for _ in range(rng.randint(0, 7))) for _ in range(40)]
