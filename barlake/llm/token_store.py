@@ -40,8 +40,10 @@ LOW = 1 << 31
 LANES = 2048
 BLOCK = 1 << 19
 CHECKPOINT = 1 << 18
-PIECES_KEPT = 300_000
-BATCH_BYTES = 1 << 22
+PIECES_KEPT = 200_000
+PIECE_BYTES = 1 << 22
+ENCODED_AT_ONCE = 4_000
+BATCH_BYTES = 1 << 21
 
 
 # ---------------------------------------------------------------- tokenising
@@ -78,17 +80,26 @@ class PieceEncoder:
         """Known pieces (without the blank before them; a line end stays) and where the ids of each are in ``flat``."""
         self.known = pa.array([], pa.large_string())
         self.flat, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.used = np.empty(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of each text, encoded some at a time: what the library returns is many times as large as the ids."""
+        out: list[list[int]] = []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)]
+        return out
 
-    def keep(self, places: np.ndarray) -> np.ndarray:
-        """Forget all but the pieces at these places, which are those of the present batch; their new places."""
+    def keep(self) -> None:
+        """If too many pieces are known, forget all but the half that was used most, and age the counts."""
+        if len(self.known) <= PIECES_KEPT and self.known.nbytes <= PIECE_BYTES:
+            return
+        places = np.argsort(-self.used, kind="stable")[: PIECES_KEPT // 2]
+        lengths = pc.binary_length(self.known).to_numpy()[places]
+        places = places[np.cumsum(lengths) <= PIECE_BYTES // 2]
         self.known = self.known.take(pa.array(places))
         self.flat = self.flat[spans(self.starts[places], self.sizes[places])]
-        self.sizes = self.sizes[places]
+        self.sizes, self.used = self.sizes[places], self.used[places] // 2
         self.starts = np.cumsum(self.sizes) - self.sizes
-        return np.arange(len(places))
 
     def find(self, pieces: pa.Array) -> np.ndarray:
         """Places of distinct pieces among the known ones, those met for the first time encoded and added."""
@@ -124,6 +135,7 @@ class PieceEncoder:
         self.known = pa.concat_arrays([self.known, new])
         self.starts = np.concatenate([self.starts, len(self.flat) + ends - size])
         self.sizes = np.concatenate([self.sizes, size])
+        self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
         self.flat = np.concatenate([self.flat, added])
         found = place.fill_null(0).to_numpy().copy()
         found[fresh.to_numpy(zero_copy_only=False)] = base + np.arange(len(new))
@@ -147,10 +159,8 @@ class PieceEncoder:
             lists = pc.split_pattern(pc.replace_substring(texts.take(pa.array(chosen)), "\n", " \n"), " ")
             bounds = lists.offsets.to_numpy()
             coded = lists.flatten().dictionary_encode()
-            found = self.find(coded.dictionary)
-            if len(self.known) > PIECES_KEPT:
-                found = self.keep(found)
-            place = found[coded.indices.to_numpy()]
+            place = self.find(coded.dictionary)[coded.indices.to_numpy()]
+            self.used += np.bincount(place, minlength=len(self.used))
             starts, sizes = self.starts[place], self.sizes[place]
             # the first piece of a text has no blank before it
             heads = self.whole(lists.flatten().take(pa.array(bounds[:-1])).to_pylist())
@@ -162,6 +172,7 @@ class PieceEncoder:
             ends = np.concatenate(([0], np.cumsum(sizes)))[bounds]
             for k, at in enumerate(chosen):
                 out[at] = ids[ends[k] : ends[k + 1]]
+            self.keep()
         return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
 
@@ -184,55 +195,54 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
-RUN_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, lengths array<long>, ids binary, counts binary"
+TOKEN_SCHEMA = "doc_id long, tie long, row long, ids binary, counts binary"
 
 
-def tokenised_runs(path: str, end_id: int):
-    """Rows of consecutive documents of about ``BLOCK`` ids, and per task one row with the counts of its ids."""
+def tokenised(path: str, end_id: int):
+    """The ids of each document with the end id, and per task one row with the counts of all its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        end = np.array([end_id], enc.dtype).tobytes()
-        width = enc.dtype.itemsize
-        shard, block = TaskContext.get().partitionId(), 0
+        end = np.array([end_id], enc.dtype)
         counts = np.zeros(max(enc.tokenizer.get_vocab_size(), end_id + 1), np.int64)
-        docs: list = []
-        parts: list[bytes] = []
-        size = 0
+        row = TaskContext.get().partitionId() << 40
+        try:
+            for batch in batches:
+                texts = batch.column("text")
+                _, bounds = column_bytes(texts)
+                for first, last in slices(bounds, BATCH_BYTES):
+                    n = last - first
+                    ids, sizes = enc.encode(texts.slice(first, n))
+                    ends = np.cumsum(sizes)
+                    ids = np.insert(ids, ends, end)
+                    np.add(counts, np.bincount(ids, minlength=len(counts)), out=counts)
+                    cuts = np.concatenate(([0], ends + np.arange(1, n + 1))) * enc.dtype.itemsize
+                    packed = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(cuts), pa.py_buffer(ids)])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(first, n), batch.column("tie").slice(first, n),
+                         pa.array(np.arange(row, row + n)), packed.cast(pa.binary()), pa.nulls(n, pa.binary())],
+                        names=["doc_id", "tie", "row", "ids", "counts"])
+                    row += n
+            nothing = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [nothing, nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())],
+                names=["doc_id", "tie", "row", "ids", "counts"])
+        finally:  # the worker lives on beside its executor
+            enc.forget()
+            release_memory()
 
-        def row(number: int, docs: list, parts: list[bytes], tally: bytes | None = None) -> pa.RecordBatch:
-            lengths = [len(p) // width for p in parts]
-            ids = b"".join(parts)
-            if tally is None:
-                np.add(counts, np.bincount(np.frombuffer(ids, enc.dtype), minlength=len(counts)), out=counts)
-            columns = {
-                "shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()),
-                "n_ids": pa.array([sum(lengths)], pa.int64()), "doc_ids": pa.array([docs], pa.list_(pa.int64())),
-                "lengths": pa.array([lengths], pa.list_(pa.int64())), "ids": pa.array([ids], pa.binary()),
-                "counts": pa.array([tally], pa.binary()),
-            }
-            return pa.RecordBatch.from_pydict(columns)
+    return run
 
-        for batch in batches:
-            texts, names = batch.column("text"), batch.column("doc_id").to_pylist()
-            _, bounds = column_bytes(texts)
-            for first, last in slices(bounds, BATCH_BYTES):
-                ids, sizes = enc.encode(texts.slice(first, last - first))
-                ends = np.cumsum(sizes)
-                for doc, a, b in zip(names[first:last], ends - sizes, ends):
-                    n = int(b - a) + 1
-                    if size and size + n > BLOCK:
-                        yield row(block, docs, parts)
-                        block, docs, parts, size = block + 1, [], [], 0
-                    docs.append(doc)
-                    parts.append(ids[a:b].tobytes() + end)
-                    size += n
-        if parts:
-            yield row(block, docs, parts)
-        yield row(-1, [], [], counts.tobytes())
-        release_memory()
 
-    return run
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for x in batch.column("counts"):
+            counts = np.frombuffer(x.as_buffer(), np.int64)
+            total = counts.copy() if total is None else total + counts
+    if total is not None:
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
 
 # ------------------------------------------------------------- entropy coder
@@ -324,18 +334,38 @@ BLOCK_SCHEMA = ("shard int, block int, n_ids long, doc_ids array<long>, lengths
                 "positions binary, words binary, crc32 long")
 
 
-def _encoded(freq: np.ndarray, dtype: str):
+def _blocks(freq: np.ndarray, dtype: str):
+    """Consecutive documents, as they come, in coded blocks of about ``BLOCK`` ids."""
+    width = np.dtype(dtype).itemsize
+
+    def coded(shard: int, number: int, docs: list, parts: list[bytes]) -> pa.RecordBatch:
+        lengths = [len(p) // width for p in parts]
+        states, positions, words = (x.tobytes() for x in encode_block(np.frombuffer(b"".join(parts), dtype), freq))
+        check = zlib.crc32(words, zlib.crc32(positions, zlib.crc32(states)))
+        return pa.RecordBatch.from_pydict({
+            "shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()),
+            "n_ids": pa.array([sum(lengths)], pa.int64()), "doc_ids": pa.array([docs], pa.list_(pa.int64())),
+            "lengths": pa.array([lengths], pa.list_(pa.int64())), "states": pa.array([states], pa.binary()),
+            "positions": pa.array([positions], pa.binary()), "words": pa.array([words], pa.binary()),
+            "crc32": pa.array([check], pa.int64())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, block = TaskContext.get().partitionId(), 0
+        docs: list = []
+        parts: list[bytes] = []
+        size = 0
         for batch in batches:
-            for at in range(batch.num_rows):
-                one = batch.slice(at, 1)
-                ids = np.frombuffer(one.column("ids")[0].as_buffer(), dtype)
-                states, positions, words = (x.tobytes() for x in encode_block(ids, freq))
-                check = zlib.crc32(words, zlib.crc32(positions, zlib.crc32(states)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(one.column(c) for c in ("shard", "block", "n_ids", "doc_ids", "lengths")),
-                     *(pa.array([x], pa.binary()) for x in (states, positions, words)), pa.array([check], pa.int64())],
-                    names=["shard", "block", "n_ids", "doc_ids", "lengths", "states", "positions", "words", "crc32"])
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
+                ids = ids.as_py()
+                n = len(ids) // width
+                if size and size + n > BLOCK:
+                    yield coded(shard, block, docs, parts)
+                    block, docs, parts, size = block + 1, [], [], 0
+                docs.append(doc)
+                parts.append(ids)
+                size += n
+        if parts:
+            yield coded(shard, block, docs, parts)
         release_memory()
 
     return run
@@ -344,32 +374,20 @@ def _encoded(freq: np.ndarray, dtype: str):
 def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> None:
     """Tokenise ``docs`` (doc_id, text) and write the store under ``folder``.
 
-    One shuffle puts the texts in order; the tokenised runs are staged in the
-    shared scratch folder, as the frequency table needs the counts of all ids.
-    The table has one entry per id of the vocabulary, which bounds what the
-    driver and the tasks hold of it.
+    Ids are staged in the shared scratch folder, since the frequency table needs
+    the counts of all of them; then one shuffle puts them in order. The order of
+    the stage breaks ties, so repeated rows spread over ranges as others do. The
+    table has one entry per id of the vocabulary, which bounds what the driver
+    and the tasks hold of it.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = (rows.withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc_id", "_tie")
-               .sortWithinPartitions("doc_id", "_tie").select("doc_id", "text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("tie"),
+                       F.col("text").cast("string").alias("text"))
     staged = scratch_dir(spark, "tokens")
     small_batches(spark)
-    (ordered.mapInArrow(tokenised_runs(tokenizer, end_id), RUN_SCHEMA)
-     .write.option("compression", "zstd").parquet(staged))
-    runs = spark.read.schema(RUN_SCHEMA).parquet(staged)
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for x in batch.column("counts"):
-                counts = np.frombuffer(x.as_buffer(), np.int64)
-                total = counts.copy() if total is None else total + counts
-        if total is not None:
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
-
-    summed = (runs.filter("counts is not null").select("counts").mapInArrow(tally, "id long, n long")
+    (rows.mapInArrow(tokenised(tokenizer, end_id), TOKEN_SCHEMA).write.option("compression", "zstd").parquet(staged))
+    tokens = spark.read.schema(TOKEN_SCHEMA).parquet(staged)
+    summed = (tokens.filter("counts is not null").select("counts").mapInArrow(_tally, "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).collect())
     counts = np.zeros(max([end_id, *(r["id"] for r in summed)]) + 1, np.int64)
     for r in summed:
@@ -377,8 +395,9 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     freq = scaled_frequencies(counts)
     table = [(int(i), int(freq[i])) for i in np.flatnonzero(freq)]
     spark.createDataFrame(table, "id long, freq long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/table")
-    dtype = encoder(tokenizer).dtype.str
-    (runs.filter("block >= 0").mapInArrow(_encoded(freq, dtype), BLOCK_SCHEMA)
+    order = ("doc_id", "tie", "row")
+    (tokens.filter("counts is null").select(*order, "ids").repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+     .mapInArrow(_blocks(freq, encoder(tokenizer).dtype.str), BLOCK_SCHEMA)
      .write.mode("overwrite").option("compression", "uncompressed").parquet(f"{folder}/blocks"))
     block_starts(spark, folder).write.mode("overwrite").parquet(f"{folder}/index")
 
