@@ -17,7 +17,6 @@ training record: one task holds its text, rows stream in from a sorted shuffle.
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Callable, Iterator
 
@@ -45,19 +44,34 @@ def unescape(text: str) -> str:
     return text if "\\" not in text else re.sub(r"\\[blse]", lambda m: _unescape[m[0]], text)
 
 
+def _marked(role: str, text: str) -> str:
+    text = escape(text)
+    if role == "user":
+        return f"<s>[INST] {text} [/INST]"
+    if role == "assistant":
+        return f"{text}</s>"
+    if role == "system":
+        return f"<<SYS>>{text}<</SYS>>"
+    return f"[ROLE {escape(role)}]{text}[/ROLE]"
+
+
+SHORT = 2_000  # characters of turns that are remembered, since each is rendered again with every longer prefix
+REMEMBERED = 8_192
+_remembered: dict[Turn, str] = {}
+
+
 def bracket_template(turns: list[Turn]) -> str:
     """Instruction marks around what is asked, an end mark after what is answered."""
     out = []
-    for role, text in turns:
-        text = escape(text)
-        if role == "user":
-            out.append(f"<s>[INST] {text} [/INST]")
-        elif role == "assistant":
-            out.append(f"{text}</s>")
-        elif role == "system":
-            out.append(f"<<SYS>>{text}<</SYS>>")
-        else:
-            out.append(f"[ROLE {escape(role)}]{text}[/ROLE]")
+    for turn in turns:
+        shown = _remembered.get(turn)
+        if shown is None:
+            shown = _marked(*turn)
+            if len(shown) < SHORT:
+                if len(_remembered) >= REMEMBERED:
+                    _remembered.clear()
+                _remembered[turn] = shown
+        out.append(shown)
     return "".join(out)
 
 
@@ -80,8 +94,18 @@ def read_back(formatted: str) -> list[Turn]:
     return turns
 
 
-def _common(a: str, b: str) -> int:
-    return len(os.path.commonprefix((a, b)))
+def _common(a: str, b: str, likely: int) -> int:
+    """How many characters both begin with, found by halving what is open; ``likely`` of them are tried first."""
+    high = min(len(a), len(b))
+    low = min(likely, high)
+    low = low if a[:low] == b[:low] else 0
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
 
 
 def locate(turns: list[Turn], template: Template, learn: str = "assistant"):
@@ -93,7 +117,7 @@ def locate(turns: list[Turn], template: Template, learn: str = "assistant"):
             return template(turns), [], [], k
         if role == learn:
             one, two = (template([*turns[:k], (role, probe)]) for probe in "01")
-            head = _common(one, two)
+            head = _common(one, two, len(before))
             tail = len(one) - head - 1
             if one[head + 1 :] != two[head + 1 :] or now[:head] != one[:head] or not now.endswith(one[head + 1 :]):
                 return template(turns), [], [], k

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from barlake.llm.jaccard import stored
+
 WINDOW = 10
 PART_BYTES = 64 << 20
 
@@ -162,11 +164,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, par
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total * (size + 1) // part_bytes))
     kept = [c for c in docs.columns if c != column]
-    result = docs.select(*kept)
+    result = docs.select(*(F.col(f"`{c}`") for c in kept))
     held = T.StructType([*RESULT.fields, T.StructField("word_runs", RESULT["spans"].dataType)])
     for part in range(parts):
         chosen = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         windows = Windows.of([(r["item_id"], r["text"]) for r in chosen.collect()], size)
         schema = T.StructType([*result.schema.fields, T.StructField(column, held)] if not part else result.schema.fields)
         result = result.mapInArrow(_scan(windows, column, to_arrow_schema(schema), part > 0), schema)
+        if part + 1 < parts:  # a plan of several scans would run their workers, and hold their automata, side by side
+            result = stored(result, "part")
     return result.withColumn(column, F.col(column).dropFields("word_runs"))

@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -62,13 +64,19 @@ ENDS = {
     "body": ({"head"}, set()),
 }
 ENDS_P = (BLOCK - {"html", "body", "option", "optgroup", "mtr", "tr", "tbody", "thead", "tfoot", "caption", "legend"})
+TABLE_PARTS = frozenset("table tr tbody thead tfoot".split())
 SCOPE = frozenset("table td th caption button html".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NO_BOX = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_NUMBER = re.compile(r"[ \t\n\r\f]*([+-]?[0-9]{1,9})(?![0-9])")
+MOST_COLUMNS = 100  # that one cell spans
+MOST_INDENT = 50  # levels of lists that are indented further
+MOST_PAD = 200  # characters to which cells are padded; longer ones stand as they are
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _UNEVEN = re.compile(r"[\t\n\r\f]|  ")
 
@@ -93,9 +101,17 @@ class Node:
         if "hidden" in self.attributes and (
                 self.attribute("hidden") is not None or (self.tag == "input" and self.attribute("type") == "hidden")):
             return True
-        if "style" in self.attributes and _UNSEEN_STYLE.search(self.attribute("style") or ""):
-            return True
-        return False
+        return "style" in self.attributes and bool(_NO_BOX.search(self.attribute("style") or ""))
+
+    def visible(self) -> bool | None:
+        """What the element's own style says of visibility, if it does; elements inside may say otherwise."""
+        if "style" not in self.attributes or not (said := _VISIBILITY.findall(self.attribute("style") or "")):
+            return None
+        return said[-1].lower() == "visible"
+
+    def number(self, name: str, default: int) -> int:
+        found = _NUMBER.match(self.attribute(name) or "")
+        return int(found[1]) if found else default
 
 
 def drawn_text(drawing: Node) -> list[Node]:
@@ -107,7 +123,7 @@ def drawn_text(drawing: Node) -> list[Node]:
         if isinstance(node, str):
             inside.children.append(node)
             continue
-        if node.tag in UNDRAWN or node.unseen() or node.attribute("display") == "none" or (
+        if node.tag in UNDRAWN or node.unseen() or node.visible() is False or node.attribute("display") == "none" or (
                 node.attribute("visibility") in ("hidden", "collapse")):
             continue
         if node.tag == "foreignobject":
@@ -126,22 +142,27 @@ def build_tree(page: str) -> Node:
     """The tree of a page; text children are strings."""
     root = Node("#root")
     stack = [root]
+    places: dict[str, list[int]] = defaultdict(list)  # depths of the open elements of each name
+
+    def innermost(names) -> int:
+        """Depth of the innermost open element so named, or 0."""
+        return max((places[n][-1] for n in names if places[n]), default=0)
+
+    def cut(depth: int) -> None:
+        for node in stack[depth:]:
+            places[node.tag].pop()
+        del stack[depth:]
 
     def close(names: set[str] | frozenset[str], barrier: set[str] | frozenset[str]) -> None:
         """Close the outermost open element so named that no barrier hides."""
-        found = 0
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in barrier:
-                break
-            if stack[depth].tag in names:
-                found = depth
+        hidden = innermost(barrier)
+        found = [at[k] for n in names if (k := bisect_right(at := places[n], hidden)) < len(at)]
         if found:
-            del stack[found:]
+            cut(min(found))
 
     def foreign() -> bool:
         """Whether the innermost element is part of a drawing or a formula."""
-        part = next((n.tag for n in reversed(stack) if n.tag in FOREIGN or n.tag in ("foreignobject", "annotation-xml")), "")
-        return part in FOREIGN
+        return innermost(FOREIGN) > innermost(("foreignobject", "annotation-xml"))
 
     at, size = 0, len(page)
     while at < size:
@@ -155,14 +176,11 @@ def build_tree(page: str) -> Node:
         at = m.end()
         if m[1]:
             tag = m[1].lower()
-            if tag == "p" and not any(n.tag == "p" for n in stack):
+            if tag == "p" and not places["p"]:
                 stack[-1].children.append(Node("p"))
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
-                    break
+            depth = innermost((tag,))
+            if depth and (tag in TABLE_PARTS or depth >= innermost(("table", "td", "th"))):
+                cut(depth)
             if tag == "br":
                 stack[-1].children.append(Node("br"))
         elif m[2]:
@@ -182,6 +200,7 @@ def build_tree(page: str) -> Node:
                     node.children.append(inside)
                 at = end.end() if end else size
             elif tag not in VOID and not (m[3].endswith("/") and (tag in ("svg", "path", "math") or foreign())):
+                places[tag].append(len(stack))
                 stack.append(node)
     if at < size:
         stack[-1].children.append(html.unescape(page[at:]))
@@ -235,8 +254,11 @@ def aligned(rows: list[list[str]]) -> str:
     widths: list[int] = []
     for row in split:
         for k, cell in enumerate(row):
-            width = max(map(len, cell))
-            widths[k:] = [max(widths[k], width), *widths[k + 1 :]] if k < len(widths) else [width]
+            width = min(max(map(len, cell)), MOST_PAD)
+            if k < len(widths):
+                widths[k] = max(widths[k], width)
+            else:
+                widths.append(width)
     lines = []
     for row in split:
         for n in range(max(map(len, row), default=0)):
@@ -245,6 +267,22 @@ def aligned(rows: list[list[str]]) -> str:
     return "\n".join(lines)
 
 
+class Table:
+    """Rows of cells; a cell keeps its place free in the rows that it reaches down to."""
+
+    def __init__(self):
+        self.rows: list[list[str]] = []
+        self.taken: dict[int, int] = {}  # column: the last row that a cell from above reaches
+
+    def add(self, text: str, columns: int, rows: int) -> None:
+        row, at = self.rows[-1], len(self.rows) - 1
+        while self.taken.get(len(row), -1) >= at:
+            row.append("")
+        for k in range(columns if rows != 1 else 0):
+            self.taken[len(row) + k] = at + rows - 1 if rows else 1 << 30
+        row += [text, *[""] * (columns - 1)]
+
+
 def render(root: Node) -> str:
     """The visible text of a tree.
 
@@ -253,7 +291,8 @@ def render(root: Node) -> str:
     """
     pages = [Page()]
     lists: list[list] = []  # [kind, next number]
-    tables: list[list[list[str]]] = []
+    tables: list[Table] = []
+    shown = True
     work: list = [root]
     kept = 0
     while work:
@@ -263,22 +302,31 @@ def render(root: Node) -> str:
             continue
         page = pages[-1]
         if isinstance(step, str):
-            page.write(step, kept > 0)
+            if shown:
+                page.write(step, kept > 0)
             continue
         tag = step.tag
         if step.unseen():
             continue
+        said = step.visible()
+        if said is not None and said != shown:
+            def restored(old=shown):
+                nonlocal shown
+                shown = old
+            work.append(restored)
+            shown = said
         if tag == "br":
             page.gap, page.blank = page.gap + 1, False
             continue
         if tag == "hr":
             page.part(2)
-            page.write("---")
-            page.part(2)
+            if shown:
+                page.write("---")
+                page.part(2)
             continue
         if tag in ("img", "input"):
             said = step.attribute("alt" if tag == "img" else "value")
-            if said and not (tag == "input" and step.attribute("type") in ("checkbox", "radio", "password", "file")):
+            if said and shown and not (tag == "input" and step.attribute("type") in ("checkbox", "radio", "password", "file")):
                 page.write(said)
             continue
         gap = (2 if tag in PARTED and not (lists and tag in ("ul", "ol")) else 1) if tag in BLOCK else 0
@@ -287,13 +335,12 @@ def render(root: Node) -> str:
             page.part(gap)
             done.append(lambda page=page, gap=gap: page.part(gap))
         if tag in ("ul", "ol", "menu"):
-            first = step.attribute("start") if tag == "ol" else None
-            lists.append([tag, int(first) if first and first.lstrip("-").isdigit() else 1])
+            lists.append([tag, step.number("start", 1) if tag == "ol" else 1])
             done.append(lists.pop)
         elif tag == "li":
             kind, number = lists[-1] if lists else ("ul", 1)
             old = page.prefix
-            page.prefix = "  " * max(len(lists) - 1, 0) + (f"{number}. " if kind == "ol" else "- ")
+            page.prefix = "  " * min(max(len(lists) - 1, 0), MOST_INDENT) + (f"{number}. " if kind == "ol" else "- ")
             if lists:
                 lists[-1][1] += 1
             done.append(lambda page=page, old=old: setattr(page, "prefix", old))
@@ -307,35 +354,39 @@ def render(root: Node) -> str:
                 kept -= 1
             done.append(shut)
         elif tag == "q":
-            page.write('"', True)
-            done.append(lambda page=page: page.write('"', True))
+            if shown:
+                page.write('"', True)
+                done.append(lambda page=page: page.write('"', True))
         elif tag == "table":
-            tables.append([])
+            tables.append(Table())
 
             def laid(page=page):
-                rows = [r for r in tables.pop() if r]
+                rows = [r for r in tables.pop().rows if r]
                 if rows:
                     page.write(aligned(rows), True)
             done.insert(0, laid)
+        elif tag in ("tbody", "thead", "tfoot") and tables:
+            tables[-1].taken.clear()
         elif tag == "tr" and tables:
-            tables[-1].append([])
+            tables[-1].rows.append([])
         elif tag in ("td", "th") and tables:
-            if not tables[-1]:
-                tables[-1].append([])
+            if not tables[-1].rows:
+                tables[-1].rows.append([])
             pages.append(Page())
             outer_lists, lists = lists, []
 
             def cell(step=step, outer=outer_lists, depth=len(tables) - 1):
                 nonlocal lists
                 lists = outer
-                said = pages.pop().text()
-                span = step.attribute("colspan") or "1"
-                tables[depth][-1] += [said, *[""] * (min(int(span), 100) - 1 if span.isdigit() else 0)]
+                columns = min(max(step.number("colspan", 1), 1), MOST_COLUMNS)
+                tables[depth].add(pages.pop().text(), columns, max(step.number("rowspan", 1), 0))
             done.append(cell)
         work += done[::-1]
         children = step.children
         if tag == "svg":
             children = drawn_text(step)
+        elif tag == "details" and step.attribute("open") is None:
+            children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
         elif tag == "semantics":
             children = [c for c in children if isinstance(c, str) or c.tag not in ("annotation", "annotation-xml")]
         work += children[::-1]

@@ -42,6 +42,7 @@ REJECT = 0.5
 CUTS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 BANDS = 8
 UNKNOWN = "und"
+SLICES = 64
 RESULTS = ("lang_pred", "score", "rejected")
 
 _LETTERS = np.full(256, 32, np.uint32)
@@ -164,7 +165,11 @@ def hash_class(doc_id: Column) -> Column:
 
 
 def fit(learning: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model | None:
-    """Learn from ``learning`` (doc_id, text, lang)."""
+    """Learn from ``learning`` (doc_id, text, lang).
+
+    The driver gets the n-gram counts of at most ``sample`` rows, or of eight a language if those are more;
+    repeated rows count once.
+    """
     learning = learning.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     totals = (learning.select("text").mapInArrow(_document_frequencies, "place long, n long")
               .groupBy("place").agg(F.sum("n").alias("n")).collect())
@@ -174,14 +179,17 @@ def fit(learning: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     if not seen[DIMENSIONS]:
         return None
     idf = np.log((1 + seen[DIMENSIONS]) / (1 + seen[:DIMENSIONS])).astype(np.float32) + np.float32(1)
-    draw = F.xxhash64("doc_id")
-    share = Window.partitionBy("lang").orderBy(draw, "doc_id")
-    names = learning.filter("doc_id is not null").select("doc_id", "lang")
+    # Ranked by a digest: first within slices of a language, then among what those leave, so no task orders a whole language.
+    tie, draw = F.xxhash64("text").alias("tie"), F.xxhash64("doc_id", "tie")
+    names = learning.filter("doc_id is not null").select("doc_id", tie, "lang")
     languages = names.agg(F.count_distinct("lang")).first()[0]
     each = max(8, sample // max(1, languages))
-    chosen = (names.withColumn("_n", F.row_number().over(share)).filter(F.col("_n") <= each)
-              .select("doc_id").distinct().limit(sample))
-    drawn = (learning.join(F.broadcast(chosen), "doc_id").select("text", "lang")
+    first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(draw, "doc_id", "tie"))
+    sliced = (names.distinct().withColumn("_slice", F.pmod(draw, F.lit(SLICES))).withColumn("_n", first("lang", "_slice"))
+              .filter(F.col("_n") <= each))
+    chosen = sliced.withColumn("_n", first("lang")).filter(F.col("_n") <= each).select("doc_id", "tie", "lang")
+    drawn = (learning.withColumn("tie", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "tie", "lang"])
+             .dropDuplicates(["doc_id", "tie", "lang"]).select("text", "lang")
              .mapInArrow(_sample_counts, "lang string, counts binary, head string").collect())
     by_language: dict[str, list[np.ndarray]] = {}
     for r in sorted(drawn, key=lambda r: (r["lang"], r["counts"])):
@@ -203,7 +211,7 @@ def fit(learning: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     return Model(idf, centres, tuple(owners), floor, short_floors(heads, centres, owners, idf, floor))
 
 
-def _predict(model: Model | None):
+def _predict(model: Model | None, results: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column("text").cast(pa.string()).fill_null("")
@@ -219,17 +227,17 @@ def _predict(model: Model | None):
                     names[at] = np.where(letters[at], languages[best], UNKNOWN)
                     score[at] = np.where(letters[at], cosine, 0)
                     rejected[at] = ~letters[at] | (cosine < model.floors(found))
-            kept = [c for c in batch.schema.names if c not in RESULTS]
+            kept = [c for c in batch.schema.names if c not in results]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
-                names=[*kept, *RESULTS])
+                names=[*kept, *results])
 
     return run
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with lang_pred, score (cosine of the nearest centroid) and rejected. Only the text is looked at."""
-    kept = [f for f in docs.schema.fields if f.name not in RESULTS]
-    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("rejected", T.BooleanType())])
-    return docs.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(_predict(model), schema)
+def identify(docs: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
+    """``docs`` with lang_pred, score (cosine of the nearest centroid) and rejected, their names prefixed. Only the text is looked at."""
+    results = [prefix + c for c in RESULTS]
+    kept = [f for f in docs.schema.fields if f.name not in results]
+    schema = T.StructType([*kept, *(T.StructField(n, k) for n, k in zip(results, (T.StringType(), T.DoubleType(), T.BooleanType())))])
+    return docs.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(_predict(model, results), schema)

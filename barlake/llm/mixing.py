@@ -40,9 +40,10 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
-def uniform(doc_id: Column, seed: str) -> Column:
-    """A number above 0 and below 1 from the digest of the seed and the id."""
-    hexed = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary")), 1, 12)
+def uniform(doc_id: Column, tie: Column, seed: str) -> Column:
+    """A number above 0 and below 1 from the digest of the seed and the id, or what a row without one has instead."""
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("-"), tie.cast("string")))
+    hexed = F.substring(F.md5(F.concat(F.lit(seed), name).cast("binary")), 1, 12)
     return (F.conv(hexed, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
@@ -89,7 +90,7 @@ def draw(rows: DataFrame, quality: str | None = None, weights: tuple[float, ...]
     """
     weight = F.coalesce(F.when(F.col(quality) > 0, F.col(quality)), F.lit(1.0)).cast("double") if quality else F.lit(1.0)
     staged = scratch_dir(rows.sparkSession, "sizes")
-    rows.withColumn("_key", -F.log(uniform(F.col("doc_id"), seed)) / weight).write.parquet(staged)
+    rows.withColumn("_key", -F.log(uniform(F.col("doc_id"), F.col("tie"), seed)) / weight).write.parquet(staged)
     sized = rows.sparkSession.read.parquet(staged)
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     stored = scratch_dir(rows.sparkSession, "sources")
@@ -118,15 +119,17 @@ def draw(rows: DataFrame, quality: str | None = None, weights: tuple[float, ...]
             .select(*rows.columns, "source_size", "target", "taken", "copies"))
 
 
-def taken_up(docs: DataFrame, drawn: DataFrame) -> DataFrame:
-    """``docs`` with what ``draw`` decided on each row: size, source_size, target, taken and copies."""
-    kept = [c for c in docs.columns if c not in RESULTS]
-    keyed = (docs.select(*(F.col(f"`{c}`") for c in kept), F.col("doc_id").cast("long").alias("_doc"),
-                         F.xxhash64(F.col("text").cast("string")).alias("_tie"))
-             .withColumn("_place", F.row_number().over(Window.partitionBy("_doc", "_tie").orderBy("source"))))
-    found = drawn.select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t"), F.col("place").alias("_p"), *RESULTS)
-    same = F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_tie") == F.col("_t")) & (F.col("_place") == F.col("_p"))
-    return keyed.join(found, same).select(*(F.col(f"`{c}`") for c in kept), *RESULTS)
+def taken_up(docs: DataFrame, drawn: DataFrame, prefix: str = "") -> DataFrame:
+    """``docs`` with what ``draw`` decided on each row: size, source_size, target, taken and copies, their names prefixed."""
+    named = [prefix + c for c in RESULTS]
+    kept = [c for c in docs.columns if c not in named]
+    keyed = (docs.select(*(F.col(f"`{c}`") for c in kept), F.col("doc_id").cast("long").alias("_mix_doc"),
+                         F.xxhash64(F.col("text").cast("string")).alias("_mix_tie"))
+             .withColumn("_mix_place", F.row_number().over(Window.partitionBy("_mix_doc", "_mix_tie").orderBy("source"))))
+    found = drawn.select(F.col("doc_id").alias("_mix_d"), F.col("tie").alias("_mix_t"), F.col("place").alias("_mix_p"),
+                        *(F.col(c).alias(n) for c, n in zip(RESULTS, named)))
+    same = F.col("_mix_doc").eqNullSafe(F.col("_mix_d")) & (F.col("_mix_tie") == F.col("_mix_t")) & (F.col("_mix_place") == F.col("_mix_p"))
+    return keyed.join(found, same).select(*(F.col(f"`{c}`") for c in kept), *(f"`{n}`" for n in named))
 
 
 def mix(docs: DataFrame, quality: str | None = None, **options) -> DataFrame:
@@ -139,7 +142,8 @@ def mix(docs: DataFrame, quality: str | None = None, **options) -> DataFrame:
     return taken_up(docs, draw(rows, "_quality" if quality else None, **options))
 
 
-def materialise(mixed: DataFrame) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    return (mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .drop("_copy", *RESULTS))
+def materialise(mixed: DataFrame, prefix: str = "") -> DataFrame:
+    """Each document as often as the mix takes it, without the columns of the mix."""
+    copies = F.col(f"`{prefix}copies`")
+    return (mixed.filter(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+            .drop("_copy", *(prefix + c for c in RESULTS)))

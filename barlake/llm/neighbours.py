@@ -390,7 +390,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = TABLE
     hashes = hashes or default_hashes(n)
     plan = Tables(size, tables, hashes, width, tuple(perturbations(hashes, probes)))
     copies = Window.partitionBy("vector").orderBy("vec_id")
-    entries = (rows.withColumn("_n", F.dense_rank().over(copies)).filter(F.col("_n") <= k + 1)
+    entries = (rows.distinct().withColumn("_n", F.dense_rank().over(copies)).filter(F.col("_n") <= k + 1)
                .groupBy("vector").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")).select("ids", "vector"))
     staged = scratch_dir(spark, "entries")
     kind = "ids array<long>, vector array<double>, keys array<long>"

@@ -186,7 +186,7 @@ _encoders: dict[str, PieceEncoder] = {}
 
 
 def encoder(path: str) -> PieceEncoder:
-    """One encoder per worker process and file."""
+    """One encoder per task and file."""
     if path not in _encoders:
         import os
 
@@ -228,7 +228,8 @@ def tokenised(path: str, end_id: int):
                 [nothing, nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())],
                 names=["doc_id", "tie", "row", "ids", "counts"])
         finally:  # the worker lives on beside its executor
-            enc.forget()
+            _encoders.clear()
+            del enc
             release_memory()
 
     return run

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from barlake.llm.text import FOLD, column_bytes, shingle_hashes, slices, word_bounds, word_hashes
 
 SAMPLE = 10_000
+SAMPLE_BYTES = 1 << 26
 THRESHOLD = 0.3
 TRUST = 0.95
 HASHED = 1 << 14
@@ -254,9 +255,11 @@ def fit(learning: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from ``learning`` (doc_id, text, toxic), rows with a null label left out."""
     rows = learning.filter("toxic is not null").select(
         "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    total = rows.count()
-    keep = int(2**32 * min(1.0, 0.9 * sample / max(total, 1)))
-    drawn = (rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) < keep) if total > sample else rows).limit(sample)
+    total, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    rows = rows.filter(F.octet_length("text") <= SAMPLE_BYTES // 8)
+    share = min(0.9 * sample / max(total, 1), 0.9 * SAMPLE_BYTES / max(size, 1))
+    keep = int(2**32 * min(1.0, share))
+    drawn = (rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) < keep) if share < 0.9 else rows).limit(sample)
     found = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"], r["toxic"]) for r in drawn.collect())
     texts, labels = [t for _, t, _ in found], np.array([int(y > 0) for *_, y in found], int)
     words = sorted({*SEED_WORDS, *mined_words(texts, labels)})

@@ -1,7 +1,9 @@
 """Decontamination, language, toxicity and page text."""
 
+import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -180,3 +182,168 @@ def test_no_markup_breaks_the_page(seed):
     for _ in range(200):
         page = "".join(rng.choice([f"<{t}>", f"</{t}>", "word ", "<", "&lt;", "<!--"]) for t in rng.choices(tags, k=25))
         assert isinstance(html_text.page_text(page), str)
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<ol start="--1"><li>a', "1. a"), ('<ol start="\u00b2"><li>a', "1. a"), (f'<ol start="{"9" * 5000}"><li>a', "1. a"),
+    ("<ol start=-3><li>a<li>b", "-3. a\n-2. b"), ('<table><tr><td colspan="\u00b2">a<td>b</table>', "a | b"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+    ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d</table>", "a | b\n  | c\nd"),
+    ("<details><summary>s</summary>body</details><details open><summary>t</summary>shown</details>", "s\nt\nshown"),
+    ('<div style="visibility:hidden">no<b style="visibility: visible">yes</b>no</div>z', "yes\nz"),
+    ('<div style="visibility:hidden">no<img alt=no><hr></div>z', "z"),
+])
+def test_numbers_spans_and_inherited_visibility(page, text):
+    assert html_text.page_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<b>" * 50_000 + "<p>y" * 50_000, "<ul><li>" * 50_000 + "z", "<span>" * 50_000 + "</i>" * 50_000,
+                                  "<table><tr><td>" * 3_000 + "q", "<table><tr>" + "<td>c" * 50_000])
+def test_deep_and_wide_pages_end(page):
+    start = time.process_time()
+    html_text.page_text(page)
+    assert time.process_time() - start < 20
+
+
+# A page is generated with its text: what each element adds is known when it is written.
+def generated(rng, depth=0):
+    """(html, list of lines) of some blocks; end tags that may be left out are left out at times."""
+    word = lambda: rng.choice(["one", "two &amp; <i>in</i>", "thr<b>ee</b>", "f&eacute;", "<!-- no -->x", "<span hidden>no</span>y"])
+    plain = lambda said: html_text.html.unescape(re.sub(r"<!--.*?-->|<span hidden>.*?</span>|<[^>]*>", "", said))
+    out, lines = [], []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.choice(["p", "div", "ul", "ol", "table", "hr"] if depth < 2 else ["p"])
+        said = " \n".join(word() for _ in range(rng.randint(1, 5)))
+        text = " ".join(plain(said).split())
+        if kind == "hr":
+            out.append("<hr>")
+            block, edge = ["---"], 2
+        elif kind == "p":
+            out.append(f"<p>{said}" + rng.choice(["</p>", ""]))
+            block, edge = [text], 2
+        elif kind == "div":
+            inner, inside = generated(rng, depth + 1)
+            out.append(f"<div>{said}<section>{inner}</section></div>")
+            block, edge = [text, *([""] if inside and inside[0] == "" else []), *strip(inside)], 1
+        elif kind == "table":
+            cells = [[word() for _ in range(2)] for _ in range(rng.randint(1, 3))]
+            end = rng.choice(["</td>", ""])
+            out.append("<table>" + "".join("<tr>" + "".join(f"<td>{c}{end}" for c in row) for row in cells) + "</table>")
+            shown = [[" ".join(plain(c).split()) for c in row] for row in cells]
+            width = max(len(r[0]) for r in shown)
+            block, edge = [f"{a.ljust(width)} | {b}".rstrip() for a, b in shown], 2
+        else:
+            items = [word() for _ in range(rng.randint(1, 3))]
+            out.append(f"<{kind}>" + "".join(f"<li>{i}" for i in items) + f"</{kind}>")
+            block = [(f"{k}. " if kind == "ol" else "- ") + " ".join(plain(i).split()) for k, i in enumerate(items, 1)]
+            edge = 2
+        lines.append((block, edge))
+    flat: list[str] = []
+    for k, (block, edge) in enumerate(lines):
+        if flat and max(edge, lines[k - 1][1]) == 2 and flat[-1] != "":
+            flat.append("")
+        elif not flat and edge == 2:
+            flat.append("")
+        flat += block
+        if k + 1 == len(lines) and edge == 2:
+            flat.append("")
+    return "".join(out), flat
+
+
+def strip(lines):
+    return lines[1:] if lines and lines[0] == "" else lines
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_generated_pages_have_the_text_they_were_made_from(seed):
+    page, lines = generated(random.Random(seed))
+    text = re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip("\n")
+    assert html_text.page_text(page) == text
+
+
+def plain_languages(learning, texts, clusters):
+    """Predictions by a plain loop: log counts of hashed n-grams times idf, the same seeding of centroids, the best cosine."""
+    grams = lambda t: next(iter(langid.counts(pa.array([t], pa.string()))))[1][0].astype(float)
+    seen = [grams(t) for t, _ in learning]
+    idf = [math.log((1 + len(seen)) / (1 + sum(1 for s in seen if s[k]))) + 1 for k in range(len(seen[0]))]
+
+    def unit(found):
+        v = [math.log1p(c) * w if c else 0.0 for c, w in zip(found, idf)]
+        size = math.sqrt(sum(x * x for x in v)) or 1.0
+        return np.array([x / size for x in v])
+
+    cosine = lambda a, b: float(np.dot(a, b))
+    centres = []
+    for lang in sorted({name for _, name in learning}):
+        rows = [unit(s) for s, (_, name) in zip(seen, learning) if name == lang]
+        mean = sum(rows) / len(rows)
+        chosen = [max(range(len(rows)), key=lambda i: cosine(rows[i], mean))]
+        while len(chosen) < min(clusters, len(rows)):
+            chosen.append(min(range(len(rows)), key=lambda i: max(cosine(rows[i], rows[c]) for c in chosen)))
+        found = [rows[i] for i in chosen]
+        for _ in range(12):
+            owner = [max(range(len(found)), key=lambda k: cosine(r, found[k])) for r in rows]
+            for k in range(len(found)):
+                own = [r for r, o in zip(rows, owner) if o == k]
+                total = sum(own) if own else found[k]
+                found[k] = total / np.linalg.norm(total)
+        centres += [(c, lang) for c in found]
+    best = [max(((cosine(unit(grams(t)), c), lang) for c, lang in centres)) for t in texts]
+    return best
+
+
+def test_languages_equal_a_plain_loop(spark):
+    rng = random.Random(6)
+    alphabets = {"aa": "abcde", "bb": "cdefg", "cc": "xyzabé"}
+    said = lambda a: " ".join("".join(rng.choice(a) for _ in range(rng.randint(2, 6))) for _ in range(rng.randint(4, 20)))
+    learning = [(said(a), lang) for lang, a in alphabets.items() for _ in range(12)]
+    df = spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(learning)] * 2, DOCS)  # repeated rows count once in the sample
+    model = langid.fit(df, clusters=3)
+    texts = [said(a) for a in alphabets.values() for _ in range(6)]
+    got = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], DOCS), model).collect()}
+    # document frequencies are of all rows, repeated ones too; the ratio keeps the idf nearly the same
+    for i, (score, lang) in enumerate(plain_languages(learning * 2, texts, 3)):
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - score) < 0.02
+
+
+def test_sample_of_languages_is_bounded_in_rows(spark, monkeypatch):
+    rows = [(7, f"text {i} of one id", "aa") for i in range(400)] + [(7, "text of one row", "aa")] * 400 + [(i, f"other {i}", "bb") for i in range(50)]
+    seen = []
+    monkeypatch.setattr(langid, "short_floors", lambda heads, *rest: seen.append(len(heads)) or np.full(langid.BANDS, 0.1))
+    langid.fit(spark.createDataFrame(rows, DOCS), sample=40)
+    assert 20 < seen[0] <= 40
+
+
+def test_toxicity_equals_a_plain_loop():
+    rng = random.Random(3)
+    votes = np.array([[int(rng.random() < (0.5 if toxic else 0.05)) for _ in range(5)] for toxic in [1] * 40 + [0] * 120], np.uint8)
+    labels = np.array([1] * 40 + [0] * 120)
+    words = [np.array([rng.getrandbits(64) for _ in range(rng.randint(0, 6))], np.uint64) for _ in labels]
+    model = toxicity.fit_label_model(votes, labels)
+    target = model.posterior(votes.astype(float))
+    for row, p in zip(votes, target):  # Bayes, one group after another
+        on, off = model.prior, 1 - model.prior
+        for g in range(len(model.on_toxic)):
+            fired = min(sum(int(v) for v, own in zip(row, model.group) if own == g), toxicity.LEVELS - 1)
+            on, off = on * model.on_toxic[g][fired], off * model.on_clean[g][fired]
+        assert abs(on / (on + off) - p) < 1e-9
+    a, b, c = toxicity.train_linear(votes, words, target, rounds=25)
+    x, y, z, steps = [0.0] * 5, {}, -2.0, [[0.0] * 5, {}, 0.0]
+    for _ in range(25):
+        gx, gy, gz = [1e-5 * v for v in x], {k: 1e-3 * v for k, v in y.items()}, 0.0
+        for row, said, p in zip(votes, words, target):
+            places = [int(h) >> 50 for h in said]
+            margin = z + sum(int(v) * w for v, w in zip(row, x)) + (sum(y.get(k, 0.0) for k in places) / len(places) if places else 0)
+            gap = (1 / (1 + math.exp(-margin)) - p) / len(votes)
+            gx = [g + gap * int(v) for g, v in zip(gx, row)]
+            gz += gap
+            for k in places:
+                gy[k] = gy.get(k, 0.0) + gap / len(places)
+        steps[0] = [0.9 * s - 2 * g for s, g in zip(steps[0], gx)]
+        steps[1] = {k: 0.9 * steps[1].get(k, 0.0) - 2 * gy.get(k, 0.0) for k in {*gy, *steps[1]}}
+        steps[2] = 0.9 * steps[2] - 2 * gz
+        x = [v + s for v, s in zip(x, steps[0])]
+        y = {k: y.get(k, 0.0) + s for k, s in steps[1].items()}
+        z += steps[2]
+    assert np.allclose(a, x, atol=1e-9) and abs(c - z) < 1e-9
+    assert all(abs(b[k] - v) < 1e-9 for k, v in y.items())

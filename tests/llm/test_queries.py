@@ -65,3 +65,13 @@ def test_one_document_of_repeated_rows_and_null_ids_stays(spark):
     got = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
     assert got.columns == docs.columns
     assert sorted(((r["doc_id"], said.index(r["text"])) for r in got.collect()), key=str) == [(0, 3), (1, 0), (None, 1), (None, 2)]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    clash = ["size", "target", "taken", "copies", "score", "rejected", "lang_pred", "tie", "_id", "_tie", "_none", "contamination"]
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in clash})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, FOLDER)
+        assert found.columns == docs.columns
+        assert found.filter(" or ".join(f"`{c}` <> concat('{c} of ', doc_id)" for c in clash)).count() == 0 < found.count()

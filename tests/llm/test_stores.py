@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -248,3 +249,36 @@ def test_read_back_refuses_what_it_did_not_write():
     with pytest.raises(ValueError):
         chat.read_back("no mark <")
     assert re.fullmatch(r"[^<\[]*", chat.escape("</s>[INST]"))
+
+
+def test_long_conversations_end():
+    turns = [("user" if k % 2 == 0 else "assistant", f"some [text] {k} of <turn>") for k in range(5000)]
+    start = time.process_time()
+    formatted, spans, loss, broken = chat.locate(turns, chat.bracket_template)
+    assert time.process_time() - start < 60 and broken is None and chat.read_back(formatted) == turns
+    assert [chat.unescape(formatted[a:b]) for a, b in loss] == [t for r, t in turns if r == "assistant"]
+
+
+def test_common_beginnings():
+    for a, b, n in (("", "", 0), ("abc", "abd", 2), ("abc", "abc", 3), ("abc", "ab", 2), ("xbc", "ybc", 0)):
+        assert all(chat._common(a, b, likely) == n for likely in range(4))
+
+
+def test_repeated_rows_spread_over_the_ranges_of_the_store(spark, tmp_path):
+    df = spark.createDataFrame([(5, "the same text")] * 400 + [(None, "none"), (1, None)], "doc_id long, text string").repartition(8)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    token_store.write_token_store(df, str(tmp_path), tokenizer_path())
+    spark.conf.set(key, before)
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in token_store.read_token_store(spark, str(tmp_path), keep_ids=False).collect())
+    assert [d for _, d, _ in got] == [None, 1] + [5] * 400
+    assert all(a[0] + a[2] == b[0] for a, b in zip(got, got[1:]))
+    assert spark.read.parquet(f"{tmp_path}/blocks").select("shard").distinct().count() > 1
+
+
+def test_rows_without_an_id_are_drawn_apart(spark):
+    rows = [(None, f"word {i}", "a", "x") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
+    got = mixing.mix(df, share=0.5).collect()
+    assert 0 < sum(r["copies"] for r in got) < 200
