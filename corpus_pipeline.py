@@ -15,37 +15,46 @@ from barlake.llm.queries import tokenizer_path, with_quality
 from barlake.llm.text import small_batches
 from barlake.session import scratch_dir
 
+#: Begins the names of what stages add for themselves, so that columns of the documents may have any other name.
+OWN = "_stage_"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def columns_of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    return found.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that belong to a learned language; the others go."""
     small_batches(spark)
     model = langid.fit(langid.learning_rows(docs))
-    found = langid.identify(docs, model).filter("not rejected")
-    return found.select(*docs.columns)
+    found = langid.identify(docs, model, prefix=OWN).filter(~F.col(f"{OWN}rejected"))
+    return columns_of(docs, found)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones, the one with the smallest id."""
     # Null ids are a key like any other. The join deals by the key that repeated rows share, so they meet there without a shuffle more.
-    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none")]
-    kept = jaccard.similar_documents(docs).filter("keeper").select(*key, F.col("tie").alias("_tie")).distinct()
-    keyed = docs.select("*", *key, F.xxhash64(F.col("text").cast("string")).alias("_tie"))
-    return keyed.join(kept, ["_id", "_none", "_tie"], "left_semi").dropDuplicates(["_id", "_none", "_tie"]).select(*docs.columns)
+    names = [f"{OWN}{n}" for n in ("id", "none", "tie")]
+    key = lambda tie: (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.col("doc_id").isNull(), tie)
+    kept = jaccard.similar_documents(docs).filter("keeper").select(*(c.alias(n) for c, n in zip(key(F.col("tie")), names))).distinct()
+    keyed = docs.withColumns(dict(zip(names, key(F.xxhash64(F.col("text").cast("string"))))))
+    return columns_of(docs, keyed.join(kept, names, "left_semi").dropDuplicates(names))
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.decontaminate(docs, items, column="_leak")
-    return found.filter("_leak.n_hit = 0").select(*docs.columns)
+    found = decontaminate.decontaminate(docs, items, column=f"{OWN}leak")
+    return columns_of(docs, found.filter(F.col(f"{OWN}leak")["n_hit"] == 0))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
     rows = with_quality(mixing.measured(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixing.materialise(mixing.taken_up(docs, mixing.draw(rows, "quality"))).select(*docs.columns)
+    mixed_rows = mixing.taken_up(docs, mixing.draw(rows, "quality"), prefix=OWN)
+    return columns_of(docs, mixing.materialise(mixed_rows, prefix=OWN))
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
