@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from barlake.llm.jaccard import stored
+from barlake.llm.text import release_memory
 
 WINDOW = 10
 PART_BYTES = 64 << 20
@@ -153,6 +154,8 @@ def _scan(windows: Windows, column: str, schema: pa.Schema, earlier: bool):
             kept = [c for c in batch.schema.names if c != column]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(values, schema.field(column).type)], names=[*kept, column])
+        del automaton
+        release_memory()
 
     return run
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.text import column_bytes, slices
+from barlake.llm.text import column_bytes, release_memory, slices
 
 DIMENSIONS = 1 << 12
 MAX_N = 3
@@ -231,6 +231,7 @@ def _predict(model: Model | None, results: list[str]):
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
                 names=[*kept, *results])
+        release_memory()
 
     return run
 

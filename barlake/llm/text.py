@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,7 +134,11 @@ def distinct_sorted(values: np.ndarray) -> np.ndarray:
 
 
 def release_memory() -> None:
-    """Give freed memory back at the end of a task: the worker lives on beside its executor."""
+    """Give freed memory back at the end of a task: the worker lives on beside its executor.
+
+    What the tasks before it held is found by the collector only, since their functions refer to one another.
+    """
+    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # a C library without it
         ctypes.CDLL(None).malloc_trim(0)

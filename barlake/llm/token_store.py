@@ -43,7 +43,7 @@ CHECKPOINT = 1 << 18
 PIECES_KEPT = 200_000
 PIECE_BYTES = 1 << 22
 ENCODED_AT_ONCE = 4_000
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 
 
 # ---------------------------------------------------------------- tokenising
@@ -202,6 +202,7 @@ def tokenised(path: str, end_id: int):
     """The ids of each document with the end id, and per task one row with the counts of all its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         enc = encoder(path)
         end = np.array([end_id], enc.dtype)
         counts = np.zeros(max(enc.tokenizer.get_vocab_size(), end_id + 1), np.int64)
