@@ -119,8 +119,8 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
                 quarantine: str | None = None, **options) -> DataFrame:
     """Merge a batch into the lake, rewriting only the partitions it touches.
 
-    Rows without a date are returned, and appended to ``quarantine`` if that
-    folder is named; there may be none.
+    Rows without a date are returned, and stored in ``quarantine`` if that folder
+    is named. It is the folder of this batch: a batch that comes again replaces it.
 
     The merge is staged first, since Spark cannot overwrite what it reads, and
     its folders are then moved; see ``publish``. Running it twice is the same as
@@ -129,7 +129,7 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
     parts = LAYOUT_COLUMNS[layout]
     dated, undated = split_null_dates(normalize_bars(new))
     if quarantine:
-        undated.write.mode("append").parquet(quarantine)
+        undated.write.mode("overwrite").parquet(quarantine)
     touched = _bar_partitions(dated, layout).select(*parts).distinct()
     existing = prune_to(scan_partitions(spark, root, layout), touched, ["year", "month"])
     if layout == "by_ticker":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +31,8 @@ def _count(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.col(name).try_cast("string").try_cast("bigint"), whole.try_cast("bigint"))
 
 
-def normalize_bars(df: DataFrame) -> DataFrame:
-    """Fixed columns, order and types; absent columns come back as typed nulls."""
+def normalize_bars(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Fixed columns, order and types; absent columns come back as typed nulls. Columns in ``keep`` stay behind them."""
     present = set(df.columns)
     out = []
     for field in BARS.fields:
@@ -46,7 +48,7 @@ def normalize_bars(df: DataFrame) -> DataFrame:
         else:
             value = F.col(name)
         out.append(value.cast(field.dataType).alias(name))
-    return df.select(*out)
+    return df.select(*out, *keep)
 
 
 def normalize_vendor_history(

@@ -193,12 +193,12 @@ def latest_bars(spark: SparkSession, root: str, keys: Sequence[str] = INSTRUMENT
     return keep_last(versions, [*keys, "bar"], [F.col("batch_id"), *rest]).drop("batch_id").filter("volume > 0")
 
 
-def foreach_batch_upsert(spark: SparkSession, root: str, layout: str = "by_month") -> BATCH:
-    """Batch sink: merge bars into their months."""
+def foreach_batch_upsert(spark: SparkSession, root: str, undated_root: str, layout: str = "by_month") -> BATCH:
+    """Batch sink: merge bars into their months, and keep those without a date under the number of their batch."""
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            upsert_bars(spark, root, batch, layout)
+            upsert_bars(spark, root, batch, layout, quarantine=f"{undated_root}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

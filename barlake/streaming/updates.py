@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.lake import upsert_bars
+from barlake.operators.normalize import normalize_bars, split_null_dates
 from barlake.operators.registry import apply_fetch_outcomes, fetch_plan, work_list
 from barlake.schemas import BARS, INTERVALS
 
@@ -17,12 +18,16 @@ def incremental_update(
     intervals: DataFrame,
     landed: DataFrame,
     as_of_ts: str,
+    undated_root: str,
     layout: str = "by_month",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One update of all tickers: plan, take the landed bars in each window, merge, update the registry.
 
     ``roots`` names the lake folder of each wanted interval; ``landed`` holds
-    bars with an ``interval`` column. Returns the plan and both registry tables.
+    bars with an ``interval`` column. Bars of the wanted intervals whose date cannot
+    be read have no window; they are stored under ``undated_root`` by interval and
+    time of the update, so an update that is run again keeps them once. Returns
+    the plan and both registry tables.
     """
     today = as_of_ts[:10]
     work = work_list(tickers, intervals, list(roots), today)
@@ -35,11 +40,15 @@ def incremental_update(
         (F.col("stock") == F.col("_t")) & (F.col("interval") == F.col("_i"))
         & (F.col("full_history") | ((F.col("date") >= F.col("_s")) & (F.col("date") < F.col("_e"))))
     )
-    taken = landed.join(window, inside, "inner").select(*landed.columns)
+    columns = [F.col(c) if c in landed.columns else F.lit(None).alias(c) for c in BARS.names]
+    dated, undated = split_null_dates(normalize_bars(landed.select(*columns, "interval"), keep=["interval"]))
+    taken = dated.join(window, inside, "inner").select(*dated.columns)
+    run = F.lit(as_of_ts).cast("timestamp_ntz")
+    run = spark.range(1).select(F.date_format(run, "yyyy-MM-dd'T'HH_mm_ss")).first()[0]
+    (undated.filter(F.col("interval").isin(list(roots))).write.mode("overwrite").partitionBy("interval")
+     .parquet(f"{undated_root}/run={run}"))
     for interval, root in roots.items():
-        batch = taken.filter(F.col("interval") == interval)
-        columns = [F.col(c) if c in batch.columns else F.lit(None).alias(c) for c in BARS.names]
-        upsert_bars(spark, root, batch.select(*columns), layout)
+        upsert_bars(spark, root, taken.filter(F.col("interval") == interval).select(*BARS.names), layout)
     got = taken.groupBy(F.col("stock").alias("ticker"), "interval").agg(
         F.date_format(F.max(F.to_date("date")), "yyyy-MM-dd").alias("last_date")
     )
