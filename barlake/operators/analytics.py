@@ -410,11 +410,13 @@ def seasonality_lookup(bars: DataFrame, market: DataFrame, ticker: DataFrame | N
                        keys: Sequence[str] = KEYS, order: str = ORDER) -> DataFrame:
     """Add seasonality_factor: the ticker's own, else the market's, else 1.
 
-    The market profile has at most 1,440 rows and may be broadcast whatever the
-    bars' size; how the ticker profiles are joined is left to the planner.
+    The market profile is brought to one row a minute, 1,440 at most, and may be
+    broadcast whatever the bars' size (of repeated minutes the largest factor
+    counts); how the ticker profiles are joined is left to the planner.
     """
     placed = bars.withColumn("minute_of_day", minute_of_day(order))
-    general = market.select("minute_of_day", F.col("seasonality_factor").alias("_market"))
+    general = (market.filter(F.col("minute_of_day").between(0, 1439)).groupBy("minute_of_day")
+               .agg(F.max("seasonality_factor").alias("_market")))
     out = placed.join(F.broadcast(general), "minute_of_day", "left")
     factor = [F.col("_market"), F.lit(1.0)]
     if ticker is not None:

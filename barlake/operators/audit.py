@@ -79,11 +79,11 @@ def rowwise_compare(original: DataFrame, migrated: DataFrame, key: str = "stock"
     )
     same_range = (F.col("_o_min") == F.col("_m_min")) & (F.col("_o_max") == F.col("_m_max"))
     verdict = (
-        F.when(F.col("migrated_rows") == 0, "migrated-empty")
-        .when(F.col("original_rows") == 0, "original-empty")
-        .when(F.col("original_rows") != F.col("migrated_rows"), "row-count-mismatch")
-        .when(~F.coalesce(same_range, F.lit(False)), "date-range-mismatch")
-        .when(F.col("differing_rows") > 0, "content-mismatch")
+        F.when(F.col("migrated_rows") == 0, "no_migrated_rows")
+        .when(F.col("original_rows") == 0, "no_original_rows")
+        .when(F.col("original_rows") != F.col("migrated_rows"), "row_count_mismatch")
+        .when(~F.coalesce(same_range, F.lit(False)), "date_range_mismatch")
+        .when(F.col("differing_rows") > 0, "content_mismatch")
         .otherwise("ok")
     )
     return per_key.select(key, "original_rows", "migrated_rows", verdict.alias("verdict"))

@@ -108,7 +108,7 @@ def source_to_price_volume(df: DataFrame, source: str) -> DataFrame:
             F.col("stock").alias("instrument"), F.col("date").alias("ts"), F.col("close").alias("price"),
             F.col("volume").cast("double").alias("volume"),
         )
-    raise ValueError(f"Unknown source: {source}")
+    raise ValueError(f"no bars or trades come from {source!r}")
 
 
 def drop_zero_volume_bars(bars: DataFrame) -> DataFrame:

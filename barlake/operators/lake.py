@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -127,7 +128,10 @@ def upsert_bars(spark: SparkSession, root: str, new: DataFrame, layout: str = "b
     once.
     """
     parts = LAYOUT_COLUMNS[layout]
-    dated, undated = split_null_dates(normalize_bars(new))
+    # read once: the batch is asked for its partitions, its ranges and its rows
+    staged = scratch_dir(spark, "batch")
+    normalize_bars(new).write.parquet(staged)
+    dated, undated = split_null_dates(spark.read.schema(BARS).parquet(staged))
     if quarantine:
         undated.write.mode("overwrite").parquet(quarantine)
     touched = _bar_partitions(dated, layout).select(*parts).distinct()
@@ -159,6 +163,7 @@ def read_staged(
 
 
 READY = "_publish.json"
+MOVES_AT_ONCE = 16
 
 
 def _path(spark: SparkSession, path: str):
@@ -173,7 +178,12 @@ def publish(spark: SparkSession, stage: str, active: str, partition_by: Sequence
     The stage is a complete write, so no file is written twice. Before the first
     folder moves, a note in the stage names the target; ``resume_publishes``
     finishes a publish that stopped anywhere after that, and one that stopped
-    before has changed nothing. The stage is removed at the end.
+    before has changed nothing. A replaced folder is moved into the stage and the
+    new one takes its place, several at a time, and the stage is removed at the
+    end: old rows are away for the time between two renames and not for that of a
+    delete. Where a store renames folders in one step, as HDFS and POSIX do, a
+    reader meets the old or the new month or, between the two, none of it. Object
+    stores that copy on rename need a table format for more than that.
     """
     note = json.dumps({"active": active, "depth": len(partition_by)})
     files, place = _path(spark, f"{stage}/{READY}")
@@ -189,16 +199,32 @@ def _move_partitions(spark: SparkSession, stage: str, active: str, depth: int) -
     base = source.makeQualified(root).toString()
     target.mkdirs(_path(spark, active)[1])
     util, conf = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jsc.hadoopConfiguration()
-    for found in source.globStatus(_path(spark, stage + "/*=*" * depth)[1]):
-        folder = found.getPath()
-        _, to = _path(spark, active + source.makeQualified(folder).toString()[len(base):])
-        target.delete(to, True)
+    same = source.getUri().equals(target.getUri())
+
+    def move(folder) -> None:
+        within = source.makeQualified(folder).toString()[len(base):]
+        _, to = _path(spark, active + within)
+        if not same:  # copied beside its place first, then renamed like the others
+            _, beside = _path(spark, f"{active}/_publish{within}")
+            util.copy(source, folder, target, beside, False, True, conf)
+        if target.exists(to):
+            _, aside = _path(spark, f"{stage if same else active}/_replaced{within}")
+            target.delete(aside, True)
+            target.mkdirs(aside.getParent())
+            if not target.rename(to, aside):
+                raise OSError(f"cannot move {to.toString()} away")
         target.mkdirs(to.getParent())
-        if source.getUri().equals(target.getUri()):
-            if not target.rename(folder, to):
-                raise OSError(f"cannot move {folder.toString()}")
-        else:
-            util.copy(source, folder, target, to, True, conf)
+        if not target.rename(folder if same else beside, to):
+            raise OSError(f"cannot move {folder.toString()}")
+        if not same:
+            source.delete(folder, True)
+
+    folders = [found.getPath() for found in source.globStatus(_path(spark, stage + "/*=*" * depth)[1])]
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        list(pool.map(move, folders))
+    if not same:
+        for left in ("_publish", "_replaced"):
+            target.delete(_path(spark, f"{active}/{left}")[1], True)
     source.delete(root, True)
 
 
@@ -304,9 +330,12 @@ def backfill_moved(spark: SparkSession, root: str, mapping: DataFrame, **options
     """
     isin_root, ticker_root = f"{root}/by_isin", f"{root}/by_ticker"
     unmapped = read_staged(spark, isin_root, DUAL_PARTITIONS["by_isin"])
-    moved, _ = split_mapped(map_isin_to_ticker(unmapped, mapping))
+    # the folder as it is stored: partition values are escaped in its name
+    folder = F.regexp_extract("_metadata.file_path", "^(.*/isin_part=[^/]+)/", 1)
+    moved, _ = split_mapped(map_isin_to_ticker(unmapped.withColumn("_folder", folder), mapping))
     counted = scratch_dir(spark, "backfill")
-    moved.groupBy(F.col("isin_part").alias("isin"), "feed_venue").agg(F.count(F.lit(1)).alias("rows"), F.first("ticker").alias("ticker")).write.parquet(counted)
+    moved.groupBy(F.col("isin_part").alias("isin"), "feed_venue").agg(
+        F.count(F.lit(1)).alias("rows"), F.first("ticker").alias("ticker"), F.first("_folder").alias("folder")).write.parquet(counted)
     counts = spark.read.parquet(counted)
     columns = [c for c in unmapped.columns if c not in ("isin", "isin_part")]
     fresh = moved.select(*columns, "ticker").withColumn("_rank", F.lit(0))
@@ -323,9 +352,15 @@ def backfill_moved(spark: SparkSession, root: str, mapping: DataFrame, **options
     write_partitioned(merged, stage, DUAL_PARTITIONS["by_ticker"], ["bar"], **options)
     publish(spark, stage, ticker_root, DUAL_PARTITIONS["by_ticker"])
     files, _ = _path(spark, isin_root)
-    for r in counts.select("feed_venue", "isin").toLocalIterator():
-        files.delete(_path(spark, f"{isin_root}/feed_venue={r['feed_venue']}/isin_part={r['isin']}")[1], True)
-    return counts
+    jvm = spark._jvm
+
+    def drop(row) -> None:
+        files.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["folder"])), True)
+
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        for _ in pool.map(drop, counts.select("folder").toLocalIterator()):
+            pass
+    return counts.drop("folder")
 
 
 def trades_by_isin_archive(trades: DataFrame, root: str, **options) -> None:

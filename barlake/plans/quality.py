@@ -48,8 +48,8 @@ def verify_copies(spark, sf):
 
 
 @query("rowwise_compare", f"""{PERTURBED}, {COUNTS} SELECT c.stock, CAST(o AS BIGINT) AS original_rows, CAST(m AS BIGINT) AS migrated_rows,
-  CASE WHEN m = 0 THEN 'migrated-empty' WHEN o = 0 THEN 'original-empty' WHEN o <> m THEN 'row-count-mismatch'
-       WHEN NOT same_range THEN 'date-range-mismatch' WHEN d.stock IS NOT NULL THEN 'content-mismatch' ELSE 'ok' END AS verdict
+  CASE WHEN m = 0 THEN 'no_migrated_rows' WHEN o = 0 THEN 'no_original_rows' WHEN o <> m THEN 'row_count_mismatch'
+       WHEN NOT same_range THEN 'date_range_mismatch' WHEN d.stock IS NOT NULL THEN 'content_mismatch' ELSE 'ok' END AS verdict
   FROM c LEFT JOIN d ON c.stock = d.stock""")
 def rowwise_compare(spark, sf):
     return audit.rowwise_compare(views.bars_daily(spark, sf), _copy(spark, sf))
