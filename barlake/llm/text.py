@@ -133,12 +133,14 @@ def distinct_sorted(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
-def release_memory() -> None:
-    """Give freed memory back at the end of a task: the worker lives on beside its executor.
+def release_memory(collect: bool = True) -> None:
+    """Give freed memory back: the worker lives on beside its executor.
 
-    What the tasks before it held is found by the collector only, since their functions refer to one another.
+    At the end of a task also what the tasks before it held, which only the collector finds, since their functions
+    refer to one another; between batches of a task without that.
     """
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # a C library without it
         ctypes.CDLL(None).malloc_trim(0)

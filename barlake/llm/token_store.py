@@ -42,7 +42,7 @@ BLOCK = 1 << 19
 CHECKPOINT = 1 << 18
 PIECES_KEPT = 200_000
 PIECE_BYTES = 1 << 22
-ENCODED_AT_ONCE = 4_000
+ENCODED_AT_ONCE = 1_000
 BATCH_BYTES = 1 << 20
 
 
@@ -224,6 +224,8 @@ def tokenised(path: str, end_id: int):
                          pa.array(np.arange(row, row + n)), packed.cast(pa.binary()), pa.nulls(n, pa.binary())],
                         names=["doc_id", "tie", "row", "ids", "counts"])
                     row += n
+                    del ids, packed, cuts
+                    release_memory(collect=False)
             nothing = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [nothing, nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())],
@@ -362,6 +364,7 @@ def _blocks(freq: np.ndarray, dtype: str):
                 n = len(ids) // width
                 if size and size + n > BLOCK:
                     yield coded(shard, block, docs, parts)
+                    release_memory(collect=False)
                     block, docs, parts, size = block + 1, [], [], 0
                 docs.append(doc)
                 parts.append(ids)
