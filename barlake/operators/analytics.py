@@ -211,7 +211,8 @@ def kama_memory(period: int = 10, slow: int = 30) -> int:
 
 
 def add_kama(b: DataFrame, value: str, name: str, keys: Sequence[str], period: int = 10,
-             fast: int = 2, slow: int = 30) -> DataFrame:
+             fast: int = 2, slow: int = 30, start: Column | None = None) -> DataFrame:
+    """``start``, where it is not null, stands for the value at position ``period - 1``."""
     x = F.col(value).cast("double")
     quick, calm = 2.0 / (fast + 1), 2.0 / (slow + 1)
     window = series.block_window(keys)
@@ -220,9 +221,10 @@ def add_kama(b: DataFrame, value: str, name: str, keys: Sequence[str], period: i
     ratio = F.coalesce(F.try_divide(F.abs(x - F.lag(x, period).over(window)), moves), F.lit(0.0))
     out = out.withColumn("_gain", F.pow(ratio * (quick - calm) + calm, 2))
     seed, before = F.col("rn") == period - 1, F.col("rn") < period - 1
+    first = x if start is None else F.coalesce(start, x)
     a = F.when(seed | before, 0.0).otherwise(1.0 - F.col("_gain"))
-    add = F.when(before, 0.0).when(seed, x).otherwise(F.col("_gain") * x)
-    solved = series.linear_scan(out, keys, a, add, "_k")
+    add = F.when(before, 0.0).when(seed, first).otherwise(F.col("_gain") * x)
+    solved = series.linear_scan(out, keys, a, add, "_k", kama_memory(period, slow))
     return solved.select(*b.columns, F.when(~before, F.col("_k")).alias(name))
 
 

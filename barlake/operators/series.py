@@ -22,9 +22,8 @@ once de-duplicated and checked against the write contract.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,31 +184,31 @@ def decayed_sums(
     return out.select(*columns, *terms)
 
 
-def linear_scan(b: DataFrame, keys: Sequence[str], a: Column, x: Column, name: str) -> DataFrame:
+def linear_scan(b: DataFrame, keys: Sequence[str], a: Column, x: Column, name: str, memory: int) -> DataFrame:
     """Add y_t = a_t * y_(t-1) + x_t where the decay varies by row, to rows in blocks.
 
     Starts from 0 in each block, so the halo has to cover the memory of the
-    slowest decay. One pass over sorted batches; ``a`` and ``x`` must not be null.
+    slowest decay. A row is the map y -> a*y + x, and maps compose to such maps.
+    Each pass joins a row's map with those of the three stretches before it, so
+    stretches grow fourfold until they cover ``memory`` rows: a handful of window
+    passes in one order, no row loop. ``a`` and ``x`` must not be null.
     """
-    group = [*keys, "block"]
-    # The running count pins each block to one task of this stage, in order.
-    placed = b.withColumn("_n", F.count(F.lit(1)).over(block_window(keys)))
-    staged = placed.withColumns({"_a": a.cast("double"), name: x.cast("double")}).sortWithinPartitions(*group, "rn")
-    columns = staged.columns
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y = 0.0
-        for batch in batches:
-            count, decay, add = (batch.column(columns.index(c)).to_pylist() for c in ("_n", "_a", name))
-            values = []
-            for n_t, a_t, x_t in zip(count, decay, add):
-                y = x_t if n_t == 1 else a_t * y + x_t
-                values.append(y)
-            arrays = [batch.column(i) for i in range(len(columns))]
-            arrays[columns.index(name)] = pa.array(values, pa.float64())
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
-
-    return staged.mapInArrow(solve, staged.schema).drop("_n", "_a")
+    window = block_window(keys)
+    columns = b.columns
+    out = b.withColumns({"_a": a.cast("double"), "_x": x.cast("double")})
+    nothing = F.struct(F.lit(1.0).alias("_a"), F.lit(0.0).alias("_x"))
+    reach = 1
+    while reach < memory:
+        out = out.withColumns({
+            f"_map{i}": F.lag(F.struct("_a", "_x"), i * reach).over(window) for i in (1, 2, 3)
+        })
+        decay, added = F.col("_a"), F.col("_x")
+        for i in (1, 2, 3):
+            older = F.coalesce(F.col(f"_map{i}"), nothing)
+            decay, added = decay * older["_a"], added + decay * older["_x"]
+        out = out.select(*columns, decay.alias("_a"), added.alias("_x"))
+        reach *= 4
+    return out.select(*columns, F.col("_x").alias(name))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -39,6 +39,7 @@ def all_queries() -> dict[str, Entry]:
     from barlake.plans import (  # noqa: F401  (importing registers)
         analytics,
         bars,
+        continued,
         coverage,
         lake,
         lifecycle,

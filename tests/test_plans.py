@@ -12,8 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
 # These write tables or drain streams while they are built.
-EAGER = ("streams", "lake", "quality")
-PYTHON = {"kama"}
+EAGER = ("streams", "lake", "quality", "continued")
 LAZY = sorted(n for n, e in all_queries().items() if e.run.__module__.rsplit(".", 1)[-1] not in EAGER)
 
 
@@ -35,7 +34,7 @@ def test_no_cross_join_and_no_row_python(spark, name):
     plan = plan_of(all_queries()[name].run(spark, FOLDER))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "FlatMapGroupsInPandas" not in plan
-    assert ("MapInArrow" in plan) == (name in PYTHON)
+    assert "MapInArrow" not in plan
 
 
 def test_versions_are_told_apart_in_one_pass(spark):
