@@ -1,10 +1,11 @@
-"""Queries that go on from stored states: a series in three batches, each starting where the last one ended."""
+"""Queries that go on from what earlier runs stored: states of means, bitmaps of days."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from barlake.operators import continued as ops
+from barlake.operators import distinct
 from barlake.operators.analytics import BASELINES, FAST_HALFLIFE, FAST_WEIGHT, SLOW_HALFLIFE, halflife_to_span
 from barlake.plans import analytics, views  # noqa: F401  (analytics registers the oracles)
 from barlake.plans.catalog import CATALOG, query, rounded
@@ -63,3 +64,29 @@ def continued_kama(spark, sf):
     out = in_three(
         spark, _bars(spark, sf), lambda b, s: ops.continue_kama(spark, b, s, "volume", "volume_baseline"))
     return rounded(out, 6, "volume_baseline").select("stock", "date", "volume_baseline")
+
+
+def _days(spark, sf):
+    """Bitmaps of all days, counted in two batches whose instruments are numbered as they come."""
+    numbers, stored = scratch_dir(spark, "numbers"), scratch_dir(spark, "days")
+    trades = views.trades(spark, sf).select("trade_time", "isin")
+    odd = F.dayofmonth("trade_time") % 2 == 1
+    for batch in (trades.filter(odd), trades.filter(~odd)):
+        known = distinct.number_values(spark, batch.select("isin"), numbers)
+        distinct.trade_day_bitmaps(batch, known).write.mode("append").parquet(stored)
+    return spark.read.parquet(stored)
+
+
+TRADES = f"WITH {views.TRADES}"
+
+
+@query("distinct_by_month", f"""{TRADES} SELECT CAST(date_trunc('month', trade_time) AS DATE) AS period, count(DISTINCT CAST(trade_time AS DATE)) AS trading_days,
+  count(DISTINCT isin) AS unique_isins, count(DISTINCT strftime(trade_time, '%H:%M')) AS unique_minutes FROM trades GROUP BY 1""")
+def distinct_by_month(spark, sf):
+    return distinct.period_counts(_days(spark, sf), "month")
+
+
+@query("trailing_isins", f"""{TRADES}, t AS (SELECT DISTINCT CAST(trade_time AS DATE) AS trade_date, isin FROM trades), d AS (SELECT DISTINCT trade_date FROM t)
+  SELECT d.trade_date, count(DISTINCT t.isin) AS trailing_isins FROM d JOIN t ON t.trade_date BETWEEN d.trade_date - 6 AND d.trade_date GROUP BY 1""")
+def trailing_isins(spark, sf):
+    return distinct.trailing_isins(_days(spark, sf))

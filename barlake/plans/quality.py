@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barlake.operators import audit, lake
+from barlake.operators import audit, lake, ledger
 from barlake.operators import bars as bar_ops
 from barlake.operators import coverage as coverage_ops
 from barlake.plans import views
-from barlake.plans.catalog import query
+from barlake.plans.catalog import CATALOG, query
 from barlake.schemas import BARS
 from barlake.session import scratch_dir
 from barlake.sources.bars import scan_partitions
@@ -47,6 +47,33 @@ def verify_copies(spark, sf):
     return audit.verify_copies(views.bars_daily(spark, sf), _copy(spark, sf))
 
 
+def _ledgers(spark, sf):
+    """Ledgers of both copies, refreshed before and after one year of the stored copy arrives."""
+    flat, stored, known = (scratch_dir(spark, n) for n in ("flat", "stored", "ledgers"))
+    views.bars_daily(spark, sf).select(*BARS.names).write.parquet(flat)
+    copy = _copy(spark, sf)
+    late = F.year("date") == 1995
+    lake.write_bars_monthly(copy.filter(~late), stored)
+    ledger.refresh_ledger(spark, stored, f"{known}/stored")
+    lake.write_bars_monthly(copy.filter(late), stored)
+    return (ledger.refresh_ledger(spark, folder, f"{known}/{side}") for folder, side in ((flat, "flat"), (stored, "stored")))
+
+
+@query("verify_ledgers", CATALOG["verify_copies"].oracle)
+def verify_ledgers(spark, sf):
+    return ledger.verify_ledgers(*_ledgers(spark, sf))
+
+
+@query("differing_months", f"""{PERTURBED}, a AS (SELECT stock, CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n FROM bars GROUP BY 1, 2),
+  b AS (SELECT stock, CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n FROM copy GROUP BY 1, 2),
+  d AS (SELECT DISTINCT stock, CAST(date_trunc('month', date) AS DATE) AS month FROM (SELECT stock, date, close FROM bars EXCEPT ALL SELECT stock, date, close FROM copy))
+  SELECT stock, month, coalesce(a.n, 0) AS flat_rows, coalesce(b.n, 0) AS stored_rows,
+         CASE WHEN a.n IS DISTINCT FROM b.n THEN 'row_count_mismatch' ELSE 'checksum_mismatch' END AS verdict
+  FROM a FULL JOIN b USING (stock, month) WHERE a.n IS DISTINCT FROM b.n OR (stock, month) IN (SELECT (stock, month) FROM d)""")
+def differing_months(spark, sf):
+    return ledger.differing_months(*_ledgers(spark, sf))
+
+
 @query("rowwise_compare", f"""{PERTURBED}, {COUNTS} SELECT c.stock, CAST(o AS BIGINT) AS original_rows, CAST(m AS BIGINT) AS migrated_rows,
   CASE WHEN m = 0 THEN 'no_migrated_rows' WHEN o = 0 THEN 'no_original_rows' WHEN o <> m THEN 'row_count_mismatch'
        WHEN NOT same_range THEN 'date_range_mismatch' WHEN d.stock IS NOT NULL THEN 'content_mismatch' ELSE 'ok' END AS verdict
