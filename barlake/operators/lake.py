@@ -26,6 +26,12 @@ def write_partitioned(df: DataFrame, root: str, partition_by: Sequence[str], sor
 
     Ranges over the partition and sort columns split a heavy partition over
     several tasks, and keep a light one in few files.
+
+    A lookup by a sort column skips row groups by their least and largest value.
+    ``bloom`` names columns of equality lookups that are not sorted, such as the
+    instrument in trades sorted by time: a row group without the value is then
+    skipped as well (by its dictionary, or by a Bloom filter where the values do
+    not fit in one). ``block_bytes`` sets the size of row groups.
     """
     _write_sorted(df.repartitionByRange(*partition_by, *sort_by), root, partition_by, sort_by, **options)
 
@@ -38,6 +44,7 @@ def _write_sorted(
     compression: str = "gzip",
     rows_per_file: int = 0,
     block_bytes: int | None = None,
+    bloom: Sequence[str] = (),
 ) -> None:
     writer = (
         df.sortWithinPartitions(*partition_by, *sort_by)
@@ -49,6 +56,10 @@ def _write_sorted(
     )
     if block_bytes:
         writer = writer.option("parquet.block.size", block_bytes)
+    if bloom:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for name in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.parquet(root)
 
 

@@ -197,3 +197,17 @@ def retention(spark, sf):
 def retention_keep(spark, sf):
     kept, _ = lake.retention(views.trades(spark, sf), "2024-04-15", 90, "trade_time")
     return kept.select("tick_id", "volume")
+
+
+@query("trade_lookup", f"""WITH {views.TRADES} SELECT isin, trade_time, count(*) AS trades, CAST(sum(volume) AS BIGINT) AS volume
+  FROM trades WHERE isin IN (SELECT max(isin) FROM trades UNION ALL SELECT min(isin) FROM trades) GROUP BY isin, trade_time""")
+def trade_lookup(spark, sf):
+    """All trades are stored with skippable row groups; the lookup names its instruments as literals, so the filter is pushed."""
+    root = scratch_dir(spark, "lookup")
+    trades = views.trades(spark, sf)
+    lake.write_partitioned(
+        lake.with_trade_partitions(trades), root, lake.TRADE_PARTITIONS, ["trade_time"], block_bytes=1 << 20, bloom=["isin"])
+    wanted = list(trades.agg(F.min("isin"), F.max("isin")).first())
+    found = lake.read_staged(spark, root, lake.TRADE_PARTITIONS).filter(F.col("isin").isin(wanted))
+    return found.groupBy("isin", "trade_time").agg(
+        F.count(F.lit(1)).alias("trades"), F.sum("volume").cast("bigint").alias("volume"))

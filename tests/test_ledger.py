@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from barlake.operators import audit, distinct, ledger
-from barlake.operators.lake import upsert_bars, write_bars_monthly
+from barlake.operators.lake import upsert_bars, write_bars_monthly, write_partitioned
 from barlake.sources.bars import scan_partitions
 from tests.test_fixtures import bar_rows
 from tests.test_plans import plan_of
@@ -23,10 +23,7 @@ def test_a_second_check_reads_changed_files_only(spark, folder):
     unread = [r["file"] for r in ledger.unread_files(spark, stored, known).collect()]
     assert unread and all("month=03" in f for f in unread) and not before & set(unread)
     bars = spark.read.schema(flat.schema).option("recursiveFileLookup", "true").parquet(stored)
-    pruned = ledger.file_checksums(bars.filter(F.col("_metadata.file_path").isin(unread)))
-    pruned.collect()
-    metrics = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "file_path" in metrics
+    assert scanned_rows(bars.filter(F.col("_metadata.file_path").isin(unread))) == 4
     after = ledger.refresh_ledger(spark, stored, known)
     assert after.agg(F.sum("rows")).first()[0] == len(ROWS)
     kept = {r["file"] for r in after.collect()}
@@ -83,3 +80,36 @@ def test_periods_come_from_stored_days_alone(spark, folder):
     assert f"{folder}/numbers" not in plan_of(distinct.period_counts(days, "month"))
     trailing = {str(r["trade_date"]): r["trailing_isins"] for r in distinct.trailing_isins(days).collect()}
     assert trailing == {"2024-01-31": 2, "2024-02-01": 2, "2024-02-05": 3, "2024-02-07": 2}
+
+
+def scanned_rows(df):
+    """Rows that the file scan of a collected frame has put out."""
+    df.collect()
+
+    def leaves(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return leaves(node.executedPlan())
+        children = node.children()
+        return [node] if children.isEmpty() else [x for i in range(children.size()) for x in leaves(children.apply(i))]
+
+    return sum(n.metrics().get("numOutputRows").get().value() for n in leaves(df._jdf.queryExecution().executedPlan()))
+
+
+def test_a_lookup_skips_row_groups_without_the_value(spark, folder):
+    rows = spark.range(0, 40_000, 1, 1).select(
+        F.lit("2024").alias("year"), F.col("id").alias("trade_time"), F.sha2(F.col("id").cast("string"), 256).alias("isin"))
+    wanted = rows.filter("trade_time = 31234").first()["isin"]
+    read = {}
+    for name, columns in (("plain", []), ("skipped", ["isin"])):
+        write_partitioned(rows, f"{folder}/{name}", ["year"], ["trade_time"], block_bytes=1 << 17, bloom=columns)
+        found = spark.read.parquet(f"{folder}/{name}").filter(F.col("isin") == wanted)
+        read[name] = scanned_rows(found)
+        assert [r["trade_time"] for r in found.collect()] == [31234]
+    assert read["skipped"] * 5 < read["plain"]
+
+
+def test_a_ticker_scan_of_a_month_skips_row_groups(spark, folder):
+    bars = bar_rows(spark, [(f"T{i:04d}", f"2024-03-{d:02d}", float(i), d) for i in range(400) for d in range(1, 29)])
+    write_bars_monthly(bars, folder, block_bytes=1 << 15)
+    found = scan_partitions(spark, folder).filter(F.col("stock") == "T0123")
+    assert scanned_rows(found) * 5 < bars.count() and found.count() == 28
