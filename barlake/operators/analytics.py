@@ -96,7 +96,7 @@ def add_ewma(b: DataFrame, value: str, spans: dict[str, float], keys: Sequence[s
     for name, span in spans.items():
         terms[f"_num_{name}"] = (_span_decay(span), F.coalesce(x, F.lit(0.0)))
         terms[f"_den_{name}"] = (_span_decay(span), F.when(x.isNotNull(), 1.0).otherwise(0.0))
-    solved = series.decayed_sums(b, keys, terms, stretch=stretch)
+    solved = series.decayed_sums(b, keys, terms, series.row_steps(keys), stretch)
     so_far = series.block_window(keys).rowsBetween(series.Window.unboundedPreceding, 0)
     means = {n: F.when(x.isNotNull(), F.try_divide(F.col(f"_num_{n}"), F.col(f"_den_{n}"))) for n in spans}
     return solved.select(*b.columns, *[F.last(m, ignorenulls=True).over(so_far).alias(n) for n, m in means.items()])

@@ -102,7 +102,7 @@ def continue_ewma(spark: SparkSession, batch: DataFrame, state: DataFrame | None
             terms[f"_num_{n}"] = (a, F.when(is_state, F.col(f"num_{n}") * faded).otherwise(F.coalesce(x, F.lit(0.0))))
             terms[f"_den_{n}"] = (a, F.when(is_state, F.col(f"den_{n}") * faded).otherwise(
                 F.when(x.isNotNull(), 1.0).otherwise(0.0)))
-        solved = series.decayed_sums(b, keys, terms)
+        solved = series.decayed_sums(b, keys, terms, series.row_steps(keys))
         solved = solved.withColumns({
             c: F.when(is_state, F.col(c)).otherwise(F.col(f"_{c}")) for c in sums
         })

@@ -75,25 +75,59 @@ def with_carry(
     return _attach(df, table, keys + ["chunk"])
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: str, value: str | None = None) -> DataFrame:
-    """Add ``chunk``, ``rn``, the zero-based position of the row in its key, and ``place``.
-
-    ``place`` is the position of the last row so far where ``value`` is not
-    null, counted among such rows only; without a ``value`` it is ``rn``.
-    """
+def number_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Add ``chunk`` and ``rn``, the zero-based position of the row in its key."""
     keys = list(keys)
-    counted = F.count(F.lit(1) if value is None else F.col(value))
-    summed = {n: F.coalesce(F.sum(f"_{n}").over(earlier_chunks(keys)), F.lit(0)) for n in ("n", "v")}
     carried = with_carry(
-        with_chunk(df, order), keys, {"_n": F.count(F.lit(1)), "_v": counted},
-        {"_before": summed["n"], "_values": summed["v"]},
+        with_chunk(df, order), keys, {"_n": F.count(F.lit(1))},
+        {"_before": F.coalesce(F.sum("_n").over(earlier_chunks(keys)), F.lit(0))},
     )
+    return carried.withColumn(
+        "rn", F.col("_before") + F.row_number().over(chunk_window(keys, order)) - 1
+    ).drop("_before")
+
+
+def _chunk_blocks(df: DataFrame, keys: Sequence[str], halo: int, block_rows: int, value: str) -> DataFrame:
+    """A row per chunk: its block, the rows and values before it, and how far its block is looked back at.
+
+    ``_end`` and ``_held`` count rows and values up to the end of the block;
+    ``_far`` and ``_far_held`` are the last blocks before which fewer than
+    ``halo`` rows, or values, have come since then.
+    """
+    key = Window.partitionBy(*keys)
+    upto = key.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
+    later = key.orderBy("block").rangeBetween(1, Window.unboundedFollowing)
+    inside = Window.partitionBy(*keys, "block")
+    table = df.groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("_n"), F.count(value).alias("_v"))
+    table = table.withColumns({"_before": F.sum("_n").over(upto) - F.col("_n"), "_values": F.sum("_v").over(upto) - F.col("_v")})
+    table = table.withColumn("block", F.floor(F.col("_before") / block_rows)).withColumns({
+        "_end": F.max(F.col("_before") + F.col("_n")).over(inside),
+        "_held": F.max(F.col("_values") + F.col("_v")).over(inside),
+        "_next": F.min("block").over(later),
+    })
+    reach = {f: F.max("_next").over(key.orderBy(end).rangeBetween(Window.unboundedPreceding, halo - 1))
+             for f, end in (("_far", "_end"), ("_far_held", "_held"))}
+    return table.withColumns(reach).drop("_n", "_v", "_next")
+
+
+def _in_value_blocks(df: DataFrame, keys: Sequence[str], order: str, halo: int, block_rows: int, value: str) -> DataFrame:
+    keys = list(keys)
+    chunked = with_chunk(df, order)
     window = chunk_window(keys, order)
-    so_far = counted.over(window.rowsBetween(Window.unboundedPreceding, 0))
+    placed = _attach(chunked, _chunk_blocks(chunked, keys, halo, block_rows, value), keys + ["chunk"]).withColumns({
+        "rn": F.col("_before") + F.row_number().over(window) - 1,
+        "_place": F.col("_values") + F.count(value).over(window.rowsBetween(Window.unboundedPreceding, 0)) - 1,
+    })
+    last = F.greatest(
+        "block",
+        F.when(F.col("rn") >= F.col("_end") - halo, F.col("_far")),
+        F.when(F.col(value).isNotNull() & (F.col("_place") >= F.col("_held") - halo), F.col("_far_held")),
+    )
     return (
-        carried.withColumn("rn", F.col("_before") + F.row_number().over(window) - 1)
-        .withColumn("place", F.greatest(F.col("_values") + so_far - 1, F.lit(0)))
-        .drop("_before", "_values")
+        placed.withColumn("_own", F.col("block"))
+        .withColumn("block", F.explode(F.sequence("_own", last)))
+        .withColumn("is_halo", F.col("block") > F.col("_own"))
+        .drop("_own", "chunk", "_before", "_values", "_end", "_held", "_far", "_far_held", "_place")
     )
 
 
@@ -107,22 +141,25 @@ def in_blocks(
 ) -> DataFrame:
     """Add ``rn``, ``block`` and ``is_halo``; see ``block_window`` and ``without_blocks``.
 
-    With a ``value``, blocks and halo are counted in rows that have one. A row
-    without it stays in the block of the last value before it, and a halo holds
-    that many values however many rows lie between them, so results do not
-    depend on where a run of nulls meets the end of a block.
+    With a ``value``, a block is one or more whole chunks, and its halo is both the
+    ``halo`` rows and the ``halo`` rows that have a value before it, from however
+    many blocks back. A run of nulls of any length is then cut like any other
+    rows, and a mean that looks at values only finds them behind it. Rows between
+    those values may be absent from the block: distances are differences of ``rn``.
     """
     if halo > block_rows:
         raise ValueError("the halo has to fit in one block")
-    own = F.floor(F.col("place") / block_rows)
-    feeds_next = F.col("place") % block_rows >= block_rows - halo
+    if value is not None:
+        return _in_value_blocks(df, keys, order, halo, block_rows, value)
+    own = F.floor(F.col("rn") / block_rows)
+    feeds_next = F.col("rn") % block_rows >= block_rows - halo
     targets = F.when(feeds_next, F.array(own, own + 1)).otherwise(F.array(own))
     return (
-        number_rows(df, keys, order, value)
+        number_rows(df, keys, order)
         .withColumn("_own", own)
         .withColumn("block", F.explode(targets))
         .withColumn("is_halo", F.col("block") > F.col("_own"))
-        .drop("_own", "chunk", "place")
+        .drop("_own", "chunk")
     )
 
 
@@ -130,6 +167,11 @@ def block_window(keys: Sequence[str]):
     return Window.partitionBy(*keys, "block").orderBy("rn")
 
 
+def row_steps(keys: Sequence[str]) -> Column:
+    """Rows from the row before it in the block to each row; 1 for the first."""
+    return F.coalesce(F.col("rn") - F.lag("rn").over(block_window(keys)), F.lit(1))
+
+
 def last_rows(keys: Sequence[str], n: int):
     """Frame of the current row and the n-1 before it."""
     return block_window(keys).rowsBetween(-(n - 1), 0)
@@ -156,8 +198,9 @@ def decayed_sums(
     The halo has to cover ``memory_rows(a)``. In a stretch of rows, y is a^i
     times the running sum of x_j / a^j, an ordinary window sum. A stretch ends
     before 1 / a^i leaves the range of a double and continues from the value the
-    one before it ends with. A row whose ``step`` is 0 neither decays nor adds.
-    ``x`` must not be null.
+    one before it ends with. ``step``, 1 if not given, is by how many powers of a
+    a row decays what was before it; a row of step 0 must not add. ``x`` must not
+    be null.
     """
     keys = list(keys)
     columns = b.columns
@@ -176,9 +219,11 @@ def decayed_sums(
         out = out.withColumns({
             f"_s_{name}": F.pow(decay, i) * F.sum(F.pow(decay, -i) * terms[name][1]).over(inside) for name in names
         })
+        # Steps above 1 may leave the end of a stretch without a row: its last value decays up to there.
+        at_end = {name: F.col(f"_s_{name}") * F.pow(decay, F.lit(length) - i) for name in names}
         out = out.withColumns({
             name: F.col(f"_s_{name}")
-            + F.pow(decay, i) * F.coalesce(F.max_by(f"_s_{name}", "rn").over(before), F.lit(0.0))
+            + F.pow(decay, i) * F.coalesce(F.max_by(at_end[name], "rn").over(before), F.lit(0.0))
             for name in names
         })
     return out.select(*columns, *terms)

@@ -115,6 +115,33 @@ def test_a_run_of_nulls_longer_than_block_and_halo_changes_nothing(spark, mean):
     assert len(set(small[4:691])) == 1
 
 
+@pytest.fixture(scope="module")
+def gappy(spark):
+    """Day bars of six years; four of them, and many single days, without a volume."""
+    x = [None if 160 <= i < 1500 or i % 7 == 3 else float(i % 11) for i in range(2100)]
+    df = spark.createDataFrame([("A", i, v) for i, v in enumerate(x)], "stock string, i int, volume double").select(
+        "stock", "i", F.timestamp_add("DAY", F.col("i"), F.lit("2019-01-01").cast("timestamp_ntz")).alias("date"), "volume")
+    return df.repartition(3), pd.Series(x, dtype=float)
+
+
+def test_a_run_of_nulls_is_cut_in_blocks(gappy):
+    blocks = series.in_blocks(gappy[0], ["stock"], "date", 73, 100, "volume").groupBy("block").agg(
+        F.count_if(~F.col("is_halo")).alias("own"), F.count_if("is_halo").alias("halo"),
+        F.count_if(F.col("is_halo") & F.col("volume").isNotNull()).alias("values"), F.min("i").alias("first")).orderBy("block").collect()
+    assert sum(r["own"] for r in blocks) == 2100 and max(r["own"] for r in blocks) <= 131
+    assert len(blocks) >= 15
+    assert all(r["values"] >= 73 for r in blocks[1:]) and max(r["halo"] for r in blocks) <= 4 * 73
+
+
+@pytest.mark.parametrize("mean, want", [
+    (ops.ewma, lambda s: s.ewm(span=3).mean()),
+    (ops.tema, lambda s: tema_of(s.dropna(), 3).reindex(s.index).ffill())])
+def test_means_over_a_run_of_nulls_of_many_blocks(gappy, mean, want):
+    df, x = gappy
+    got = [r["m"] for r in mean(df, "volume", {"m": 3.0}, block_rows=160, stretch=40).orderBy("date").collect()]
+    np.testing.assert_allclose(got, want(x), rtol=1e-9, atol=1e-12)
+
+
 def test_two_speed_baseline(bars, frame):
     out = ops.volume_baseline(bars, "ewma")
     fast = per_stock(frame, lambda s: s.ewm(span=9).mean())
