@@ -22,7 +22,11 @@ verified once, by sizes in stretches of the hash range (suffix filter) and then
 by the exact intersection.
 
 Members with very many entries are dealt in salted groups of about ``GROUP``;
-their leaders are found again over all groups. Where joins meet keys with many
+their leaders are found again over all groups. Which they are is told by the
+counter less what a counter holds on average, so a sketch that fills up with the
+corpus still salts the frequent only; an unsalted member has at most twice
+``GROUP`` entries more than a counter's share of all members. The second pairing
+meets entries of near sizes only, by bands of size as part of the key. Where joins meet keys with many
 rows, those keys are broadcast (a thousand at most). Sets are made again from
 the text for entries with a candidate only, which a bitmap of fixed size picks
 out before the shuffle; an exact join follows it.
@@ -35,6 +39,7 @@ table gives an empty result. Only the two named columns are read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,9 +125,16 @@ def needed_overlap(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def size_band(n, percent: int):
+    """Bands of set sizes such that sizes that may link are in the same band or in neighbours."""
+    width = max(math.log(100 / percent), 1e-6) * (1 + 1e-9)
+    return F.floor(F.ln(n) / F.lit(width))
+
+
 def _prefixes(size: int, percent: int, sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = sketch.value
+        share = int(weights.mean())
         for batch in batches:
             names, sizes, prefixes, salts = [], [], [], []
             for members in text_sets(batch.column("text"), size):
@@ -135,7 +147,7 @@ def _prefixes(size: int, percent: int, sketch):
                 names.append(name)
                 sizes.append(n)
                 prefixes.append(members[first].view(np.int64))
-                groups = weight[first] // GROUP
+                groups = np.maximum(weight[first] - share, 0) // GROUP
                 salts.append(np.where(groups > 1, 1 + (name & 0x7FFFFFFF) % np.maximum(1, groups), 0).astype(np.int32))
             bounds = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))), pa.int32())
             flat = [np.concatenate(x) if x else np.empty(0, k) for x, k in ((prefixes, np.int64), (salts, np.int32))]
@@ -271,8 +283,10 @@ class _Join:
         mixed = stored(mixed.filter("low <> high").select("h", "members", "lead"), "mixed")
         rows = join_with_heavy_keys(known, mixed, ["h"], "members", known.count())
         # A large component is mostly that of the foremost entry: only rows outside it look for partners.
-        x, y = rows.filter("root <> lead").alias("x"), rows.alias("y")
-        return (x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.root") != F.col("y.root"))
+        band = size_band(F.col("n"), self.percent)
+        x = rows.filter("root <> lead").withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("x")
+        y = rows.withColumn("band", band).alias("y")
+        return (x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root"))
                        & ((F.col("y.root") == F.col("y.lead")) | (F.col("x.ent") < F.col("y.ent"))))
                 .filter(self.apart("x", "y")).select(*self.pair("x", "y")).distinct())
 

@@ -200,6 +200,39 @@ def test_groups_may_be_salted(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_second_pairing_alone_finds_all_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEADERS", 0)
+    rows = near_copies(5, groups=3, copies=9)
+    for k, n in enumerate((1, 4, 5, 8, 20, 40, 400)):  # sets of n and of 5n/4 members, one inside the other: at the limit, or beyond it
+        long = [f"b{k}x{i}" for i in range(n * 5 // 4 + 4)]
+        rows += [(1000 + 3 * k + i, " ".join(long[:len(long) - cut])) for i, cut in enumerate((0, n * 5 // 4 - n, n * 5 // 4 - n + 1))]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], DOCS).repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_documents(df).collect()}
+    assert got == brute_components(rows)
+
+
+def test_sizes_that_link_are_in_neighbouring_bands(spark):
+    for percent in (50, 80, 90, 100):
+        n = spark.range(1, 20_001).select(F.col("id").alias("n"), F.floor(F.col("id") * 100 / percent).alias("most"))
+        far = jaccard.size_band(F.col("most"), percent) - jaccard.size_band(F.col("n"), percent)
+        assert n.filter(far > 1).count() == 0
+
+
+def test_a_full_sketch_salts_the_frequent_only(monkeypatch):
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", 4)
+    monkeypatch.setattr(jaccard, "GROUP", 10)
+    text = pa.array([" ".join(f"v{i}" for i in range(60))])
+    even = jaccard._prefixes(5, 80, type("Held", (), {"value": np.full(16, 5_000, np.int32)})())
+    hot = np.full(16, 5_000, np.int32)
+    hot[int(jaccard.counter_of(next(jaccard.text_sets(text, 5)))[0])] += 900
+    spiked = jaccard._prefixes(5, 80, type("Held", (), {"value": hot})())
+    salts = [pa.concat_arrays([b.column("salts").flatten() for b in run(iter([pa.RecordBatch.from_arrays([text], names=["text"])]))])
+             .to_pylist() for run in (even, spiked)]
+    assert not any(salts[0])
+    frequent = np.argsort(hot[jaccard.counter_of(next(jaccard.text_sets(text, 5)))], kind="stable")[: len(salts[1])]
+    assert [s > 0 for s in salts[1]] == (hot[jaccard.counter_of(next(jaccard.text_sets(text, 5)))][frequent] > 5_000).tolist()
+
+
 def test_similarity_edges(spark):
     long = " ".join(f"v{i}" for i in range(30_000))
     rows = [(7, "a b", "x", "s"), (3, "A  b", "x", "s"), (4, "", "x", "s"), (5, None, "x", "s"), (6, "  ", "x", "s"), (8, long, "x", "s"),
