@@ -247,8 +247,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """A toxicity score of every document; labels, lang, source and id are not looked at."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learning = docs.filter(langid.hash_class(F.col("doc_id")) != 2).join(
-        labels.filter(langid.hash_class(F.col("doc_id")) != 2), "doc_id")
+    learned = langid.hash_class(F.col("doc_id")) != 2
+    learning = toxicity.learning_rows(docs.filter(learned), labels.filter(learned))
     model = toxicity.fit(learning)
     held_out = F.coalesce(langid.hash_class(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out, "score", "predicted")

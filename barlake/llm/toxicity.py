@@ -251,12 +251,24 @@ def mined_words(texts: list[str], labels: np.ndarray) -> list[str]:
                   if len(kin) >= least and len(kin) / n > MINED_RATIO * (clean.get(w, 0) + 0.5) / m)
 
 
+def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labelled documents for ``fit``, each with its size, which is measured before the join.
+
+    So the count of all learning rows carries ids and sizes to the join and no text; texts of drawn rows alone go there.
+    """
+    text = F.col("text").cast("string")
+    sized = docs.select("doc_id", text.alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("text_bytes"))
+    return sized.join(labels.select("doc_id", "toxic"), "doc_id")
+
+
 def fit(learning: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from ``learning`` (doc_id, text, toxic), rows with a null label left out."""
+    """Learn from ``learning`` (doc_id, text, toxic, and text_bytes if known), rows with a null label left out."""
+    size = F.col("text_bytes") if "text_bytes" in learning.columns else F.octet_length(F.col("text").cast("string"))
     rows = learning.filter("toxic is not null").select(
-        "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    total, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    rows = rows.filter(F.octet_length("text") <= SAMPLE_BYTES // 8)
+        "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"),
+        F.coalesce(size, F.lit(0)).alias("size"))
+    total, size = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    rows = rows.filter(F.col("size") <= SAMPLE_BYTES // 8)
     share = min(0.9 * sample / max(total, 1), 0.9 * SAMPLE_BYTES / max(size, 1))
     keep = int(2**32 * min(1.0, share))
     drawn = (rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) < keep) if share < 0.9 else rows).limit(sample)
