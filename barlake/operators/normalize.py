@@ -106,8 +106,9 @@ def recover_sequence(df: DataFrame, file: str = "file_path", row_index: str = "r
     verdict = df.groupBy(file).agg(
         (F.bool_and(whole) & ~F.bool_and(F.coalesce(recent, F.lit(False)))).alias("sequence_recovered")
     )
+    # one small row per file goes to every task; a shuffle by file would put a large file in one
     return (
-        df.join(verdict, file)
+        df.join(F.broadcast(verdict), file)
         .withColumn(
             "sequence",
             F.when(F.col("sequence_recovered"), F.col("index").try_cast("bigint")),
