@@ -9,12 +9,12 @@ close when its next rows, or a closing mark, arrive.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.names import parse_trade_filename
 from barlake.operators.bars import INSTRUMENT, trade_order
@@ -134,77 +134,52 @@ def log_counts(spark: SparkSession, log_root: str, downloaded_at: str):
 # ---------------------------------------------------------------- cool-downs
 
 
-STATUS = "ticker string, interval string, at timestamp, status string"
-DAY_MS = 24 * 60 * 60 * 1000
-
-
-class CoolDown(StatefulProcessor):
-    """The status of one ticker and interval: active, not_found, and eligible again when the cool-down is over.
-
-    State is the latest outcome. Later outcomes than it change the status in their
-    order and set the timer anew; of outcomes at one time a found one counts. The
-    changes do not depend on how outcomes in order are cut into batches.
-    """
-
-    def __init__(self, days: int = COOLDOWN_DAYS):
-        self.wait = days * DAY_MS
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "at long, found boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
-
-        stored = self.last.get()
-        last = (stored[0], bool(stored[1])) if stored is not None else None
-        arrived = sorted({(at, found) for frame in rows for at, found in zip(frame["at_ms"].tolist(), frame["found"].tolist())})
-        newer = [o for o in dict(arrived).items() if last is None or o > last]  # of one time the found outcome is the last
-        if not newer:
-            return
-        set_before = list(self.handle.listTimers())
-        told = not set_before  # the timer has fired
-        for at, found in newer:
-            if last is not None and not last[1] and last[0] + self.wait <= at and not told:  # over before the watermark could tell
-                yield self.row(pd, key, last[0] + self.wait, "eligible")
-            yield self.row(pd, key, at, "active" if found else "not_found")
-            last, told = (at, found), False
-        for timer in set_before:
-            self.handle.deleteTimer(timer)
-        if not last[1]:  # a timer fires when the watermark is beyond it; the cool-down is over when it is reached
-            self.handle.registerTimer(last[0] + self.wait - 1)
-        self.last.update(last)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        import pandas as pd
-
-        yield self.row(pd, key, self.last.get()[0] + self.wait, "eligible")
-
-    def row(self, pd, key, at: int, status: str):
-        return pd.DataFrame({"ticker": [key[0]], "interval": [key[1]], "at": [pd.Timestamp(at, unit="ms")], "status": [status]})
-
-
 def status_changes(outcomes: DataFrame, lateness: str = "0 seconds", days: int = COOLDOWN_DAYS) -> DataFrame:
-    """Changes of status from outcomes (ticker, interval, found, at): run it within ``timers``."""
+    """Changes of status from outcomes (ticker, interval, found, at): active, not_found, and eligible again after the cool-down.
+
+    An outcome is told in the batch that brings it, and once however often it is
+    delivered within the lateness. A cool-down is a session: an outcome that was
+    not found holds it open for ``days`` less a microsecond, a found one for no
+    longer than its moment, so outcomes within a cool-down are merged with it and
+    one at its very end is not. Where the last outcome of a closed session was not
+    found, the ticker is eligible from the end of the wait. State is the outcomes
+    within the lateness and one row per open session.
+    """
     timed = outcomes.select("ticker", "interval", F.coalesce("found", F.lit(False)).alias("found"),
                             F.col("at").cast("timestamp").alias("event_time")).withWatermark("event_time", lateness)
-    timed = timed.withColumn("at_ms", F.unix_millis("event_time"))
-    return timed.groupBy("ticker", "interval").transformWithStateInPandas(CoolDown(days), STATUS, "append", "eventtime")
+    told = timed.dropDuplicates(["ticker", "interval", "event_time", "found"]).select(
+        "ticker", "interval", F.col("event_time").alias("at"), F.when(F.col("found"), "active").otherwise("not_found").alias("status"))
+    wait = days * 24 * 60 * 60
+    held = F.when(F.col("found"), "1 microsecond").otherwise(f"{wait - 1}.999999 seconds")
+    ended = timed.groupBy("ticker", "interval", F.session_window("event_time", held)).agg(
+        F.max(F.struct("event_time", "found")).alias("last"))  # of one time a found outcome is the last
+    over = F.timestamp_micros(F.unix_micros("last.event_time") + wait * 1_000_000)
+    return told.unionByName(ended.filter(~F.col("last.found")).select("ticker", "interval", over.alias("at"), F.lit("eligible").alias("status")))
 
 
 def current_status(changes: DataFrame) -> DataFrame:
-    """The last change of each ticker and interval; of one time, the one that ends a cool-down comes first."""
-    last = F.max_by(F.struct("at", "status"), F.struct("at", F.col("status") != "eligible"))
+    """The last change of each ticker and interval; of one time, the one that ends a cool-down comes first, a found outcome last."""
+    last = F.max_by(F.struct("at", "status"), F.struct("at", F.col("status") != "eligible", F.col("status") == "active"))
     return changes.groupBy("ticker", "interval").agg(last.alias("last")).select("ticker", "interval", "last.at", "last.status")
 
 
 @contextmanager
 def timers(spark: SparkSession):
-    """Timers need the state store that is kept on disk; the setting counts when a query starts."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """Settings of cool-downs, which count when a query starts and are put back.
+
+    The state store is the one on disk, so open cool-downs need not fit in memory. Each
+    of its partitions is written in every batch however little it holds, so there
+    are no more of them than two for a core.
+    """
+    partitions = "spark.sql.shuffle.partitions"
+    settings = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+                partitions: str(min(int(spark.conf.get(partitions)), 2 * spark.sparkContext.defaultParallelism))}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -129,3 +129,27 @@ def test_cool_downs_equal_the_batch_registry(spark, tmp_path):
         own = [(n, f) for n, a, b, f in rows if (a, b) == (t, i)]
         for (n, f), later in zip(own, [*own[1:], (10**6, None)]):
             assert ((t, i, day(n + 30)) in ended) == (not f and n + 30 <= min(later[0], 100))
+
+
+def test_cool_downs_run_without_a_call_of_python_for_each_ticker(spark, tmp_path):
+    """Repeated and untimely outcomes, one at the very end of a cool-down, and a found one in the same moment."""
+    rows = [("A", "1d", False, "2025-01-01", 0), ("A", "1d", False, "2025-01-31", 0),  # the wait is over as the next miss comes
+            ("B", "1d", False, "2025-01-10", 0), ("B", "1d", False, "2025-01-05", 1), ("B", "1d", False, "2025-01-10", 1),
+            ("C", "1d", False, "2025-01-03", 0), ("C", "1d", True, "2025-01-03", 1),
+            ("D", "1d", False, "2025-01-02", 0), ("D", "1d", True, "2025-01-20", 1),
+            (None, None, None, "2025-05-01", 2)]
+    schema = "ticker string, interval string, found boolean, at string, part int"
+    outcomes = spark.createDataFrame(rows, schema).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    land(outcomes, str(tmp_path / "in"), "false")
+    with et.timers(spark):
+        stream = et.status_changes(stream_of(spark, outcomes, str(tmp_path / "in")), lateness="60 days")
+        changes, queries = drained(stream, tmp_path, "changes", lambda p: land(outcomes, str(tmp_path / "in"), f"part = {p}"), range(3))
+        plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+    assert not any(et.late_count(q) for q in queries)
+    told = sorted((r["ticker"], str(r["at"])[:10], r["status"]) for r in changes.filter("ticker is not null").collect())
+    assert told == [("A", "2025-01-01", "not_found"), ("A", "2025-01-31", "eligible"), ("A", "2025-01-31", "not_found"), ("A", "2025-03-02", "eligible"),
+                    ("B", "2025-01-05", "not_found"), ("B", "2025-01-10", "not_found"), ("B", "2025-02-09", "eligible"),
+                    ("C", "2025-01-03", "active"), ("C", "2025-01-03", "not_found"), ("D", "2025-01-02", "not_found"), ("D", "2025-01-20", "active")]
+    last = {r["ticker"]: r["status"] for r in et.current_status(changes.filter("ticker is not null")).collect()}
+    assert last == {"A": "eligible", "B": "eligible", "C": "active", "D": "active"}
