@@ -254,3 +254,15 @@ def test_split_adjust_counts_later_splits_only(spark):
                                    "stock string, date string, ratio double").withColumn("date", F.col("date").cast("timestamp_ntz"))
     got = [round(r[0], 6) for r in ops.split_adjust(bars, splits).orderBy("stock", "date").select("split_factor").collect()]
     assert got == [8.0, 4.0, 4.0, 1.0, 1.0]
+
+
+def test_scored_returns_equal_the_two_passes_and_read_the_bars_once_less(spark):
+    rows = [(s, f"20{y:02d}-{m:02d}-{d:02d}", float(1 + (y * 31 + m * 7 + d * 13) % 17) if d != 9 else None, (d * m * 37) % 101)
+            for s in "AB" for y in (23, 24) for m in (1, 2, 5, 12) for d in range(1, 28)]
+    bars = spark.createDataFrame(rows, "stock string, date string, close double, volume long").withColumn("date", F.col("date").cast("timestamp_ntz"))
+    found = ops.scored_returns(bars, block_rows=30)
+    two = ops.zscore(ops.log_returns(bars), "volume", block_rows=30)
+    as_text = lambda df: sorted(str(r) for r in df.select(*found.columns).collect())
+    assert as_text(found) == as_text(two) and len(as_text(found)) == len(rows)
+    scans = [df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") for df in (found, two)]
+    assert scans[0] < scans[1]
