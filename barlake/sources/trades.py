@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 import gzip
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,25 +42,47 @@ def read_trade_lines(spark: SparkSession, *paths: str, skip_unreadable: bool = F
 UNREADABLE = "unreadable: "
 
 
+PIECE = 1 << 20
+
+
+def _pieces(content: pa.Buffer, packed: bool) -> Iterator[bytes]:
+    with pa.BufferReader(content) as raw, (gzip.GzipFile(fileobj=raw) if packed else raw) as data:
+        while piece := data.read(PIECE):
+            yield piece
+
+
+def _lines(content: pa.Buffer, packed: bool) -> Iterator[list[str]]:
+    """``splitlines`` of the whole text, some lines at a time."""
+    decoder, rest = codecs.getincrementaldecoder("utf-8")(errors="replace"), ""
+    for piece in _pieces(content, packed):
+        # the last line may go on, or its end may, in the next piece
+        *lines, rest = (rest + decoder.decode(piece)).splitlines(keepends=True) or [""]
+        yield [line.splitlines()[0] for line in lines]
+    yield (rest + decoder.decode(b"", final=True)).splitlines()
+
+
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in pieces: a packed file is read to its end once before any of its lines goes out."""
     for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            name, data = path.as_py().rsplit("/", 1)[-1], content.as_py()
+        for path, value in zip(batch.column("path"), batch.column("content")):
+            name, content = path.as_py().rsplit("/", 1)[-1], value.as_buffer()
+            packed = name.endswith(".gz") or content[:2].to_pybytes() == b"\x1f\x8b"
+            found: Iterable[list[str]] = _lines(content, packed)
             try:
-                if name.endswith(".gz") or data[:2] == b"\x1f\x8b":
-                    data = gzip.decompress(data)
-                lines = data.decode("utf-8", errors="replace").splitlines()
+                for _ in _pieces(content, packed) if packed else ():
+                    pass
             except (OSError, EOFError, zlib.error) as error:
-                lines = [f"{UNREADABLE}{error}"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lines, pa.string()), pa.array([name] * len(lines), pa.string())], names=["value", FILE])
+                found = [[f"{UNREADABLE}{error}"]]
+            for lines in found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lines, pa.string()), pa.array([name] * len(lines), pa.string())], names=["value", FILE])
 
 
 def whole_lines(files: DataFrame) -> DataFrame:
     """Lines of files read as a whole (``binaryFile``), each file or nothing of it.
 
     The text reader hands out the lines before the damage and cannot take them
-    back. A trade file covers one venue and minute, so it fits in a task.
+    back. A task holds a file as it is stored, packed, and a piece of its lines.
     """
     return files.select("path", "content").mapInArrow(_unpacked, f"value string, {FILE} string")
 
