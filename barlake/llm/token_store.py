@@ -40,10 +40,11 @@ LOW = 1 << 31
 LANES = 2048
 BLOCK = 1 << 19
 CHECKPOINT = 1 << 18
-PIECES_KEPT = 200_000
-PIECE_BYTES = 1 << 22
+PIECES_KEPT = 400_000
+PIECE_BYTES = 1 << 23
 ENCODED_AT_ONCE = 1_000
-BATCH_BYTES = 1 << 20
+JOINED = 500
+BATCH_BYTES = 1 << 22
 
 
 # ---------------------------------------------------------------- tokenising
@@ -57,7 +58,9 @@ class PieceEncoder:
     end between two characters. Full stops and commas after a letter are split
     off by it too. Texts for which this is not so (runs of white
     space, added tokens, another kind of tokenizer) are encoded as a whole.
-    Pieces are told apart and looked up in Arrow, so only new ones reach Python.
+    Pieces are told apart and looked up in Arrow. New ones are encoded together,
+    as one text of them: each begins with the only id in it that stands for a
+    blank or a line end, which tells the ids of one from those of the next.
     """
 
     # White space beside a blank or a line end, or at the ends of the text.
@@ -73,11 +76,16 @@ class PieceEncoder:
                          and split.get("type") == "ByteLevel" and split.get("use_regex", False)
                          and not split.get("add_prefix_space", True) and not rules.get("truncation"))
         self.added = [t["content"] for t in rules.get("added_tokens", [])]
-        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2") if len(vocabulary) <= 1 << 16 else np.dtype("<u4")
+        self.opens = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        # a blank and a line end, as byte-level vocabularies write them
+        self.opens[[at for token, at in vocabulary.items() if token[:1] in ("\u0120", "\u010a")]] = True
+        self.stop, self.pause = (x[0] for x in self.whole([".", ","])) if self.by_piece else (0, 0)
         self.forget()
 
     def forget(self) -> None:
-        """Known pieces (without the blank before them; a line end stays) and where the ids of each are in ``flat``."""
+        """Known pieces (without the blank before them and the mark after them; a line end stays), their ids in ``flat``."""
         self.known = pa.array([], pa.large_string())
         self.flat, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
         self.used = np.empty(0, np.int64)
@@ -101,45 +109,41 @@ class PieceEncoder:
         self.sizes, self.used = self.sizes[places], self.used[places] // 2
         self.starts = np.cumsum(self.sizes) - self.sizes
 
+    def together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of distinct pieces in order, how many each has), of which no text is made longer than ``JOINED``."""
+        spaced = [c if c[:1] == "\n" else " " + c for c in pieces]
+        ids, sizes = [np.empty(0, self.dtype)], [np.empty(0, np.int64)]
+        for at in range(0, len(spaced), JOINED):
+            some = spaced[at : at + JOINED]
+            found = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, np.int64)
+            first = np.flatnonzero(self.opens[found])
+            if len(first) != len(some) or (len(first) and first[0]):  # a tokenizer that writes its vocabulary in another way
+                each = self.whole(some)
+                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+                found = np.array([i for x in each for i in x], np.int64)
+            else:
+                sizes.append(np.diff(first, append=len(found)))
+            ids.append(found.astype(self.dtype))
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def find(self, pieces: pa.Array) -> np.ndarray:
-        """Places of distinct pieces among the known ones, those met for the first time encoded and added."""
-        place = pc.index_in(pieces, value_set=self.known)
+        """Places of pieces among the known ones, those met for the first time encoded and added."""
+        cores = pieces.dictionary_encode()
+        place = pc.index_in(cores.dictionary, value_set=self.known)
         fresh = pc.is_null(place)
-        new = pieces.filter(fresh)
-        if not len(new):
-            return place.to_numpy()
-        marked = pc.match_substring_regex(new, r"\p{L}[.,]$")
-        core = pc.if_else(marked, pc.utf8_slice_codeunits(new, 0, -1), new)
-        cores = core.dictionary_encode()
-        at = pc.index_in(cores.dictionary, value_set=self.known)
-        unknown = pc.is_null(at).to_numpy(zero_copy_only=False)
-        ids = self.whole([c if c[:1] == "\n" else " " + c for c in cores.dictionary.filter(pa.array(unknown)).to_pylist()])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), self.dtype, int(sizes.sum()))])
-        core_start, core_size = np.empty(len(unknown), np.int64), np.empty(len(unknown), np.int64)
-        core_start[unknown], core_size[unknown] = len(self.flat) + np.cumsum(sizes) - sizes, sizes
-        old = at.drop_null().to_numpy()
-        core_start[~unknown], core_size[~unknown] = self.starts[old], self.sizes[old]
-        # ids of the core, and one more for the mark that was split off
-        which, cut = cores.indices.to_numpy(), marked.to_numpy(zero_copy_only=False)
-        size = core_size[which] + cut
-        added = np.empty(int(size.sum()), self.dtype)
-        ends = np.cumsum(size)
-        inner = np.ones(len(added), bool)
-        inner[ends[cut] - 1] = False
-        added[inner] = flat[spans(core_start[which], core_size[which])]
-        comma = pc.ends_with(new, ",").to_numpy(zero_copy_only=False)
-        stop, pause = (x[0] for x in self.whole([".", ","]))
-        added[ends[cut] - 1] = np.where(comma[cut], pause, stop)
-        base = len(self.known)
-        self.known = pa.concat_arrays([self.known, new])
-        self.starts = np.concatenate([self.starts, len(self.flat) + ends - size])
-        self.sizes = np.concatenate([self.sizes, size])
-        self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
-        self.flat = np.concatenate([self.flat, added])
-        found = place.fill_null(0).to_numpy().copy()
-        found[fresh.to_numpy(zero_copy_only=False)] = base + np.arange(len(new))
-        return found
+        new = cores.dictionary.filter(fresh)
+        if len(new):
+            flat, sizes = self.together(new.to_pylist())
+            found = place.fill_null(0).to_numpy().copy()
+            found[fresh.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, new])
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+            self.flat = np.concatenate([self.flat, flat])
+        else:
+            found = place.to_numpy()
+        return found[cores.indices.to_numpy()]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, how many each has)."""
@@ -156,24 +160,44 @@ class PieceEncoder:
             out[at] = np.array(ids, self.dtype)
         chosen = np.flatnonzero(safe)
         if len(chosen):
-            lists = pc.split_pattern(pc.replace_substring(texts.take(pa.array(chosen)), "\n", " \n"), " ")
-            bounds = lists.offsets.to_numpy()
-            coded = lists.flatten().dictionary_encode()
-            place = self.find(coded.dictionary)[coded.indices.to_numpy()]
-            self.used += np.bincount(place, minlength=len(self.used))
-            starts, sizes = self.starts[place], self.sizes[place]
-            # the first piece of a text has no blank before it
-            heads = self.whole(lists.flatten().take(pa.array(bounds[:-1])).to_pylist())
-            head_sizes = np.array([len(h) for h in heads], np.int64)
-            sizes[bounds[:-1]] = head_sizes
-            starts[bounds[:-1]] = len(self.flat) + np.cumsum(head_sizes) - head_sizes
-            flat = np.concatenate([self.flat, np.array([i for h in heads for i in h], self.dtype)])
-            ids = flat[spans(starts, sizes)]
-            ends = np.concatenate(([0], np.cumsum(sizes)))[bounds]
+            ids, ends = self.pieced(texts if len(chosen) == len(texts) else texts.take(pa.array(chosen)))
+            self.keep()
+            if len(chosen) == len(texts):
+                return ids, np.diff(ends)
             for k, at in enumerate(chosen):
                 out[at] = ids[ends[k] : ends[k + 1]]
-            self.keep()
-        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+        return np.concatenate([np.empty(0, self.dtype), *out]), np.array([len(x) for x in out], np.int64)
+
+    def pieced(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of texts that may be cut, where those of each begin, and their end)."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        bounds = lists.offsets.to_numpy()
+        bounds, pieces = bounds - bounds[0], lists.flatten()
+        # the first piece of a text has no blank before it
+        heads = self.whole(pieces.take(pa.array(bounds[:-1])).to_pylist())
+        head_sizes = np.array([len(h) for h in heads], np.int64)
+        coded = pieces.dictionary_encode()
+        distinct, which = coded.dictionary, coded.indices.to_numpy()
+        del lists, pieces, coded
+        # only an empty head is an empty piece
+        distinct = pc.if_else(pc.equal(distinct, ""), "a", distinct)
+        marked = pc.match_substring_regex(distinct, r"\p{L}[.,]$")
+        place = self.find(pc.if_else(marked, pc.utf8_slice_codeunits(distinct, 0, -1), distinct))
+        mark = np.where(pc.ends_with(distinct, ",").to_numpy(zero_copy_only=False), self.pause, self.stop)
+        cut = marked.to_numpy(zero_copy_only=False)
+        uses = np.bincount(which, minlength=len(place))
+        np.add.at(self.used, place, uses)
+        starts, sizes = self.starts[place][which], (self.sizes[place] + cut)[which]
+        sizes[bounds[:-1]] = head_sizes
+        starts[bounds[:-1]] = len(self.flat) + np.cumsum(head_sizes) - head_sizes
+        # one more at the end, since a piece with a mark takes an id beyond its own
+        flat = np.concatenate([self.flat, np.array([i for h in heads for i in h] + [0], self.dtype)])
+        ids = flat[spans(starts, sizes)]
+        last = np.cumsum(sizes)
+        ended = cut[which]
+        ended[bounds[:-1]] = False
+        ids[last[ended] - 1] = mark[which[ended]]
+        return ids, np.concatenate(([0], last))[bounds]
 
 
 def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -200,6 +200,23 @@ def test_pieces_give_the_ids_of_the_whole(monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(ends - sizes, ends)] == want
 
 
+def test_new_pieces_are_encoded_together():
+    enc = token_store.PieceEncoder(tokenizer_path())
+    plain, given = enc.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    enc.tokenizer = Counted()
+    words = [f"w{n:x}é{'.,x'[n % 3]}" for n in range(400)]
+    text = " ".join(words) + "\n" + "\n".join(words[::7])
+    ids, sizes = enc.encode(pa.array([text, text]))
+    assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids * 2 and sizes.tolist() == [len(ids) // 2] * 2
+    assert len(given) < 10  # one head a text, and the rest in one
+
+
 @pytest.mark.parametrize("n", [0, 1, token_store.LANES, token_store.LANES + 1, token_store.CHECKPOINT + 77])
 def test_blocks_round_trip_from_every_checkpoint(n):
     ids = (np.random.default_rng(n).zipf(1.4, n) % 700).astype(np.uint32)
