@@ -149,14 +149,14 @@ def stream_log(spark, sf):
 
 @query("late_data", HOURLY)
 def late_data(spark, sf):
-    # trades of small volume land in a second file, long after the watermark has passed most of them
-    trades, landing = views.trades(spark, sf), scratch_dir(spark, "landing")
-    for part in ("volume >= 10", "volume < 10"):
-        trades.filter(part).write.mode("append").parquet(landing)
-    arriving = spark.readStream.schema(trades.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    # trades of small volume land in a second delivery, long after the watermark has passed most of them; a delivery is
+    # one batch, however many files the tasks write it in, since each batch reads the stored days that it touches
+    trades, landing, checkpoint = views.trades(spark, sf), scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
     stored, root, late = (scratch_dir(spark, n) for n in ("late-trades", "late-bars", "late-rows"))
     sink = streams.store_with_late(spark, stored, root, late, "1h", lateness="2 hours")
-    streams.run_available(arriving, scratch_dir(spark, "checkpoint"), sink)
+    for part in ("volume >= 10", "volume < 10"):
+        trades.filter(part).write.mode("append").parquet(landing)
+        streams.run_available(spark.readStream.schema(trades.schema).parquet(landing), checkpoint, sink)
     if not streams.late_rows(spark, late).count():
         raise ValueError("no trade came late")
     bars = read_staged(spark, root, streams.BAR_PARTITIONS).drop(*streams.BAR_PARTITIONS)

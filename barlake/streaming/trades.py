@@ -235,6 +235,10 @@ def correct_late_bars(spark: SparkSession, trades: DataFrame, late: DataFrame, b
         same = same & (F.col(k) == F.col(f"_{k}"))
     fresh = ohlcv_from_trades(trades.join(touched, same, "left_semi"), interval, keys)
     fresh = fresh.withColumns({"year": partition_year("bar"), "month": partition_month("bar")})
+    # made once: the stored bars are told from them, and they are written
+    made = scratch_dir(spark, "late-bars")
+    fresh.write.parquet(made)
+    fresh = spark.read.schema(fresh.schema).parquet(made)
     try:
         stored = spark.read.schema(fresh.schema).option("basePath", bars_root).parquet(bars_root)
     except AnalysisException as error:
