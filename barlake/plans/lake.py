@@ -153,8 +153,8 @@ def write_ohlcv_dual(spark, sf):
     bars = ohlcv_from_trades(views.trades(spark, sf), "1d", ["feed_venue", "isin"])
     lake.write_ohlcv_dual(map_isin_to_ticker(bars, views.mapping_new(spark, sf)), root)
     parts = ["feed_venue", "ticker", "isin_part", "year", "month"]
-    mapped = lake.read_staged(spark, f"{root}/by_ticker", parts).withColumn("instrument", F.col("ticker"))
-    unmapped = lake.read_staged(spark, f"{root}/by_isin", parts).withColumn("instrument", F.col("isin"))
+    mapped = lake.read_staged(spark, f"{root}/by_ticker", parts, many_folders=True).withColumn("instrument", F.col("ticker"))
+    unmapped = lake.read_staged(spark, f"{root}/by_isin", parts, many_folders=True).withColumn("instrument", F.col("isin"))
     columns = ["feed_venue", "instrument", "mapped", "bar", "volume"]
     return mapped.withColumn("mapped", F.lit(True)).select(*columns).unionByName(
         unmapped.withColumn("mapped", F.lit(False)).select(*columns)
@@ -165,7 +165,7 @@ def write_ohlcv_dual(spark, sf):
 def trades_by_isin_archive(spark, sf):
     root = scratch_dir(spark, "isins")
     lake.trades_by_isin_archive(views.trades(spark, sf), root)
-    stored = lake.read_staged(spark, root, ["isin", "year", "month"])
+    stored = lake.read_staged(spark, root, ["isin", "year", "month"], many_folders=True)
     return stored.groupBy("isin", "year", "month").agg(F.count(F.lit(1)).alias("trades"), F.sum("volume").alias("volume"))
 
 
