@@ -66,6 +66,17 @@ def test_tickers_are_the_names_of_folders(spark, folder):
     assert discover_partitions(spark, f"{folder}/none").count() == 0
 
 
+def test_moved_folders_are_deleted_in_tasks(spark, folder):
+    """Each was a call of the driver before."""
+    names = ["x%231", "a b", "50%25", "plain"]
+    for name in names:
+        os.makedirs(f"{folder}/table/isin_part={name}/year=2024")
+    uris = [spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/table/isin_part={n}").toUri().toString() for n in names[:3]]
+    gone = spark.createDataFrame([(f"file://{u}",) for u in [*uris, f"{folder}/table/isin_part=none"]], "folder string").coalesce(1)
+    folders.delete_folders(gone, "folder")
+    assert os.listdir(f"{folder}/table") == ["isin_part=plain"]
+
+
 def _made(path):
     os.makedirs(path)
     return path
