@@ -39,14 +39,20 @@ def listed_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(*_file_columns())
 
 
-def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
-    """What the ledger knows. Two runs at the same time may write a file twice; it counts once."""
+def read_ledger(spark: SparkSession, ledger: str, present: DataFrame | None = None) -> DataFrame:
+    """What the ledger knows, or knows of the ``present`` files. Two runs at the same time may write a file twice; it counts once.
+
+    The files, a row each, are broadcast, and others go before the grouping. Rows
+    are dealt by ticker and month, so that sums over those need no second shuffle.
+    """
     try:
         stored = spark.read.schema(LEDGER).parquet(ledger)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LEDGER)
+    if present is not None:
+        stored = stored.join(F.broadcast(present), FILE, "left_semi").repartition("stock", "month")
     return stored.groupBy(*FILE, "stock", "month").agg(F.max("rows").alias("rows"), F.max("checksum").alias("checksum"))
 
 
@@ -83,14 +89,16 @@ def refresh_ledger(spark: SparkSession, root: str, ledger: str) -> DataFrame:
             found = file_checksums(bars).join(unread, "file", "left_semi")
         else:
             found = file_checksums(bars.filter(F.col("_metadata.file_path").isin(names)))
-        found.write.mode("append").parquet(ledger)
-    return read_ledger(spark, ledger).join(listed_files(spark, root), FILE, "left_semi")
+        found.write.mode("append").option("compression", "zstd").parquet(ledger)
+    return read_ledger(spark, ledger, listed_files(spark, root))
 
 
 def _sides(flat: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows and checksums of both ledgers in one grouping; a side without rows has neither."""
-    columns = ["stock", "month", "rows", "checksum"]
-    tagged = flat.select(*columns, F.lit(1).alias("_side")).unionByName(stored.select(*columns, F.lit(2).alias("_side")))
+    # each side is summed by itself first, where its rows are
+    sums = [F.sum("rows").alias("rows"), F.sum("checksum").alias("checksum")]
+    flat, stored = (side.groupBy("stock", "month").agg(*sums).withColumn("_side", F.lit(n)) for n, side in ((1, flat), (2, stored)))
+    tagged = flat.unionByName(stored)
 
     def total(side: int, name: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("_side") == side, F.col(name))), F.lit(0))
